@@ -6,7 +6,6 @@ Spark and SQL results are brought to the same names and types; doubles to 10 dec
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 DECIMALS = 10
 
@@ -71,12 +70,12 @@ def kind_of(column: str) -> str:
 def shaped(frame: DataFrame, columns: list[str]) -> DataFrame:
     """The Spark result in contract form."""
 
-    def cell(name: str):
+    def cell(name: str) -> str:
         kind = kind_of(name)
-        value = F.col(name).cast(kind)
-        return (F.round(value, DECIMALS) if kind == "double" else value).alias(name)
+        value = f"CAST({name} AS {kind})"
+        return f"round({value}, {DECIMALS}) AS {name}" if kind == "double" else f"{value} AS {name}"
 
-    return frame.select(*[cell(name) for name in columns])
+    return frame.selectExpr(*[cell(name) for name in columns])
 
 
 def shaped_sql(body: str, columns: list[str]) -> str:

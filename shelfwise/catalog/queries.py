@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.catalog.contract import shaped
 from shelfwise.functions.labels import class_order, class_rank, month_name, month_names, quarter_name, quarter_names
-from shelfwise.functions.text import is_recent_arrival, normalize_key, number_or_zero
+from shelfwise.functions.text import bare_key, is_recent_arrival, normalize_key, number_or_zero
 from shelfwise.functions.time import days_since, parse_stamp, within
 from shelfwise.operators import metrics
 from shelfwise.operators.activity import daily_activity, inbound, line_activity, outbound
@@ -200,7 +200,8 @@ def _(i):
         .when(number == 5, F.concat(F.lit("A"), part, F.lit(".0")))
         .when(number == 6, F.concat(part, F.lit(".00")))
     )
-    return line.select(raw.alias("articulo")).withColumn("article_key", normalize_key(F.col("articulo")))
+    keyed = line.select(raw.alias("articulo")).withColumn("bare", bare_key(F.col("articulo")))
+    return keyed.withColumn("article_key", normalize_key(F.col("bare")))
 
 
 @query("parse_dates", "texto fecha_movimiento")

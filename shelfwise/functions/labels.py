@@ -13,16 +13,21 @@ def _names(texts: list[str]) -> Column:
     return F.array(*[F.lit(text) for text in texts])
 
 
+def _name(number: Column, texts: list[str]) -> Column:
+    # ``element_at`` answers a null index into literals with the last entry; ``get`` with null.
+    return F.get(_names(texts), number.cast("int") - 1)
+
+
 def month_name(number: Column) -> Column:
-    return F.element_at(_names(MONTHS), number.cast("int"))
+    return _name(number, MONTHS)
 
 
 def quarter_name(number: Column) -> Column:
-    return F.element_at(_names(QUARTERS), number.cast("int"))
+    return _name(number, QUARTERS)
 
 
 def _joined(numbers: Column, texts: list[str]) -> Column:
-    named = F.transform(numbers, lambda n: F.element_at(_names(texts), n))
+    named = F.transform(numbers, lambda n: _name(n, texts))
     return F.when(F.size(numbers) > 0, F.array_join(named, ", "))
 
 

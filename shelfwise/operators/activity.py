@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import filled_text
+from shelfwise.functions.text import filled_text, strip
 from shelfwise.params import INBOUND, OUTBOUND
 
 
@@ -25,11 +25,11 @@ def inbound() -> Column:
 def line_activity(movements: DataFrame) -> DataFrame:
     """One row per movement line."""
     stamp = F.col("fecha_movimiento")
-    return movements.select(
+    return movements.withColumn("_texto", strip(F.col("descripcion_movimiento"))).select(
         "owner_key",
         "article_key",
         F.col("tipo_movimiento").alias("tipo"),
-        filled_text(F.col("descripcion_movimiento")).alias("texto"),
+        filled_text(F.col("_texto")).alias("texto"),
         F.lit(1).cast("bigint").alias("lineas"),
         F.col("cantidad_movimiento").alias("cantidad"),
         stamp.alias("primera"),

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import filled_text
+from shelfwise.functions.text import filled_text, strip
 from shelfwise.functions.time import day_start, within
 from shelfwise.operators.activity import first_text, inbound, outbound
 from shelfwise.params import Params
@@ -119,11 +119,11 @@ def _first_filled(name: str) -> Column:
 
 
 def _with_texts(occupied: DataFrame) -> DataFrame:
-    return occupied.withColumns(
-        {
-            "_propietario": filled_text(F.col("denominacion_propietario")),
-            "_descripcion": filled_text(F.col("denominacion")),
-        }
+    stripped = occupied.withColumns(
+        {"_nombre": strip(F.col("denominacion_propietario")), "_texto": strip(F.col("denominacion"))}
+    )
+    return stripped.withColumns(
+        {"_propietario": filled_text(F.col("_nombre")), "_descripcion": filled_text(F.col("_texto"))}
     )
 
 

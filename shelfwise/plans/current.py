@@ -56,22 +56,38 @@ HORIZONS = {"ytd": RECENT_YTD, "30d": RECENT_30D}
 def classified_metrics(activity: DataFrame, keys: list[str], params: Params) -> DataFrame:
     """Log metrics of every key ever moved, ranked by year-to-date and by rolling lines.
 
-    Both rankings are over all keys with outbound lines, whether in stock or not, and pass the
-    other metrics along, so nothing has to be joined back.
+    Both rankings are over all keys with outbound lines, whether in stock or not, and run as
+    two partitions of one pass. A key has one row per horizon it moved in; the first carries
+    the other metrics along, so nothing has to be computed twice or joined back.
     """
-    ranked = key_metrics(activity, keys, params)
-    for horizon in HORIZONS:
-        ranked = pareto(
-            ranked,
-            params,
-            keys,
-            f"lineas_pi_{horizon}",
-            f"cantidad_pi_{horizon}",
-            f"rotacion_abc_{horizon}",
-            f"porcentaje_lineas_pi_{horizon}",
-            f"porcentaje_acumulado_pi_{horizon}",
-        )
-    return ranked
+    measured = key_metrics(activity, keys, params)
+    metrics = [name for name in measured.columns if name not in keys]
+    horizons = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("horizonte"),
+                F.col(f"lineas_pi_{name}").alias("lineas"),
+                F.col(f"cantidad_pi_{name}").alias("cantidad"),
+            )
+            for name in HORIZONS
+        ]
+    )
+    carrier = F.col("horizonte") == "ytd"
+    rows = (
+        measured.select(*keys, *metrics, F.inline(horizons))
+        .where(carrier | (F.col("lineas") > 0))
+        .withColumns({name: F.when(carrier, F.col(name)) for name in metrics})
+    )
+    rank = ["rotacion_abc", "porcentaje_lineas_pi", "porcentaje_acumulado_pi"]
+    ranked = pareto(rows, params, keys, "lineas", "cantidad", *rank, partition=["horizonte"])
+    return ranked.groupBy(*keys).agg(
+        *[F.max(name).alias(name) for name in metrics],
+        *[
+            F.max(F.when(F.col("horizonte") == horizon, F.col(name))).alias(f"{name}_{horizon}")
+            for horizon in HORIZONS
+            for name in rank
+        ],
+    )
 
 
 def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import normalize_key, number_or_zero
+from shelfwise.functions.text import bare_key, is_filled, normalize_key, number_or_zero
 from shelfwise.functions.time import day_start, parse_stamp, quarter_label
 from shelfwise.params import Params
 from shelfwise.sources.columns import MOVEMENT_HEADERS, from_headers, require_columns
@@ -33,16 +33,21 @@ def prepare_movements(raw: DataFrame, params: Params) -> DataFrame:
     raw = with_row_no(raw)
     kinds = {field.name: field.dataType for field in raw.schema}
 
-    stamp = parse_stamp(F.col("fecha_inicio"), kinds["fecha_inicio"])
-    article = normalize_key(F.col("articulo"), kinds["articulo"])
-    lines = raw.where(stamp < day_start(params.next_day)).where(article.isNotNull())
+    stamp = F.col("fecha_movimiento")
+    lines = raw.withColumns(
+        {
+            "fecha_movimiento": parse_stamp(F.col("fecha_inicio"), kinds["fecha_inicio"]),
+            "_propietario": bare_key(F.col("propietario"), kinds["propietario"]),
+            "_articulo": bare_key(F.col("articulo"), kinds["articulo"]),
+        }
+    ).where((stamp < day_start(params.next_day)) & is_filled(F.col("articulo").cast("string")))
     return lines.select(
         "tipo_movimiento",
-        stamp.alias("fecha_movimiento"),
-        normalize_key(F.col("propietario"), kinds["propietario"]).alias("owner_key"),
-        article.alias("article_key"),
+        stamp,
+        normalize_key(F.col("_propietario")).alias("owner_key"),
+        normalize_key(F.col("_articulo")).alias("article_key"),
         F.col("denominacion_articulo").cast("string").alias("descripcion_movimiento"),
-        number_or_zero(F.col("cantidad")).alias("cantidad_movimiento"),
+        number_or_zero(F.col("cantidad"), kinds["cantidad"]).alias("cantidad_movimiento"),
         F.year(stamp).alias("year"),
         F.quarter(stamp).alias("quarter"),
         quarter_label(stamp).alias("period_label"),

@@ -12,8 +12,20 @@ from shelfwise.params import Params
 SAMPLE = Params(snapshot=date(2001, 10, 31), generated_at="2001-10-31 00:00:00")
 
 
+# Columns used here, so that no job has to look for them in the files.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _article() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import normalize_key, number_or_zero
+from shelfwise.functions.text import bare_key, is_filled, normalize_key, number_or_zero
 from shelfwise.params import OCCUPIED
 from shelfwise.sources.columns import STOCK_HEADERS, from_headers, require_columns
 from shelfwise.sources.movements import with_row_no
@@ -61,15 +61,21 @@ def occupied_stock(raw: DataFrame) -> DataFrame:
     require_columns(raw, list(STOCK_HEADERS.values()), "stock")
     raw = with_row_no(raw)
     kinds = {field.name: field.dataType for field in raw.schema}
-    clean = raw.where(F.col("ocupacion") == OCCUPIED).select(
-        normalize_key(F.col("propie"), kinds["propie"]).alias("owner_key"),
-        normalize_key(F.col("art_y"), kinds["art_y"]).alias("article_key"),
+    owner, article, amount = F.col("_propie"), F.col("_art"), F.col("stock_actual")
+    keyed = is_filled(F.col("propie").cast("string")) & is_filled(F.col("art_y").cast("string"))
+    held = raw.withColumns(
+        {
+            "_propie": bare_key(F.col("propie"), kinds["propie"]),
+            "_art": bare_key(F.col("art_y"), kinds["art_y"]),
+            "stock_actual": number_or_zero(F.col("stock_pal"), kinds["stock_pal"]),
+        }
+    ).where((F.col("ocupacion") == OCCUPIED) & (amount > 0) & keyed)
+    return held.select(
+        normalize_key(owner).alias("owner_key"),
+        normalize_key(article).alias("article_key"),
         F.col("denominacion_propietario").cast("string").alias("denominacion_propietario"),
         F.col("denominacion").cast("string").alias("denominacion"),
-        number_or_zero(F.col("stock_pal")).alias("stock_actual"),
+        amount,
         F.col("ubicacion").cast("string").alias("ubicacion"),
         F.col("row_no").cast("bigint").alias("row_no"),
     )
-    return clean.where(
-        F.col("owner_key").isNotNull() & F.col("article_key").isNotNull() & (F.col("stock_actual") > 0)
-    )
