@@ -1,0 +1,200 @@
+import random
+import statistics
+from collections import Counter, defaultdict
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.operators.staging import stage
+from shelfwise.params import ACTION_KEEP, ACTION_OFF_SEASON, ACTION_REVIEW, ACTION_SECONDARY
+from shelfwise.plans.current import current_article
+from shelfwise.plans.decision import with_decision
+from shelfwise.plans import temporality
+
+
+def detail(w, params):
+    monthly = stage(temporality.monthly_actual(w.activity), "monthly")
+    return monthly, temporality.temporality_detail(current_article(w.activity, w.by_article, params), monthly, params)
+
+
+def stocked(*articles):
+    return [("Uno", "1", a, a, 5.0, "L1") for a in articles]
+
+
+def lines(article, *months, qty=1.0, times=1):
+    return [("PI", f"{m}-10", article, None, qty, "1") for m in months for _ in range(times)]
+
+
+def test_article_without_lines(world, by_key, params):
+    """All months tie at zero: the lowest month of the calendar is the peak."""
+    w = world(lines("y", "2024-01"), stocked("x", "y"))
+    row = by_key(detail(w, params)[1], "articulo")["x"]
+    assert row.temporalidad_clase == "Nuevo / sin histórico suficiente"
+    assert (row.mes_pico_lineas, row.mes_pico_cantidad, row.quarter_peak) == ("Enero", "Enero", "Q1")
+    assert row.seasonality_index_monthly == row.ADI == row.CV2 == row.lineas_media_mensual == 0
+    assert row.peak_months == [] and row.meses_pico_recurrentes is None and row.months_to_next_peak is None
+    assert row.peak_period_upcoming is None and row.next_peak_quarter is None
+
+
+def test_no_outbound_line_at_all(world, params):
+    w = world([("CR", "2026-04-01", "x", None, 1.0, "1")], stocked("x"))
+    monthly, found = detail(w, params)
+    row = found.first()
+    assert row.temporalidad_clase == "Nuevo / sin histórico suficiente" and row.lineas_media_mensual == 0
+    assert row.mes_pico_lineas is None and row.total_lineas_pi_historico == 0
+    assert temporality.temporality_article(found, params).count() == 1
+    assert temporality.temporality_monthly(found, monthly, params).count() == 0
+    assert with_decision(found, params).first().accion_recomendada == ACTION_REVIEW
+
+
+def test_calendar_starts_with_the_first_line_of_any_article(world, by_key, params):
+    w = world(lines("y", "2025-11") + lines("x", "2026-02", qty=-3.0), stocked("x"))
+    monthly, found = detail(w, params)
+    rows = by_key(temporality.temporality_monthly(found, monthly, params), "period_label")
+    assert sorted(rows) == ["2025-11", "2025-12", "2026-01", "2026-02", "2026-03", "2026-04"]
+    assert rows["2026-02"].lineas_pi_mes == 1 and rows["2026-02"].indice_vs_media == 6.0 and rows["2026-02"].es_mes_pico
+    row = found.first()
+    # A month without lines beats a negative quantity; the months observed count from x itself.
+    assert row.cantidad_max_mes == 0.0 and row.months_observed == 3 and row.ADI == 3.0
+    assert row.mes_pico_lineas == "Febrero" and row.mes_pico_cantidad == "Enero"
+    quarters = by_key(temporality.temporality_quarterly(found, monthly, params), "period_label")
+    assert sorted(quarters) == ["2025Q4", "2026Q1", "2026Q2"]
+
+
+def brute(moves, article, snapshot, start):
+    """Statistics of one article, straight from its lines."""
+    mine = [(datetime.fromisoformat(m[1]), m[4]) for m in moves if m[2] == article and m[0] == "PI"]
+    months = [divmod(n, 12) for n in range(start.year * 12 + start.month - 1, snapshot.year * 12 + snapshot.month)]
+    count, qty = Counter(), defaultdict(float)
+    for day, q in mine:
+        count[day.year, day.month - 1] += 1
+        qty[day.year, day.month - 1] += q
+    mean = sum(count.values()) / len(months)
+    years = len({day.year for day, _ in mine})
+    profile = {}
+    for m in sorted({m for _, m in months}):
+        own = [count[y, mm] for y, mm in months if mm == m]
+        profile[m + 1] = (sum(own) / len(own), sum(own), sum(n > 0 for n in own) / years if years else 0)
+    peaks = [m for m, (avg, total, rec) in profile.items() if avg >= mean * 1.25 and rec >= 0.5 and total > 0]
+    active = [count[k] for k in months if count[k]]
+    return {
+        "lineas_media_mensual": mean,
+        "cantidad_media_mensual": sum(qty.values()) / len(months),
+        "lineas_max_mes": max(count[k] for k in months),
+        "peak_months": peaks,
+        "monthly_peak_recurrence": statistics.fmean([profile[m][2] for m in peaks]) if peaks else 0,
+        "porcentaje_concentracion_top_2_meses": sum(sorted((t for _, t, _ in profile.values()), reverse=True)[:2])
+        / max(len(mine), 1),
+        "seasonality_index_monthly": max(a for a, _, _ in profile.values()) / mean if mean else 0,
+        "CV2": (statistics.pstdev(active) / statistics.fmean(active)) ** 2 if len(active) > 1 else 0,
+        "total_months_with_pi": len(active),
+    }
+
+
+def test_statistics_equal_brute_force(world, by_key, params):
+    rng = random.Random(3)
+    moves = []
+    for n in range(14):
+        favourite = rng.sample(range(1, 13), 2)
+        for _ in range(rng.choice([1, 5, 60, 200])):
+            year = rng.randint(2022, 2025)
+            month = rng.choice(favourite) if rng.random() < n / 14 else rng.randint(1, 12)
+            moves.append(("PI", f"{year}-{month:02}-{rng.randint(1, 28):02}", f"a{n}", None, float(rng.randint(1, 9)), "1"))
+    start = min(datetime.fromisoformat(m[1]) for m in moves)
+    rows = by_key(detail(world(moves, stocked(*[f"a{n}" for n in range(14)])), params)[1], "articulo")
+    for article, row in rows.items():
+        for name, value in brute(moves, article, params.snapshot, start).items():
+            assert row[name] == pytest.approx(value, abs=1e-12) if not isinstance(value, list) else row[name] == value, (
+                article,
+                name,
+            )
+
+
+def test_patterns(world, by_key, params):
+    every = [f"{y}-{m:02}" for y in (2024, 2025) for m in range(1, 13)] + ["2026-01", "2026-02", "2026-03", "2026-04"]
+    moves = (
+        lines("regular", *every)
+        + lines("seasonal", "2024-07", "2025-07", times=5)
+        + lines("seasonal", "2024-08", "2025-08")
+        + lines("sparse", *every[::2])
+        + lines("erratic", *every)
+        + lines("erratic", "2024-03", "2024-07", "2024-12", "2025-01", "2025-05", "2025-10", times=8)
+        + lines("dormant", "2024-01", "2024-05", "2024-09")
+        + lines("new", "2026-02", "2026-03", "2026-04")
+    )
+    rows = by_key(
+        detail(world(moves, stocked("regular", "seasonal", "sparse", "erratic", "dormant", "new")), params)[1], "articulo"
+    )
+    assert {a: r.temporalidad_clase for a, r in rows.items()} == {
+        "regular": "Regular",
+        "seasonal": "Estacional",
+        "sparse": "Intermitente",
+        "erratic": "Errático",
+        "dormant": "Dormido",
+        "new": "Nuevo / sin histórico suficiente",
+    }
+    assert rows["seasonal"].peak_period_upcoming == "Julio" and rows["seasonal"].months_to_next_peak == 3
+
+
+BASE = dict(
+    temporalidad_clase="Intermitente",
+    rotacion_final_ytd="D",
+    rotacion_final_30d="D",
+    es_estacional=False,
+    es_dormido=False,
+    flag_pico_proximo=False,
+    warning_posible_reactivacion_proxima=False,
+    warning_rotacion_baja_pero_estacional=False,
+    flag_stock_alto_vs_uso_reciente="No",
+    indice_stock_vs_lineas_salida_30d=0.0,
+    inactivo_90d="No",
+    recurrencia_estacional=0.0,
+    peak_period_upcoming="Julio",
+    next_peak_quarter="Q3",
+    total_lineas_pi_historico=9,
+)
+SEASONAL = dict(temporalidad_clase="Estacional", es_estacional=True, warning_rotacion_baja_pero_estacional=True)
+
+
+@pytest.mark.parametrize(
+    "given, action, risk",
+    [
+        (dict(temporalidad_clase="Errático", rotacion_final_30d="A"), ACTION_REVIEW, "Alto"),
+        (dict(temporalidad_clase="Nuevo / sin histórico suficiente"), ACTION_REVIEW, "Medio"),
+        (dict(inactivo_90d="Sí", flag_stock_alto_vs_uso_reciente="Sí"), ACTION_SECONDARY, "Medio"),
+        (dict(inactivo_90d="Sí", indice_stock_vs_lineas_salida_30d=12.0), ACTION_SECONDARY, "Medio"),
+        (dict(inactivo_90d="Sí", indice_stock_vs_lineas_salida_30d=11.9), ACTION_REVIEW, "Medio"),
+        (dict(inactivo_90d="Sí", flag_stock_alto_vs_uso_reciente="Sí", recurrencia_estacional=0.4), ACTION_REVIEW, "Medio"),
+        (dict(rotacion_final_30d="B"), ACTION_KEEP, "Alto"),
+        (dict(rotacion_final_ytd="A"), ACTION_KEEP, "Medio"),
+        (dict(flag_pico_proximo=True), ACTION_KEEP, "Medio"),
+        (dict(SEASONAL), ACTION_OFF_SEASON, "Alto"),
+        (dict(SEASONAL, flag_pico_proximo=True), ACTION_KEEP, "Alto"),
+        (dict(temporalidad_clase="Dormido", es_dormido=True), ACTION_REVIEW, "Bajo"),
+        (dict(temporalidad_clase="Dormido", es_dormido=True, flag_pico_proximo=True), ACTION_KEEP, "Medio"),
+        (dict(temporalidad_clase="Regular"), ACTION_REVIEW, "Alto"),
+        (dict(warning_posible_reactivacion_proxima=True), ACTION_KEEP, "Alto"),
+    ],
+)
+def test_decision_rules(spark, params, given, action, risk):
+    case = BASE | given
+    columns = [F.lit(value).alias(name) for name, value in case.items()]
+    row = with_decision(spark.range(1).select(*columns), params).first()
+    assert (row.accion_recomendada, row.riesgo_mover_almacen) == (action, risk)
+    assert row.prioridad_revision == {"Alto": "Alta", "Medio": "Media", "Bajo": "Baja"}[risk]
+
+
+@pytest.mark.parametrize(
+    "month, quarter, text",
+    [
+        ("Julio", "Q3", "Fuera de temporada; reponer 1-2 meses antes de Julio"),
+        (None, "Q3", "Fuera de temporada; reponer 1-2 meses antes de Q3"),
+        (None, None, "Fuera de temporada; revisar antes del siguiente pico"),
+    ],
+)
+def test_off_season_window(spark, params, month, quarter, text):
+    case = BASE | SEASONAL | dict(peak_period_upcoming=month, next_peak_quarter=quarter)
+    columns = [F.lit(value).cast("string").alias(n) if value is None else F.lit(value).alias(n) for n, value in case.items()]
+    row = with_decision(spark.range(1).select(*columns), params).first()
+    assert row.ventana_reubicacion_recomendada == text and row.accion_recomendada_codigo == "mover_fuera_temporada"
