@@ -14,7 +14,7 @@ from shelfwise.functions.labels import class_order, class_rank, month_name, mont
 from shelfwise.functions.text import bare_key, is_recent_arrival, normalize_key, number_or_zero
 from shelfwise.functions.time import days_since, parse_stamp, within
 from shelfwise.operators import metrics
-from shelfwise.operators.activity import daily_activity, inbound, line_activity, outbound
+from shelfwise.operators.activity import daily_activity, inbound, line_activity, outbound, quarterly_activity
 from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE
 from shelfwise.operators.pareto import pareto
 from shelfwise.operators.rotation import stock_thresholds
@@ -55,29 +55,37 @@ class Inputs:
     def article_stock(self) -> DataFrame:
         return metrics.stock_by_article(self.occupied)
 
+    # Staged inputs of the plans that read them more than once.
+
+    @cached_property
+    def owner_held(self) -> DataFrame:
+        return stage(self.owner_stock, "stock_owner")
+
     @cached_property
-    def owner_dimension(self) -> DataFrame:
-        return metrics.owner_dimension(self.activity, self.owner_stock)
+    def article_held(self) -> DataFrame:
+        return stage(self.article_stock, "stock_article")
 
     @cached_property
-    def article_dimension(self) -> DataFrame:
-        return metrics.article_dimension(self.activity, self.article_stock)
+    def quarter_sums(self) -> DataFrame:
+        return stage(quarterly_activity(self.movements), "quarters")
 
     @cached_property
     def current_owner(self) -> DataFrame:
-        return current.current_owner_article(self.activity, self.owner_stock, self.params)
+        return current.current_owner_article(self.activity, self.owner_held, self.params)
 
     @cached_property
     def current_article(self) -> DataFrame:
-        return current.current_article(self.activity, self.article_stock, self.params)
+        return current.current_article(self.activity, self.article_held, self.params)
 
     @cached_property
     def owner_quarterly(self) -> DataFrame:
-        return quarterly.owner_quarterly(self.activity, self.owner_stock, self.owner_dimension, self.params)
+        sums, held = self.quarter_sums, self.owner_held
+        return quarterly.owner_quarterly(sums, held, metrics.owner_dimension(sums, held), self.params)
 
     @cached_property
     def article_quarterly(self) -> DataFrame:
-        return quarterly.article_quarterly(self.activity, self.article_stock, self.article_dimension, self.params)
+        sums, held = self.quarter_sums, self.article_held
+        return quarterly.article_quarterly(sums, held, metrics.article_dimension(sums, held), self.params)
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -86,7 +94,7 @@ class Inputs:
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return temporality.with_profiles(self.article_stock.select("article_key"), self.monthly, self.params)
+        return temporality.with_profiles(self.article_held.select("article_key"), self.monthly, self.params)
 
     @cached_property
     def statistics(self) -> DataFrame:
@@ -96,7 +104,7 @@ class Inputs:
     def stock_names(self) -> DataFrame:
         """Stock articles as the calendar tables want them."""
         article = F.col("article_key")
-        return self.article_stock.select(
+        return self.article_held.select(
             article.alias("id_article"), article.alias("articulo"), article, F.col("descripcion_stock").alias("descripcion")
         )
 
@@ -331,7 +339,7 @@ def _(i):
 
 @query("owner_dim", "propietario owner_key article_key articulo descripcion stock_actual ubicaciones_con_stock")
 def _(i):
-    return i.owner_dimension
+    return metrics.owner_dimension(i.activity, i.owner_stock)
 
 
 @query(
@@ -339,7 +347,7 @@ def _(i):
     "article_key articulo descripcion propietarios_distintos stock_actual_total ubicaciones_con_stock",
 )
 def _(i):
-    return i.article_dimension
+    return metrics.article_dimension(i.activity, i.article_stock)
 
 
 @query("stock_thresholds", "umbral_stock umbral_ubicaciones umbral_densidad")

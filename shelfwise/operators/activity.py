@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import filled_text, strip
+from shelfwise.functions.time import quarter_start
 from shelfwise.params import INBOUND, OUTBOUND
 
 
@@ -38,15 +39,15 @@ def line_activity(movements: DataFrame) -> DataFrame:
     )
 
 
-def daily_activity(movements: DataFrame) -> DataFrame:
-    """One row per key, type, day and text: the compact base for a run that writes all tables.
+def _summed(movements: DataFrame, period: Column) -> DataFrame:
+    """One row per key, type, period and text.
 
     The text is a grouping key, not an aggregate: all buffers stay fixed-width, so both sides
     of the shuffle hash instead of sort.
     """
     return (
         line_activity(movements)
-        .groupBy("owner_key", "article_key", "tipo", F.to_date("primera").alias("dia"), "texto")
+        .groupBy("owner_key", "article_key", "tipo", period.alias("periodo"), "texto")
         .agg(
             F.sum("lineas").alias("lineas"),
             F.sum("cantidad").alias("cantidad"),
@@ -54,10 +55,21 @@ def daily_activity(movements: DataFrame) -> DataFrame:
             F.max("ultima").alias("ultima"),
             F.min("fila").alias("fila"),
         )
-        .drop("dia")
+        .drop("periodo")
     )
 
 
+def daily_activity(movements: DataFrame) -> DataFrame:
+    """Daily sums: the compact base for a run that writes all tables."""
+    return _summed(movements, F.to_date("primera"))
+
+
+def quarterly_activity(movements: DataFrame) -> DataFrame:
+    """Sums per quarter: enough for the quarterly tables, whose windows are quarters, and for
+    the dimensions, which have none."""
+    return _summed(movements, quarter_start(F.col("primera")))
+
+
 def first_text(row: str = "fila", text: str = "texto") -> Column:
     """Aggregate: the text of the earliest row that has one; equal rows go by the text."""
     usable = F.col(text).isNotNull() & F.col(row).isNotNull()
