@@ -1,4 +1,4 @@
-from shelfwise.operators.activity import daily_activity
+from shelfwise.operators.activity import daily_activity, quarterly_activity
 from shelfwise.plans import quarterly
 from shelfwise.plans.current import BY_ARTICLE, current_article, current_owner_article, rolling_detail
 from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE, article_dimension, owner_dimension
@@ -180,3 +180,22 @@ def test_universe_equals_rotation_rows(world, params):
         universe = quarterly.quarter_universe(w.activity, stock, keys, params).select(*keys, "period_label")
         rows = quarters(w, params, keys).select(*keys, "period_label")
         assert sorted(map(str, universe.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_sums_per_quarter_give_the_same_quarters(world, params):
+    moves = [
+        (kind, f"{y}-{m:02}-1{d}", a, t, q, o)
+        for y in (2024, 2025)
+        for m in (1, 2, 8)
+        for d in (1, 7)
+        for kind, a, t, q, o in (("PI", "x", "uno", 1.0, "1"), ("PI", "x", None, 2.0, None), ("CR", "y", "dos", 3.0, "2"))
+    ]
+    w = world(moves, STOCK)
+    sums = quarterly_activity(w.movements)
+    for build, stock, dimension in (
+        (quarterly.owner_quarterly, w.by_owner, owner_dimension),
+        (quarterly.article_quarterly, w.by_article, article_dimension),
+    ):
+        assert sorted(map(str, build(w.activity, stock, dimension(w.activity, stock), params).collect())) == sorted(
+            map(str, build(sums, stock, dimension(sums, stock), params).collect())
+        )
