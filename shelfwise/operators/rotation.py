@@ -65,8 +65,12 @@ def stock_thresholds(stock: DataFrame, amount: str, params: Params) -> DataFrame
 
 
 def with_flags(frame: DataFrame, thresholds: DataFrame, amount: str, params: Params) -> DataFrame:
-    """Overstock and relocation flags. The thresholds are one row, read as a subquery value."""
-    limits = thresholds.select(F.struct("*").alias("limits")).scalar()
+    """Overstock and relocation flags.
+
+    The thresholds are one row of three numbers. They are fetched once and become literals:
+    as a subquery they would be planned again at every use.
+    """
+    limits = {name: F.lit(value) for name, value in thresholds.first().asDict().items()}
     rotation = F.col("rotacion_final_ytd")
     overstock = (
         (F.col(amount) >= limits["umbral_stock"])
