@@ -69,7 +69,8 @@ def uniform_shards(rows: DataFrame, shards: int = 16, seed: int = 8, run: int =
     local = Window.partitionBy("cell").orderBy(F.xxhash64(F.lit(seed), F.col("nth")), "nth")
     permuted = staged.withColumn("rank", F.row_number().over(local).cast("long"))
     again = Window.partitionBy("shard", "run").orderBy(F.xxhash64(F.lit(-1 - seed), F.col("nth")), "nth")
-    out = permuted.join(place, ["cell", "rank"])
+    # Spark cannot tell how many rows explode makes, and would broadcast them all.
+    out = permuted.join(place.hint("merge"), ["cell", "rank"])
     slot = (F.col("run").cast("long") * run + F.row_number().over(again) - 1).alias("slot")
     return out.select(*[F.col("r")[c].alias(c) for c in names], "shard", slot)
 
