@@ -42,15 +42,15 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-        self.paths: dict[int, str] = {}
+        self.written = 0
         atexit.register(_delete, spark, self.root)
 
     def put(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{len(self.paths)}"
+        path = f"{self.root}/{self.written}"
+        self.written += 1
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        out._scratch_path = path  # noqa: SLF001
+        out._scratch_path = path
         # Shuffle files of what has just been written are no longer needed; Spark deletes them with their frames.
         gc.collect()
         self.spark._jvm.System.gc()
@@ -74,6 +74,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.put(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
     )
+    was = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -87,8 +88,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             .distinct()
         )
         new = scratch.put(step)
-        changed = not new.exceptAll(edges).isEmpty() or new.count() != edges.count()
-        scratch.drop(edges)
-        edges = new
-        if not changed:
+        now = new.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
+        if was is not None:
+            scratch.drop(edges)
+        edges, before, was = new, was, now
+        if now == before:
             return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))

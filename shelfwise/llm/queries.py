@@ -1,10 +1,11 @@
 """Queries of the operators, and the SQL that checks those which SQL can express."""
 
-from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, sharding
+from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, ngram_join, sharding
 
 QUERIES = {
     "op3_benchmark_decontamination": decontaminate.query,
     "op5_language_id": langid.query,
+    "op6_ngram_jaccard_join": ngram_join.query,
     "op7_license_scans": licences.query,
     "op8_sharding": sharding.query,
     "op9_bpe_encoding_and_decoding": bpe.query,
