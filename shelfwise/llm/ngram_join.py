@@ -16,9 +16,9 @@ from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, mix, pieces, prefix,
 #: Words of an n-gram; similarity in hundredths.
 WORDS, PERCENT = 5, 80
 #: Documents up to which a column of the incidence is multiplied with itself outright.
-NARROW = 12
+NARROW = 32
 #: Pivots a round of each wider column.
-PIVOTS = 4
+PIVOTS = 16
 
 
 def ngram_sets(texts: pa.Array | pa.ChunkedArray, n: int = WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -132,7 +132,6 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     width = cells.groupBy("gram").agg(F.count("*").alias("width")).where("width > 1")
     cells = scratch.put(cells.join(width, "gram"))
     near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (F.col("a") != F.col("b"))
-    ordered = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).alias("p")
 
     narrow = cells.where(F.col("width") <= NARROW)
     left = narrow.select("gram", F.col("rep").alias("a"), "n")
@@ -144,21 +143,30 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     wide = scratch.put(cells.where(F.col("width") > NARROW).select("gram", "rep", "n"))
     found = scratch.put(components(links, scratch))
     while not wide.isEmpty():
-        placed = wide.join(found, wide["rep"] == found["id"], "left").select("gram", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        placed = scratch.put(placed)
-        mixed = placed.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
-        salt = F.pmod(F.xxhash64("rep"), F.lit(PIVOTS))
-        open_cells = placed.join(mixed, "gram")
-        pivots = scratch.put(open_cells.groupBy("gram", salt.alias("salt")).agg(F.min(F.struct("rep", "n", "c")).alias("p")))
-        pivot = pivots.select("gram", F.col("p.rep").alias("a"), F.col("p.n").alias("m"), F.col("p.c").alias("pc"))
-        star = placed.withColumnRenamed("rep", "b").join(pivot, "gram").where(near & (F.col("c") != F.col("pc")))
-        new = scratch.put(_verified(star.select(ordered).distinct().select("p.*"), sets, percent))
-        links = scratch.put(links.unionByName(new).distinct())
-        found = scratch.put(components(links, scratch))
-        gone = pivots.select("gram", F.col("p.rep").alias("rep"))
-        rest = scratch.put(open_cells.join(gone, ["gram", "rep"], "left_anti").select("gram", "rep", "n"))
-        scratch.drop(wide)
-        wide = rest
+        placed = wide.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("gram", "rep", "n", F.coalesce("component", "rep").alias("c"))
+        mixed = placed.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("width")).where("lo < hi")
+        cells = scratch.put(placed.join(mixed.select("gram", "width"), "gram"))
+        a = cells.withColumnsRenamed({"rep": "a", "c": "ca"})
+        b = cells.select("gram", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("c").alias("cb"))
+        apart = near & (F.col("ca") != F.col("cb"))
+        few = a.where(F.col("width") <= NARROW).join(b, "gram").where(apart & (F.col("a") < F.col("b")))
+        salt = F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)).alias("salt")
+        pivots = cells.where(F.col("width") > NARROW).groupBy("gram", salt).agg(F.min(F.struct("rep", "n", "c")).alias("p"))
+        pivots = scratch.put(pivots.select("gram", F.col("p.rep").alias("b"), F.col("p.n").alias("m"), F.col("p.c").alias("cb")))
+        star = a.where(F.col("width") > NARROW).join(pivots, "gram").where(apart)
+        ordered = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).alias("p")
+        pairs = few.select(ordered).unionByName(star.select(ordered)).distinct().select("p.*")
+        new = scratch.put(_verified(pairs, sets, percent))
+        if not new.isEmpty():
+            # Components so far are the nodes of the next ones; a root is not among the ids of `found`.
+            root = lambda x: found.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
+            over = new.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+            merged = scratch.put(components(over, scratch))
+            to = merged.select(F.col("id").alias("component"), F.col("component").alias("to"))
+            moved = found.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+            found = scratch.put(moved.unionByName(merged))
+        rest = cells.where(F.col("width") > NARROW).join(pivots.select("gram", F.col("b").alias("rep")), ["gram", "rep"], "left_anti")
+        wide = scratch.put(rest.select("gram", "rep", "n"))
 
     member = known.join(classes, ["n", "s1", "s2"]).select("doc", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     member = member.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("c"))
