@@ -1,9 +1,10 @@
 """Queries of the operators, and the SQL that checks those which SQL can express."""
 
-from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, ngram_join, sharding
+from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, ngram_join, sharding, suffix_dedup
 
 QUERIES = {
     "op3_benchmark_decontamination": decontaminate.query,
+    "op4_suffix_array_dedup": suffix_dedup.query,
     "op5_language_id": langid.query,
     "op6_ngram_jaccard_join": ngram_join.query,
     "op7_license_scans": licences.query,

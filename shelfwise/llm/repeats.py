@@ -21,12 +21,12 @@ FREQUENT = 2000
 Hashes = Callable[[pa.ChunkedArray], Iterator[np.ndarray]]
 
 
-def blocks(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(block, doc, text), and the number of blocks, which follows the bytes of text. Rows are dealt by a hash of both."""
+def blocks(docs: DataFrame, doc_id: str, text: str, *more: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """(block, doc, text, and columns `more`), and the number of blocks, which follows the bytes of text. Rows are dealt by a hash of both."""
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     n = max(1, -(-size // block_bytes))
     block = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(n)).alias("block")
-    return docs.select(block, F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")), n
+    return docs.select(block, F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), *more), n
 
 
 def _bits(n_blocks: int) -> int:
@@ -38,7 +38,7 @@ def distinct(parts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
 
 
-def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes) -> DataFrame:
+def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes, frequent: int = FREQUENT) -> DataFrame:
     """(block, bucket, n, bits): for the block's distinct hashes in order, whether each occurs again, and frequently.
 
     40 bits beyond the bucket's are compared, so about one unrepeated hash in a million is taken for repeated: callers
@@ -71,7 +71,7 @@ def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes) -> DataFrame:
         total = np.zeros(len(value), dtype=np.int64)
         total[order] = np.repeat(np.add.reduceat(count[order], new), np.diff([*new, len(value)]))
         cuts = np.concatenate([[0], np.cumsum(sizes)])
-        bits = [np.packbits(total[a:z] > 1).tobytes() + np.packbits(total[a:z] > FREQUENT).tobytes() for a, z in zip(cuts, cuts[1:], strict=False)]
+        bits = [np.packbits(total[a:z] > 1).tobytes() + np.packbits(total[a:z] > frequent).tobytes() for a, z in zip(cuts, cuts[1:], strict=False)]
         return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "n": pa.array(sizes, pa.int32()), "data": pa.array(bits, pa.binary())})
 
     sent = of_blocks.groupBy("block").applyInArrow(send, "bucket int, block long, data binary")
