@@ -1,9 +1,10 @@
 """Queries of the operators, and the SQL that checks those which SQL can express."""
 
-from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, ngram_join, sharding, suffix_dedup, toxicity
+from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, near_vectors, ngram_join, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op2_embedding_near_dedup": near_vectors.query,
     "op3_benchmark_decontamination": decontaminate.query,
     "op4_suffix_array_dedup": suffix_dedup.query,
     "op5_language_id": langid.query,
