@@ -17,7 +17,7 @@ from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, mix, pieces, prefix,
 WORDS, PERCENT = 5, 80
 #: Documents up to which a column of the incidence is multiplied with itself outright.
 NARROW = 32
-#: Pivots a round of each wider column.
+#: Pivots of each wider column in the first round; each round takes four times as many as the one before.
 PIVOTS = 16
 
 
@@ -119,7 +119,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     Columns of the incidence (n-grams) with up to NARROW classes are multiplied outright. A wider one, such as a large
     group of near copies has, is searched pivot by pivot: a few classes are compared with all others that are not yet
     in their component, then leave the column; it is done when the rest is one component. No link between components
-    is lost, and a group is compared in proportion to its size, not to its square.
+    is lost. A group of near copies, which the first pivots join, is compared in proportion to its size; what they
+    do not join gets more pivots each round, so that rounds stay few.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")
@@ -142,6 +143,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
 
     wide = scratch.put(cells.where(F.col("width") > NARROW).select("gram", "rep", "n"))
     found = scratch.put(components(links, scratch))
+    n_pivots = PIVOTS
     while not wide.isEmpty():
         placed = wide.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("gram", "rep", "n", F.coalesce("component", "rep").alias("c"))
         mixed = placed.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("width")).where("lo < hi")
@@ -150,7 +152,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
         b = cells.select("gram", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("c").alias("cb"))
         apart = near & (F.col("ca") != F.col("cb"))
         few = a.where(F.col("width") <= NARROW).join(b, "gram").where(apart & (F.col("a") < F.col("b")))
-        salt = F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)).alias("salt")
+        salt = F.pmod(F.xxhash64("rep"), F.lit(n_pivots)).alias("salt")
         pivots = cells.where(F.col("width") > NARROW).groupBy("gram", salt).agg(F.min(F.struct("rep", "n", "c")).alias("p"))
         pivots = scratch.put(pivots.select("gram", F.col("p.rep").alias("b"), F.col("p.n").alias("m"), F.col("p.c").alias("cb")))
         star = a.where(F.col("width") > NARROW).join(pivots, "gram").where(apart)
@@ -166,7 +168,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
             moved = found.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
             found = scratch.put(moved.unionByName(merged))
         rest = cells.where(F.col("width") > NARROW).join(pivots.select("gram", F.col("b").alias("rep")), ["gram", "rep"], "left_anti")
-        wide = scratch.put(rest.select("gram", "rep", "n"))
+        wide, n_pivots = scratch.put(rest.select("gram", "rep", "n")), 4 * n_pivots
 
     member = known.join(classes, ["n", "s1", "s2"]).select("doc", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     member = member.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("c"))
