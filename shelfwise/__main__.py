@@ -2,8 +2,8 @@
 
     spark-submit --py-files ... -m shelfwise --movements PATH --stock PATH --out PATH
 
-``--stock`` is a dated file, or a folder of dated files whose newest is taken. The snapshot
-date comes from the file name unless ``--snapshot`` gives it.
+``--stock`` is a dated file or Parquet folder, a folder of those whose newest is taken, or a table
+with a ``snapshot_date``. The snapshot date comes from there unless ``--snapshot`` gives it.
 """
 
 from __future__ import annotations
@@ -12,12 +12,11 @@ import argparse
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from shelfwise.params import Params
 from shelfwise.plans.publish import Target, publish
 from shelfwise.sources.movements import read_movements
-from shelfwise.sources.stock import latest_stock_file, read_stock
+from shelfwise.sources.stock import open_stock
 
 
 def arguments() -> argparse.Namespace:
@@ -33,13 +32,7 @@ def arguments() -> argparse.Namespace:
 def main() -> None:
     args = arguments()
     spark = SparkSession.builder.appName("shelfwise").getOrCreate()
-    if args.snapshot:
-        day, stock = args.snapshot, read_stock(spark, args.stock, args.format)
-        if "snapshot_date" in stock.columns:
-            stock = stock.where(F.col("snapshot_date") == F.lit(day))
-    else:
-        path, day = latest_stock_file(spark, args.stock)
-        stock = read_stock(spark, path, args.format)
+    stock, day = open_stock(spark, args.stock, args.format, args.snapshot)
     params = Params(snapshot=day, generated_at=f"{datetime.now():%Y-%m-%d %H:%M:%S}")
     publish(read_movements(spark, args.movements, args.format), stock, params, Target(args.out))
 

@@ -126,6 +126,7 @@ def rotated(keys: str, stock: str, ytd: str, r30: str, crs: str, last: str, acti
         FROM (SELECT s.*, coalesce(y.lineas_pi, 0) AS lineas_pi_ytd, coalesce(y.cantidad_pi, 0) AS cantidad_pi_ytd,
             coalesce(y.pct, 0) AS porcentaje_lineas_pi_ytd, coalesce(y.acum, 0) AS porcentaje_acumulado_pi_ytd,
             coalesce(y.abc, 'D') AS rotacion_abc_ytd, y.ultima_pi AS ultima_pi_ytd, y.descripcion_pi,
+            r.descripcion_pi AS descripcion_pi_30d,
             coalesce(r.lineas_pi, 0) AS lineas_pi_30d, coalesce(r.cantidad_pi, 0) AS cantidad_pi_30d,
             coalesce(r.pct, 0) AS porcentaje_lineas_pi_30d, coalesce(r.acum, 0) AS porcentaje_acumulado_pi_30d,
             coalesce(r.abc, 'D') AS rotacion_abc_30d, r.ultima_pi AS ultima_pi_30d,
@@ -195,14 +196,14 @@ def quarterly(keys: str, universe_: str, pis: str, dimension: str, identity: str
                 GROUP BY ALL) c ON {on('u', 'c', keys)} AND u.trimestre = c.trimestre)"""
 
 
-def summary(source: str, rotation: str, stock: str, lines: str, qty: str, level: str = "", by: str = "") -> str:
+def summary(source: str, rotation: str, stock: str, lines: str, qty: str, level: str = "", by: str = "", counted: str = "articulo") -> str:
     head = f"'{level}' AS analisis, " if level else ""
     part = f"PARTITION BY {by}" if by else ""
     also = f"{by}, " if by else ""
     return f"""SELECT {head}{also}rotacion, referencias, stock_total, lineas_pi, cantidad_pi,
         coalesce({ratio('stock_total', f'sum(stock_total) OVER ({part})')}, 0) AS porcentaje_stock,
         coalesce({ratio('referencias', f'sum(referencias) OVER ({part})')}, 0) AS porcentaje_referencias
-        FROM (SELECT {also}{rotation} AS rotacion, count(articulo) AS referencias, coalesce(sum({stock}), 0) AS stock_total,
+        FROM (SELECT {also}{rotation} AS rotacion, count({counted}) AS referencias, coalesce(sum({stock}), 0) AS stock_total,
             sum({lines}) AS lineas_pi, sum({qty}) AS cantidad_pi FROM {source} GROUP BY ALL)"""
 
 
@@ -238,12 +239,11 @@ STEPS: dict[str, str] = {
         ON r.i <= CASE WHEN l_partkey % 10 = 3 AND l_linenumber = 1 THEN 8 ELSE 1 END""",
     "stock_raw": """SELECT r_name AS denominacion_propietario, CAST(n_regionkey AS VARCHAR) AS propie,
         CAST(CASE WHEN l_partkey % 10 = 4 THEN l_partkey % 50 ELSE l_partkey END AS VARCHAR) AS art_y,
-        p_name AS denominacion, l_quantity AS stock_pal, 'L' || CAST(l_orderkey % 97 AS VARCHAR) AS ubicacion,
-        CASE WHEN l_orderkey % 5 = 0 THEN 'Libre' ELSE 'Ocupado' END AS ocupacion,
+        CASE WHEN l_partkey % 7 <> 0 THEN p_name END AS denominacion, l_quantity AS stock_pal, 'L' || CAST(l_orderkey % 97 AS VARCHAR) AS ubicacion,
+        CASE WHEN l_linestatus = 'F' AND l_orderkey % 3 = 0 AND l_orderkey % 5 <> 0 THEN 'Ocupado' ELSE 'Libre' END AS ocupacion,
         l_orderkey * 1000 + l_linenumber * 10 AS row_no, last_day(CAST(l_shipdate AS DATE)) AS snapshot_date
         FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
-        JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
-        WHERE l_linestatus = 'F' AND l_orderkey % 3 = 0""",
+        JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "mov": f"""SELECT tipo_movimiento, fecha_inicio AS fecha_movimiento, {key('propietario')} AS owner_key,
         {key('articulo')} AS article_key, denominacion_articulo AS descripcion_movimiento,
         coalesce(cantidad, 0) AS cantidad_movimiento, year(fecha_inicio) AS year, quarter(fecha_inicio) AS quarter,
@@ -523,12 +523,19 @@ RESULTS: dict[str, str] = {
         WHEN 5 THEN 'A' || l_partkey || '.0' WHEN 6 THEN l_partkey || '.00' END AS articulo FROM lineitem)""",
     "parse_dates": """SELECT CASE l_linenumber WHEN 1 THEN strftime(l_shipdate, '%d/%m/%Y')
         WHEN 2 THEN strftime(l_shipdate, '%d/%m/%Y %H:%M:%S') WHEN 3 THEN strftime(l_shipdate, '%Y-%m-%d')
-        WHEN 4 THEN '31/02/' || year(l_shipdate) WHEN 5 THEN 'sin fecha' END AS texto,
+        WHEN 4 THEN '31/02/' || year(l_shipdate) WHEN 5 THEN CASE l_orderkey % 4 WHEN 0 THEN 'sin fecha'
+            WHEN 1 THEN strftime(l_shipdate, '%-d/%-m/%Y') WHEN 2 THEN strftime(l_shipdate, '%d/%m/%Y %H:%M')
+            ELSE strftime(l_shipdate, '%d/%m/%Y 8:05:09') END END AS texto,
         CASE WHEN l_linenumber = 1 THEN date_trunc('day', l_shipdate) WHEN l_linenumber = 2 THEN date_trunc('second', l_shipdate)
+        WHEN l_linenumber = 5 THEN CASE l_orderkey % 4 WHEN 1 THEN date_trunc('day', l_shipdate)
+            WHEN 2 THEN date_trunc('minute', l_shipdate)
+            WHEN 3 THEN date_trunc('day', l_shipdate) + INTERVAL 8 HOUR + INTERVAL 5 MINUTE + INTERVAL 9 SECOND END
         END AS fecha_movimiento FROM lineitem""",
-    "coerce_quantities": """SELECT texto, coalesce(TRY_CAST(texto AS DOUBLE), 0) AS cantidad FROM (SELECT CASE l_linenumber
-        WHEN 1 THEN n WHEN 2 THEN n || '.5' WHEN 3 THEN '-' || n WHEN 4 THEN n || ' uds' WHEN 5 THEN '' END AS texto
-        FROM (SELECT l_linenumber, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS n FROM lineitem))""",
+    "coerce_quantities": """SELECT texto, CASE WHEN regexp_matches(texto, '[A-Za-z]') THEN 0
+        ELSE coalesce(TRY_CAST(texto AS DOUBLE), 0) END AS cantidad FROM (SELECT CASE l_linenumber
+        WHEN 1 THEN n WHEN 2 THEN n || '.5' WHEN 3 THEN '-' || n WHEN 4 THEN n || ' uds' WHEN 5 THEN
+            CASE l_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN n || 'd' WHEN 2 THEN n || 'F' ELSE '0x' || n || 'p3' END END AS texto
+        FROM (SELECT l_linenumber, l_orderkey, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS n FROM lineitem))""",
     "days_since_last": f"""SELECT article_key, {days("max(fecha_movimiento) FILTER (WHERE tipo_movimiento = 'PI')")} AS dias_desde_ultima_pi_historica,
         {days("max(fecha_movimiento) FILTER (WHERE tipo_movimiento = 'CR')")} AS dias_desde_ultima_cr FROM mov GROUP BY article_key""",
     "month_labels": f"""SELECT article_key, array_to_string([{NAMES}[n] for n in m], ', ') AS meses,
@@ -572,8 +579,8 @@ RESULTS: dict[str, str] = {
     "inactivity_article": "SELECT * FROM cur_a",
     "recent_arrival_flag": """SELECT *, rotacion_final_ytd ILIKE '%recién llegado%' OR rotacion_final_30d ILIKE '%recién llegado%'
         AS es_recien_llegado FROM cur_a""",
-    "detail_30d_article": "SELECT * FROM cur_a",
-    "detail_30d_owner_article": "SELECT * FROM cur_o",
+    "detail_30d_article": "SELECT * REPLACE (coalesce(descripcion_stock, descripcion_pi_30d) AS descripcion) FROM cur_a",
+    "detail_30d_owner_article": "SELECT * REPLACE (coalesce(descripcion_stock, descripcion_pi_30d) AS descripcion) FROM cur_o",
     "quarter_universe_article": """SELECT *, year(trimestre) AS year, quarter(trimestre) AS quarter,
         year(trimestre) || 'Q' || quarter(trimestre) AS period_label FROM uni_a""",
     "quarter_universe_owner_article": """SELECT *, year(trimestre) AS year, quarter(trimestre) AS quarter,
@@ -628,7 +635,7 @@ RESULTS: dict[str, str] = {
     + summary("cur_a", "rotacion_final_30d", "stock_actual_total", "lineas_pi_30d", "cantidad_pi_30d", "articulo_unico"),
     "summary_quarterly": summary(
         "qua_o", "rotacion_final_trimestre", "stock_actual_foto", "lineas_pi_trimestre", "cantidad_pi_trimestre",
-        "owner-articulo", "period_label",
+        "owner-articulo", "period_label", "CASE WHEN owner_key IS NOT NULL THEN articulo END",
     )
     + " UNION ALL "
     + summary(

@@ -215,13 +215,16 @@ def _(i):
 @query("parse_dates", "texto fecha_movimiento")
 def _(i):
     line = table(i.spark, i.folder, "lineitem")
-    day, number = F.col("l_shipdate"), F.col("l_linenumber")
+    day, number, order = F.col("l_shipdate"), F.col("l_linenumber"), F.col("l_orderkey") % 4
     raw = (
         F.when(number == 1, F.date_format(day, "dd/MM/yyyy"))
         .when(number == 2, F.date_format(day, "dd/MM/yyyy HH:mm:ss"))
         .when(number == 3, F.date_format(day, "yyyy-MM-dd"))
         .when(number == 4, F.concat(F.lit("31/02/"), F.year(day).cast("string")))
-        .when(number == 5, F.lit("sin fecha"))
+        .when((number == 5) & (order == 0), F.lit("sin fecha"))
+        .when((number == 5) & (order == 1), F.date_format(day, "d/M/yyyy"))
+        .when((number == 5) & (order == 2), F.date_format(day, "dd/MM/yyyy HH:mm"))
+        .when((number == 5) & (order == 3), F.date_format(day, "dd/MM/yyyy '8:05:09'"))
     )
     return line.select(raw.alias("texto")).withColumn("fecha_movimiento", parse_stamp(F.col("texto"), StringType()))
 
@@ -230,12 +233,16 @@ def _(i):
 def _(i):
     line = table(i.spark, i.folder, "lineitem")
     number, size = F.col("l_linenumber"), F.col("l_quantity").cast("bigint").cast("string")
+    order = F.col("l_orderkey") % 4
     raw = (
         F.when(number == 1, size)
         .when(number == 2, F.concat(size, F.lit(".5")))
         .when(number == 3, F.concat(F.lit("-"), size))
         .when(number == 4, F.concat(size, F.lit(" uds")))
-        .when(number == 5, F.lit(""))
+        .when((number == 5) & (order == 0), F.lit(""))
+        .when((number == 5) & (order == 1), F.concat(size, F.lit("d")))
+        .when((number == 5) & (order == 2), F.concat(size, F.lit("F")))
+        .when(number == 5, F.concat(F.lit("0x"), size, F.lit("p3")))
     )
     return line.select(raw.alias("texto")).withColumn("cantidad", number_or_zero(F.col("texto")))
 
@@ -458,7 +465,7 @@ def _(i):
 
 @query("inactivity_article", "article_key inactivo_30d inactivo_90d")
 def _(i):
-    return i.current_article
+    return current.inactivity(i.activity, i.article_stock, current.BY_ARTICLE, i.params)
 
 
 @query("recent_arrival_flag", "article_key rotacion_final_ytd rotacion_final_30d es_recien_llegado")
@@ -467,21 +474,14 @@ def _(i):
     return i.current_article.withColumn("es_recien_llegado", recent)
 
 
-ROLLING_COLUMNS = (
-    "ubicaciones_con_stock lineas_pi_30d cantidad_pi_30d porcentaje_lineas_pi_30d porcentaje_acumulado_pi_30d "
-    "rotacion_abc_30d rotacion_final_30d ultima_pi_30d dias_desde_ultima_pi_30d ultima_cr dias_desde_ultima_cr "
-    "lineas_cr_historico cantidad_cr_historico"
-)
-
-
-@query("detail_30d_article", "articulo descripcion propietarios_distintos stock_actual_total " + ROLLING_COLUMNS)
+@query("detail_30d_article", " ".join(layouts.ROLLING_ARTICLE))
 def _(i):
-    return current.rolling_detail(i.current_article, current.BY_ARTICLE)
+    return current.rolling_detail(current.rotation(i.activity, i.article_stock, current.BY_ARTICLE, i.params), current.BY_ARTICLE)
 
 
-@query("detail_30d_owner_article", "propietario owner_key articulo descripcion stock_actual " + ROLLING_COLUMNS)
+@query("detail_30d_owner_article", " ".join(layouts.ROLLING_OWNER_ARTICLE))
 def _(i):
-    return current.rolling_detail(i.current_owner, current.BY_OWNER)
+    return current.rolling_detail(current.rotation(i.activity, i.owner_stock, current.BY_OWNER, i.params), current.BY_OWNER)
 
 
 # --- quarterly ---------------------------------------------------------------------------------

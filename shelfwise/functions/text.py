@@ -58,9 +58,14 @@ def normalize_key(bare: Column) -> Column:
     return F.when(whole, F.left(bare, F.length(bare) - 2)).otherwise(filled_text(bare))
 
 
+DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def number_or_zero(value: Column, kind: DataType = StringType()) -> Column:
-    """A double; what is not a number becomes 0."""
-    number = value.try_cast("double") if isinstance(kind, StringType) else value.cast("double")
+    """A double; what is not a plain decimal number becomes 0."""
+    # A cast alone also takes the type suffixes and hexadecimal forms of program text.
+    plain = F.when(value.rlike(DECIMAL), value)
+    number = plain.try_cast("double") if isinstance(kind, StringType) else value.cast("double")
     return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
 
 

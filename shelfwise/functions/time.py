@@ -24,12 +24,18 @@ def end_of_day(day: Column) -> Column:
     return F.date_add(day, 1).cast("timestamp_ntz") - F.expr("INTERVAL 1 MICROSECOND")
 
 
+# Day and month of one or two digits, and a time of hours and minutes, with or without seconds.
+DAY_FIRST = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?: +(\d{1,2}):(\d{2})(?::(\d{2}))?)?\s*$"
+
+
 def parse_stamp(value: Column, kind: DataType) -> Column:
     """A zone-free timestamp. Text is read day first; any other form of text is null."""
     if not isinstance(kind, StringType):
         return value.cast("timestamp_ntz")
-    iso = F.regexp_replace(value, r"^(\d{2})/(\d{2})/(\d{4})( \d{2}:\d{2}:\d{2})?$", "$3-$2-$1$4")
-    return F.when(F.substring(value, 3, 1) == "/", iso.try_cast("timestamp_ntz"))
+    part = [F.regexp_extract(value, DAY_FIRST, n) for n in range(1, 7)]
+    two = [F.lpad(F.when(p != "", p).otherwise("0"), 2, "0") for p in part]
+    iso = F.concat(part[2], F.lit("-"), two[1], F.lit("-"), two[0], F.lit(" "), two[3], F.lit(":"), two[4], F.lit(":"), two[5])
+    return F.when(value.rlike(DAY_FIRST), iso.try_cast("timestamp_ntz"))
 
 
 def days_since(reference: Column, stamp: Column) -> Column:

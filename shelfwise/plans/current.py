@@ -29,7 +29,7 @@ from shelfwise.params import (
     Params,
 )
 from shelfwise.plans.common import stamped, with_ids
-from shelfwise.plans.layouts import CURRENT_ARTICLE, CURRENT_OWNER_ARTICLE
+from shelfwise.plans.layouts import CURRENT_ARTICLE, CURRENT_OWNER_ARTICLE, ROLLING_ARTICLE, ROLLING_OWNER_ARTICLE
 
 
 @dataclass(frozen=True)
@@ -41,13 +41,14 @@ class Grain:
     active: str
     idle: str
     layout: list[str]
+    rolling: list[str]
 
 
 BY_OWNER = Grain(
-    OWNER_ARTICLE, "stock_actual", CRITERIA_OWNER_ACTIVE, CRITERIA_OWNER_IDLE, CURRENT_OWNER_ARTICLE
+    OWNER_ARTICLE, "stock_actual", CRITERIA_OWNER_ACTIVE, CRITERIA_OWNER_IDLE, CURRENT_OWNER_ARTICLE, ROLLING_OWNER_ARTICLE
 )
 BY_ARTICLE = Grain(
-    ARTICLE, "stock_actual_total", CRITERIA_ARTICLE_ACTIVE, CRITERIA_ARTICLE_IDLE, CURRENT_ARTICLE
+    ARTICLE, "stock_actual_total", CRITERIA_ARTICLE_ACTIVE, CRITERIA_ARTICLE_IDLE, CURRENT_ARTICLE, ROLLING_ARTICLE
 )
 
 HORIZONS = {"ytd": RECENT_YTD, "30d": RECENT_30D}
@@ -120,10 +121,10 @@ def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params
     return found.withColumns(new)
 
 
-def current(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params) -> DataFrame:
-    """The published current table of one grain."""
+def current(rotated: DataFrame, stock: DataFrame, grain: Grain, params: Params) -> DataFrame:
+    """The published current table of one grain, from its rotation."""
     short, long = params.inactive_days
-    detail = rotation(activity, stock, grain, params).withColumns(
+    detail = rotated.withColumns(
         {
             "descripcion": F.coalesce("descripcion_stock", "descripcion_pi_ytd"),
             f"inactivo_{short}d": inactive(F.col("ultima_pi_historica"), params, short),
@@ -136,33 +137,21 @@ def current(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params)
 
 
 def current_owner_article(activity: DataFrame, stock: DataFrame, params: Params) -> DataFrame:
-    return current(activity, stock, BY_OWNER, params)
+    return current(rotation(activity, stock, BY_OWNER, params), stock, BY_OWNER, params)
 
 
 def current_article(activity: DataFrame, stock: DataFrame, params: Params) -> DataFrame:
-    return current(activity, stock, BY_ARTICLE, params)
-
-
-def rolling_detail(current_table: DataFrame, grain: Grain) -> DataFrame:
-    """The 30-day audit table: a cut of the current one."""
-    head = ["propietario", "owner_key", "articulo"] if grain is BY_OWNER else ["articulo"]
-    owners = [] if grain is BY_OWNER else ["propietarios_distintos"]
-    return current_table.select(
-        *head,
-        "descripcion",
-        *owners,
-        grain.stock,
-        "ubicaciones_con_stock",
-        "lineas_pi_30d",
-        "cantidad_pi_30d",
-        "porcentaje_lineas_pi_30d",
-        "porcentaje_acumulado_pi_30d",
-        "rotacion_abc_30d",
-        "rotacion_final_30d",
-        "ultima_pi_30d",
-        "dias_desde_ultima_pi_30d",
-        "ultima_cr",
-        "dias_desde_ultima_cr",
-        "lineas_cr_historico",
-        "cantidad_cr_historico",
-    )
+    return current(rotation(activity, stock, BY_ARTICLE, params), stock, BY_ARTICLE, params)
+
+
+def inactivity(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params) -> DataFrame:
+    """Keys in stock and whether they have rested for each number of days; no ranking is needed."""
+    last = key_metrics(activity, grain.keys, params).select(*grain.keys, "ultima_pi_historica")
+    flags = {f"inactivo_{days}d": inactive(F.col("ultima_pi_historica"), params, days) for days in params.inactive_days}
+    return stock.select(*grain.keys).join(last, grain.keys, "left").withColumns(flags)
+
+
+def rolling_detail(rotated: DataFrame, grain: Grain) -> DataFrame:
+    """The 30-day audit table, from a grain's rotation. Its text falls back to the first one of the 30 days."""
+    text = F.coalesce("descripcion_stock", "descripcion_pi_30d")
+    return with_ids(rotated).withColumn("descripcion", text).select(*grain.rolling)

@@ -99,3 +99,12 @@ peak_period_upcoming months_to_next_peak flag_pico_proximo
 warning_rotacion_baja_pero_estacional warning_stock_dormido_real
 warning_stock_inmovilizado_sin_salida_reciente warning_posible_reactivacion_proxima
 """.split()
+
+# Columns of the 30-day audit tables.
+_ROLLING = """
+ubicaciones_con_stock lineas_pi_30d cantidad_pi_30d porcentaje_lineas_pi_30d porcentaje_acumulado_pi_30d
+rotacion_abc_30d rotacion_final_30d ultima_pi_30d dias_desde_ultima_pi_30d ultima_cr dias_desde_ultima_cr
+lineas_cr_historico cantidad_cr_historico
+""".split()
+ROLLING_OWNER_ARTICLE = ["propietario", "owner_key", "articulo", "descripcion", "stock_actual", *_ROLLING]
+ROLLING_ARTICLE = ["articulo", "descripcion", "propietarios_distintos", "stock_actual_total", *_ROLLING]

@@ -51,17 +51,12 @@ class Target:
         return f"{self.root}/json/{name}"
 
 
-def write_snapshot(frame: DataFrame, path: str) -> None:
-    """Replace this snapshot's partition and leave earlier snapshots alone.
+def write_snapshot(frame: DataFrame, path: str, params: Params) -> None:
+    """Replace this snapshot's folder, also by no rows, and leave other snapshots alone.
 
-    The partition column moves to the end of the files; ``read_table`` puts it back.
+    The folder's name holds the snapshot; ``read_table`` puts the column back in its place.
     """
-    (
-        frame.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(path)
-    )
+    frame.drop("snapshot_date").write.mode("overwrite").parquet(f"{path}/snapshot_date={params.snapshot_text}")
 
 
 def read_table(like: DataFrame, path: str, params: Params) -> DataFrame:
@@ -87,11 +82,13 @@ def publish(movements: DataFrame, stock: DataFrame, params: Params, target: Targ
     by_article = stage(stock_by_article(occupied), "stock_article")
 
     def put(name: str, frame: DataFrame) -> DataFrame:
-        write_snapshot(frame, target.table(name))
+        write_snapshot(frame, target.table(name), params)
         return read_table(frame, target.table(name), params)
 
-    owners = put(OWNER_CURRENT, current.current_owner_article(activity, by_owner, params))
-    articles = put(ARTICLE_CURRENT, current.current_article(activity, by_article, params))
+    turned_owner = stage(current.rotation(activity, by_owner, current.BY_OWNER, params), "turned_owner")
+    turned_article = stage(current.rotation(activity, by_article, current.BY_ARTICLE, params), "turned_article")
+    owners = put(OWNER_CURRENT, current.current(turned_owner, by_owner, current.BY_OWNER, params))
+    articles = put(ARTICLE_CURRENT, current.current(turned_article, by_article, current.BY_ARTICLE, params))
 
     owner_quarters = put(
         OWNER_HISTORY,
@@ -113,8 +110,8 @@ def publish(movements: DataFrame, stock: DataFrame, params: Params, target: Targ
     put(DECISION, decision.decision_article(detail, params))
 
     audits = {
-        "detalle_30d_owner_article": current.rolling_detail(owners, current.BY_OWNER),
-        "detalle_30d_article": current.rolling_detail(articles, current.BY_ARTICLE),
+        "detalle_30d_owner_article": current.rolling_detail(turned_owner, current.BY_OWNER),
+        "detalle_30d_article": current.rolling_detail(turned_article, current.BY_ARTICLE),
         "resumen": summaries.in_class_order(summaries.summary_current(owners)),
         "resumen_article": summaries.in_class_order(summaries.summary_article_ytd(articles)),
         "resumen_30d": summaries.in_class_order(summaries.summary_30d(owners, articles), "analisis"),
@@ -123,7 +120,7 @@ def publish(movements: DataFrame, stock: DataFrame, params: Params, target: Targ
         ),
     }
     for name, frame in audits.items():
-        write_snapshot(stamped(frame, params), target.audit(name))
+        write_snapshot(stamped(frame, params), target.audit(name), params)
 
     write_document(kpis.kpi_abc(owners, articles, article_quarters, params), target.document(KPI_ABC), params)
     write_document(kpis.kpi_temporality(detail, params), target.document(KPI_TEMPORALITY), params)

@@ -18,7 +18,7 @@ def _share(value: Column, total: Column) -> Column:
 
 
 def class_summary(
-    frame: DataFrame, rotation: str, stock: str, lines: str, quantity: str, by: list[str] | None = None
+    frame: DataFrame, rotation: str, stock: str, lines: str, quantity: str, by: list[str] | None = None, counted: Column | str = "articulo"
 ) -> DataFrame:
     """References, stock, lines and quantity per class, with shares of all classes.
 
@@ -26,7 +26,7 @@ def class_summary(
     """
     by = by or []
     summary = frame.groupBy(*by, F.col(rotation).alias("rotacion")).agg(
-        F.count("articulo").alias("referencias"),
+        F.count(counted).alias("referencias"),
         F.coalesce(F.sum(stock), F.lit(0.0)).alias("stock_total"),
         F.coalesce(F.sum(lines), F.lit(0)).alias("lineas_pi"),
         F.coalesce(F.sum(quantity), F.lit(0.0)).alias("cantidad_pi"),
@@ -72,8 +72,10 @@ def summary_30d(owner_table: DataFrame, article_table: DataFrame) -> DataFrame:
 
 def summary_quarterly(owner_quarters: DataFrame, article_quarters: DataFrame) -> DataFrame:
     rest = ("lineas_pi_trimestre", "cantidad_pi_trimestre")
+    # Lines without owner have rows of their own, which name no reference of an owner.
+    owned = F.when(F.col("owner_key").isNotNull(), F.col("articulo"))
     owners = class_summary(
-        owner_quarters, "rotacion_final_trimestre", f"{BY_OWNER.stock}_foto", *rest, by=["period_label"]
+        owner_quarters, "rotacion_final_trimestre", f"{BY_OWNER.stock}_foto", *rest, by=["period_label"], counted=owned
     )
     articles = class_summary(
         article_quarters, "rotacion_final_trimestre", f"{BY_ARTICLE.stock}_foto", *rest, by=["period_label"]

@@ -29,7 +29,7 @@ def with_row_no(frame: DataFrame) -> DataFrame:
 def prepare_movements(raw: DataFrame, params: Params) -> DataFrame:
     """Valid movement lines up to the end of the snapshot day, with normalised keys."""
     raw = from_headers(raw, MOVEMENT_HEADERS)
-    require_columns(raw, list(MOVEMENT_HEADERS.values()), "movimientos")
+    require_columns(movements=(raw, MOVEMENT_HEADERS))
     raw = with_row_no(raw)
     kinds = {field.name: field.dataType for field in raw.schema}
 

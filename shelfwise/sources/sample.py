@@ -71,19 +71,19 @@ def sample_movements(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sample_stock(spark: SparkSession, folder: str) -> DataFrame:
-    """A raw stock snapshot table. ``snapshot_date`` spreads the rows over month ends."""
+    """A raw stock snapshot table of every line; most positions are free. ``snapshot_date`` spreads over month ends."""
+    held = (F.col("l_linestatus") == "F") & (F.col("l_orderkey") % 3 == 0) & (F.col("l_orderkey") % 5 != 0)
     return (
         _lines(spark, folder)
         .join(table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
-        .where((F.col("l_linestatus") == "F") & (F.col("l_orderkey") % 3 == 0))
         .select(
             F.col("r_name").alias("denominacion_propietario"),
             F.col("n_regionkey").cast("string").alias("propie"),
             _article().alias("art_y"),
-            F.col("p_name").alias("denominacion"),
+            F.when(F.col("l_partkey") % 7 != 0, F.col("p_name")).alias("denominacion"),
             F.col("l_quantity").alias("stock_pal"),
             F.concat(F.lit("L"), (F.col("l_orderkey") % 97).cast("string")).alias("ubicacion"),
-            F.when(F.col("l_orderkey") % 5 == 0, "Libre").otherwise("Ocupado").alias("ocupacion"),
+            F.when(held, "Ocupado").otherwise("Libre").alias("ocupacion"),
             (F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 10).alias("row_no"),
             F.last_day("l_shipdate").alias("snapshot_date"),
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,27 +40,44 @@ def latest_snapshot(snapshots: DataFrame) -> DataFrame:
 
 
 def latest_stock_file(spark: SparkSession, folder: str) -> tuple[str, object]:
-    """Path and date of the newest dated file in a folder; ties go to the last one written.
+    """Path and date of the newest dated file, or folder of files, below a folder; ties go to the last one written.
 
     Only the listing is read, never the contents, and one row comes back.
     """
-    listing = spark.read.format("binaryFile").load(folder).select("path", "modificationTime")
-    name = F.element_at(F.split("path", "/"), -1)
-    dated = listing.select("path", "modificationTime", snapshot_date_from_name(name).alias("day")).where(
-        F.col("day").isNotNull()
-    )
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    # The last dated part of the path: a file, or a folder that a writer made in one go.
+    part = F.regexp_extract("path", rf"^(.*/[^/]*{NAME_DATE}[^/]*)(/[^/]*)*$", 1)
+    day = snapshot_date_from_name(F.element_at(F.split(part, "/"), -1))
+    dated = listing.select(part.alias("path"), "modificationTime", day.alias("day")).where(F.col("day").isNotNull())
     newest = dated.agg(
         F.max_by("path", F.struct("day", "modificationTime")).alias("path"), F.max("day").alias("day")
     ).first()
     if newest.path is None:
-        raise FileNotFoundError("No se ha encontrado ningún fichero de stock con fecha dd-mm-yyyy")
+        raise FileNotFoundError(f"no name with a day-first date (dd-mm-yyyy) under {folder}")
     return newest.path, newest.day
 
 
+def open_stock(spark: SparkSession, path: str, fmt: str = "parquet", day: date | None = None) -> tuple[DataFrame, date]:
+    """A snapshot and its date: of `day` in a table of many, of a dated path, the newest in a folder of dated ones,
+    or else the newest in a table of many."""
+    if day:
+        stock = read_stock(spark, path, fmt)
+        return (stock.where(F.col("snapshot_date") == F.lit(day)) if "snapshot_date" in stock.columns else stock), day
+    try:
+        found, day = latest_stock_file(spark, path)
+        return read_stock(spark, found, fmt), day
+    except FileNotFoundError:
+        stock = read_stock(spark, path, fmt)
+        if "snapshot_date" not in stock.columns:
+            raise
+        newest = stock.agg(F.max(F.col("snapshot_date").cast("date")).alias("day")).first().day
+        return latest_snapshot(stock), newest
+
+
 def occupied_stock(raw: DataFrame) -> DataFrame:
     """Occupied positions with positive stock and both keys."""
     raw = from_headers(raw, STOCK_HEADERS)
-    require_columns(raw, list(STOCK_HEADERS.values()), "stock")
+    require_columns(stock=(raw, STOCK_HEADERS))
     raw = with_row_no(raw)
     kinds = {field.name: field.dataType for field in raw.schema}
     owner, article, amount = F.col("_propie"), F.col("_art"), F.col("stock_actual")

@@ -90,3 +90,14 @@ def test_names(spark):
 def test_class_rank(spark):
     classes = ["A", "B", "C", "D", "Sin rotación 30d, recién llegado", "?"]
     assert one(spark, "string", classes, class_rank) == [4, 3, 2, 1, 1, 0]
+
+
+def test_day_first_dates_and_plain_numbers(spark):
+    texts = ["31/03/2026 10:30", "1/3/2026", "31/03/2026 8:05:00", "31/02/2026", "2026-03-31", "1/3/26", "10/10/2026 25:00", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_stamp(F.col("t"), StringType()).alias("s")).collect()
+    assert [str(r.s) if r.s else None for r in rows] == [
+        "2026-03-31 10:30:00", "2026-03-01 00:00:00", "2026-03-31 08:05:00", None, None, None, None, None
+    ]
+    texts = ["10", " 2.5 ", "-3", "1e3", ".5", "10d", "5F", "0x1p3", "NaN", "Infinity", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(number_or_zero(F.col("t")).alias("n")).collect()
+    assert [r.n for r in rows] == [10.0, 2.5, -3.0, 1000.0, 0.5, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]

@@ -1,6 +1,6 @@
 from shelfwise.operators.activity import daily_activity, quarterly_activity
 from shelfwise.plans import quarterly
-from shelfwise.plans.current import BY_ARTICLE, current_article, current_owner_article, rolling_detail
+from shelfwise.plans.current import BY_ARTICLE, current_article, current_owner_article, rolling_detail, rotation
 from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE, article_dimension, owner_dimension
 
 STOCK = [("Uno", "1", "x", "Equis", 5.0, "L1")]
@@ -102,7 +102,7 @@ def test_scattered_fast_article_is_to_be_moved_together(world, by_key, params):
 
 def test_rolling_detail(world, params):
     w = world([("PI", "2026-04-01", "x", None, 1.0, "1")], STOCK)
-    cut = rolling_detail(current_article(w.activity, w.by_article, params), BY_ARTICLE)
+    cut = rolling_detail(rotation(w.activity, w.by_article, BY_ARTICLE, params), BY_ARTICLE)
     assert len(cut.columns) == 17 and cut.first().lineas_pi_30d == 1
 
 

@@ -11,12 +11,14 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from shelfwise.catalog import oracle
+from shelfwise.catalog.queries import QUERIES
 from shelfwise.plans import layouts, publish
 from shelfwise.plans.publish import Target
 from shelfwise.sources.columns import require_columns
 from shelfwise.sources.movements import prepare_movements, read_movements
 from shelfwise.sources.sample import SAMPLE, sample_movements, sample_stock
-from shelfwise.sources.stock import latest_stock_file, occupied_stock, read_stock
+from shelfwise.sources.stock import latest_stock_file, occupied_stock, open_stock, read_stock
 
 # Queries compared in every test run; SHELFWISE_ALL=1 compares all of them.
 COMPARED = """
@@ -27,9 +29,9 @@ summary_quarterly top10_risk kpi_abc_scalars
 
 
 def test_missing_columns(spark):
-    with pytest.raises(ValueError, match="movimientos.*cantidad"):
-        require_columns(spark.range(1), ["id", "cantidad"], "movimientos")
-    with pytest.raises(ValueError, match="Faltan columnas en stock"):
+    with pytest.raises(ValueError, match="log: cantidad; other: amount"):
+        require_columns(log=(spark.range(1), {"A": "id", "B": "cantidad"}), fine=(spark.range(1), {"A": "id"}), other=(spark.range(1), {"C": "amount"}))
+    with pytest.raises(ValueError, match="stock: art_y"):
         occupied_stock(spark.range(1))
 
 
@@ -68,6 +70,30 @@ def test_latest_stock_file(spark, tmp_path):
         latest_stock_file(spark, str(empty))
 
 
+def test_open_stock_takes_parquet_folders_paths_and_tables(spark, tmp_path):
+    stock = sample_stock(spark, SMALL).limit(5).drop("snapshot_date")
+    for day in ("31-03-2026", "stock 17-04-2026"):
+        stock.write.parquet(str(tmp_path / "many" / f"{day}.parquet"))
+    for path in (tmp_path / "many", tmp_path / "many" / "stock 17-04-2026.parquet"):
+        found, day = open_stock(spark, str(path))
+        assert found.count() == 5 and day == date(2026, 4, 17)
+    sample_stock(spark, SMALL).write.partitionBy("snapshot_date").parquet(str(tmp_path / "table"))
+    found, day = open_stock(spark, str(tmp_path / "table"))
+    assert found.count() > 0 and day == date(2001, 11, 30)
+    assert [str(r.snapshot_date) for r in found.select("snapshot_date").distinct().collect()] == ["2001-11-30"]
+    found, day = open_stock(spark, str(tmp_path / "table"), day=date(2001, 10, 31))
+    assert found.count() > 0 and day == date(2001, 10, 31)
+
+
+def test_a_run_without_rows_empties_its_snapshot(spark, tmp_path):
+    rows = spark.createDataFrame([("2001-10-31", 1)], "snapshot_date string, n int")
+    other = replace(SAMPLE, snapshot=date(2001, 9, 30))
+    for frame, params in ((rows, SAMPLE), (rows, other), (rows.limit(0), SAMPLE)):
+        publish.write_snapshot(frame, str(tmp_path / "t"), params)
+    assert publish.read_table(rows, str(tmp_path / "t"), SAMPLE).count() == 0
+    assert publish.read_table(rows, str(tmp_path / "t"), other).count() == 1
+
+
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
     """Two runs of neighbouring snapshots into one target."""
@@ -151,7 +177,7 @@ def test_same_run_twice_replaces_its_snapshot(spark, run):
     before = spark.read.parquet(run.table(publish.ARTICLE_CURRENT)).count()
     one = latest(spark, run, publish.ARTICLE_CURRENT).count()
     rows = latest(spark, run, publish.ARTICLE_CURRENT).withColumn("snapshot_date", F.lit("2001-10-31"))
-    publish.write_snapshot(spark.createDataFrame(rows.collect(), rows.schema), run.table(publish.ARTICLE_CURRENT))
+    publish.write_snapshot(spark.createDataFrame(rows.collect(), rows.schema), run.table(publish.ARTICLE_CURRENT), SAMPLE)
     assert spark.read.parquet(run.table(publish.ARTICLE_CURRENT)).count() == before > one
 
 
@@ -168,4 +194,4 @@ def test_entry(spark):
 
 
 def test_every_query_but_the_documents_has_a_check():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"kpi_abc", "kpi_temporality"}
+    assert set(QUERIES) - set(oracle.statements()) == {"kpi_abc", "kpi_temporality"}
