@@ -17,8 +17,8 @@ from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, mix, pieces, prefix,
 WORDS, PERCENT = 5, 80
 #: Documents up to which a column of the incidence is multiplied with itself outright.
 NARROW = 32
-#: Pivots of each wider column in the first round; each round takes four times as many as the one before.
-PIVOTS = 16
+#: Pivots of each wider column, and the side of the blocks that it is multiplied in after them.
+PIVOTS, SIDE = 16, 512
 
 
 def ngram_sets(texts: pa.Array | pa.ChunkedArray, n: int = WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -60,25 +60,30 @@ def _lists(values: np.ndarray, row: np.ndarray, use: np.ndarray) -> pa.Array:
 
 
 def incidence(docs: DataFrame, doc_id: str, text: str, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
-    """(doc, n, s1, s2, probe, grams), a row a document: size and digest of its set; n-grams that other documents have
-    too, and those of them that a partner must share one of. Both are null where too few are shared for any partner.
+    """(doc, n, s1, s2, centre, probe, grams), a row a document: size and digest of its set; how common its n-grams are
+    on average; those that other documents have too, and those of them that a partner must share one of. Both are
+    null where too few are shared for any partner.
 
-    The order behind `probe` puts n-grams of one document first, then goes by hash. Of n elements, a partner at
+    The order behind `probe` puts rare n-grams first, by the level of their document count over the whole corpus, then
+    goes by hash. Of n elements, a partner at
     80 percent shares at least 80 in 100, hence one of the first n - need + 1.
     """
     of_blocks, n_blocks = repeats.blocks(docs, doc_id, text)
     bits = repeats.shared(of_blocks, n_blocks, lambda texts: (g for *_, g in ngram_sets(texts)))
 
     def mark(group: pa.Table, found: pa.Table) -> pa.Table:
-        again, _ = repeats.read_bits(found)
+        levels = repeats.read_levels(found)
         u, _ = repeats.distinct(g for *_, g in ngram_sets(group.column("text")))
         out = []
         for a, b, row, gram in ngram_sets(group.column("text")):
-            twice = again[np.searchsorted(u, gram)]
+            level = levels[np.searchsorted(u, gram)]
+            twice = level > 0
             n, dup = np.bincount(row, minlength=b - a), np.bincount(row[twice], minlength=b - a)
             need = -(-percent * n // 100)
             use = (n > 0) & (dup >= need)
-            row2, gram2 = row[twice], gram[twice]
+            order = np.lexsort((gram[twice], level[twice], row[twice]))
+            row2, gram2 = row[twice][order], gram[twice][order]
+            centre = np.bincount(row, weights=level, minlength=b - a) / np.maximum(n, 1)
             place = np.arange(len(row2)) - np.searchsorted(row2, np.arange(b - a))[row2]
             first = place < (n - need + 1 - (n - dup))[row2]
             sums = [np.zeros(b - a, np.uint64) for _ in range(2)]
@@ -89,12 +94,12 @@ def incidence(docs: DataFrame, doc_id: str, text: str, scratch: Scratch, percent
             out.append(
                 pa.table(
                     {"doc": doc, "n": pa.array(n.astype(np.int64)), "s1": pa.array(sums[0].view(np.int64)), "s2": pa.array(sums[1].view(np.int64))}
-                    | {"probe": _lists(gram2[first], row2[first], use), "grams": _lists(gram2, row2, use)}
+                    | {"centre": pa.array(centre), "probe": _lists(gram2[first], row2[first], use), "grams": _lists(gram2, row2, use)}
                 )
             )
         return pa.concat_tables(out)
 
-    schema = "doc long, n long, s1 long, s2 long, probe array<long>, grams array<long>"
+    schema = "doc long, n long, s1 long, s2 long, centre double, probe array<long>, grams array<long>"
     joined = of_blocks.groupBy("block").cogroup(bits.groupBy("block"))
     return scratch.put(joined.applyInArrow(mark, schema))
 
@@ -107,6 +112,68 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.lit(100) * common >= F.lit(percent) * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
+def _mixed(cells: DataFrame, found: DataFrame) -> DataFrame:
+    """The cells of columns that hold more than one component, with the component `c`."""
+    placed = cells.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+    return placed.join(placed.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram"), "gram")
+
+
+def _merged(found: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components after further links. Those so far are the nodes; a root is not among the ids of `found`."""
+    if links.isEmpty():
+        return found
+    root = lambda x: found.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
+    over = links.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = scratch.put(components(over, scratch))
+    to = merged.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    moved = found.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return scratch.put(moved.unionByName(merged))
+
+
+def _products(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): edges that connect what is linked, from products of blocks of columns.
+
+    Of each column the classes outside its largest component are multiplied with all of it, in blocks of SIDE by SIDE,
+    whose links leave the task as one edge a class to the smallest class connected within the block.
+    """
+    largest = cells.groupBy("gram", "c").count().groupBy("gram").agg(F.max(F.struct("count", "c")).alias("l"), F.sum("count").alias("all"))
+    sides = largest.select("gram", "l.c", F.ceil((F.col("all") - F.col("l.count")) / SIDE).alias("rows"), F.ceil(F.col("all") / SIDE).alias("columns"))
+    there = cells.select("gram", "rep", F.col("c").alias("own")).join(sides, "gram")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    row, column = F.pmod(F.xxhash64("rep"), F.col("rows")), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("columns"))
+    left = there.where("own <> c").select("gram", "rep", row.alias("i"), upto("columns").alias("j"), F.lit(True).alias("is_row"))
+    right = there.select("gram", "rep", upto("rows").alias("i"), column.alias("j"), F.lit(False).alias("is_row"))
+
+    def multiply(group: pa.Table) -> pa.Table:
+        rep, n = group.column("rep").to_numpy(), group.column("n").to_numpy()
+        is_row = group.column("is_row").to_numpy(zero_copy_only=False).astype(bool)
+        lists = group.column("grams").to_pylist()
+        owner = np.repeat(np.arange(len(rep)), [len(x) for x in lists])
+        _, token, count = np.unique(np.concatenate([np.array(x, dtype=np.int64) for x in lists]), return_inverse=True, return_counts=True)
+        owner, token = owner[count[token] > 1], (np.cumsum(count > 1) - 1)[token[count[token] > 1]]
+        order = np.argsort(token, kind="stable")
+        owner, token = owner[order], token[order]
+        over = np.zeros((int(is_row.sum()), int((~is_row).sum())), dtype=np.float32)
+        for at in range(0, int(token[-1]) + 1 if len(token) else 0, 4096):
+            x, y = np.searchsorted(token, [at, at + 4096])
+            part = np.zeros((len(rep), 4096), dtype=np.float32)
+            part[owner[x:y], token[x:y] - at] = 1
+            over += part[is_row] @ part[~is_row].T
+        over = over.astype(np.float64)
+        link = 100 * over >= percent * (n[is_row][:, None] + n[~is_row] - over)
+        far = np.iinfo(np.int64).max
+        rows, columns, before = rep[is_row].copy(), rep[~is_row].copy(), None
+        while before is None or (rows != before).any():
+            before = rows.copy()
+            columns = np.minimum(columns, np.where(link, rows[:, None], far).min(axis=0, initial=far))
+            rows = np.minimum(rows, np.where(link, columns, far).min(axis=1, initial=far))
+        ids, to = np.concatenate([rep[is_row], rep[~is_row]]), np.concatenate([rows, columns])
+        return pa.table({"a": ids[ids > to], "b": to[ids > to]})
+
+    blocks = left.unionByName(right).join(sets.select("rep", "n", "grams"), "rep")
+    return blocks.groupBy("gram", "i", "j").applyInArrow(multiply, "a long, b long").distinct()
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc, n_shingles, component_id), one row a row of `docs`.
 
@@ -116,20 +183,19 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     Null and empty texts, and those of white space, have no n-grams and link with nothing. Rows of one id count as
     one document; a row without id links with nothing and has no component. Other columns are ignored.
 
-    Columns of the incidence (n-grams) with up to NARROW classes are multiplied outright. A wider one, such as a large
-    group of near copies has, is searched pivot by pivot: a few classes are compared with all others that are not yet
-    in their component, then leave the column; it is done when the rest is one component. No link between components
-    is lost. A group of near copies, which the first pivots join, is compared in proportion to its size; what they
-    do not join gets more pivots each round, so that rounds stay few.
+    Columns of the incidence (n-grams) with up to NARROW classes are multiplied outright. In a wider one, such as a
+    large group of near copies has, PIVOTS classes are compared with all others that are not yet in their component;
+    classes that stay outside the column's largest component are then multiplied with all of it, in blocks. Pairs
+    within that component need no comparison, so a group that its pivots join costs in proportion to its size.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")
     rows = incidence(docs, doc_id, text, scratch, percent)
     known = rows.where("grams IS NOT NULL AND doc IS NOT NULL")
     classes = scratch.put(known.groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep")))
-    sets = known.join(classes, ["n", "s1", "s2"]).where("doc = rep").select("rep", "n", "probe", "grams")
+    sets = known.join(classes, ["n", "s1", "s2"]).where("doc = rep").select("rep", "n", "centre", "probe", "grams")
     sets = scratch.put(sets.dropDuplicates(["rep", "n"]))
-    cells = sets.select(F.explode("probe").alias("gram"), "rep", "n")
+    cells = sets.select(F.explode("probe").alias("gram"), "rep", "n", "centre")
     width = cells.groupBy("gram").agg(F.count("*").alias("width")).where("width > 1")
     cells = scratch.put(cells.join(width, "gram"))
     near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (F.col("a") != F.col("b"))
@@ -141,34 +207,19 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     pairs = left.join(right, "gram").where(near & (F.col("a") < F.col("b"))).select("a", "b").distinct()
     links = scratch.put(_verified(pairs, sets, percent))
 
-    wide = scratch.put(cells.where(F.col("width") > NARROW).select("gram", "rep", "n"))
+    wide = scratch.put(cells.where(F.col("width") > NARROW).select("gram", "rep", "n", "centre"))
     found = scratch.put(components(links, scratch))
-    n_pivots = PIVOTS
-    while not wide.isEmpty():
-        placed = wide.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("gram", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        mixed = placed.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("width")).where("lo < hi")
-        cells = scratch.put(placed.join(mixed.select("gram", "width"), "gram"))
-        a = cells.withColumnsRenamed({"rep": "a", "c": "ca"})
-        b = cells.select("gram", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("c").alias("cb"))
-        apart = near & (F.col("ca") != F.col("cb"))
-        few = a.where(F.col("width") <= NARROW).join(b, "gram").where(apart & (F.col("a") < F.col("b")))
-        salt = F.pmod(F.xxhash64("rep"), F.lit(n_pivots)).alias("salt")
-        pivots = cells.where(F.col("width") > NARROW).groupBy("gram", salt).agg(F.min(F.struct("rep", "n", "c")).alias("p"))
-        pivots = scratch.put(pivots.select("gram", F.col("p.rep").alias("b"), F.col("p.n").alias("m"), F.col("p.c").alias("cb")))
-        star = a.where(F.col("width") > NARROW).join(pivots, "gram").where(apart)
+    if not wide.isEmpty():
+        # The classes of the commonest n-grams, closest to what a group was copied from, are compared with all others.
+        salt = F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)).alias("salt")
+        pivots = _mixed(wide, found).groupBy("gram", salt).agg(F.max(F.struct("centre", "rep", "n", "c")).alias("p"))
+        pivots = pivots.select("gram", F.col("p.rep").alias("b"), F.col("p.n").alias("m"), F.col("p.c").alias("cb"))
+        star = _mixed(wide, found).withColumnRenamed("rep", "a").join(pivots, "gram").where(near & (F.col("c") != F.col("cb")))
         ordered = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).alias("p")
-        pairs = few.select(ordered).unionByName(star.select(ordered)).distinct().select("p.*")
-        new = scratch.put(_verified(pairs, sets, percent))
-        if not new.isEmpty():
-            # Components so far are the nodes of the next ones; a root is not among the ids of `found`.
-            root = lambda x: found.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
-            over = new.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-            merged = scratch.put(components(over, scratch))
-            to = merged.select(F.col("id").alias("component"), F.col("component").alias("to"))
-            moved = found.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
-            found = scratch.put(moved.unionByName(merged))
-        rest = cells.where(F.col("width") > NARROW).join(pivots.select("gram", F.col("b").alias("rep")), ["gram", "rep"], "left_anti")
-        wide, n_pivots = scratch.put(rest.select("gram", "rep", "n")), 4 * n_pivots
+        new = scratch.put(_verified(star.select(ordered).distinct().select("p.*"), sets, percent))
+        found = _merged(found, new, scratch)
+        # What they left apart is multiplied with its whole columns, block by block.
+        found = _merged(found, scratch.put(_products(scratch.put(_mixed(wide, found)), sets, percent)), scratch)
 
     member = known.join(classes, ["n", "s1", "s2"]).select("doc", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     member = member.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("c"))

@@ -10,13 +10,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text of a block, on average; one longer text is a block's part whole.
 BLOCK_BYTES = 4 << 20
-#: Occurrences beyond which a hash is told to be frequent.
-FREQUENT = 2000
 
 Hashes = Callable[[pa.ChunkedArray], Iterator[np.ndarray]]
 
@@ -38,8 +37,9 @@ def distinct(parts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
 
 
-def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes, frequent: int = FREQUENT) -> DataFrame:
-    """(block, bucket, n, bits): for the block's distinct hashes in order, whether each occurs again, and frequently.
+def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes) -> DataFrame:
+    """(block, bucket, n, data): for the block's distinct hashes in order, the level of each: the logarithm of its
+    number of occurrences to base 2, rounded up, hence 0 if it occurs once.
 
     40 bits beyond the bucket's are compared, so about one unrepeated hash in a million is taken for repeated: callers
     compare content afterwards.
@@ -71,18 +71,15 @@ def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes, frequent: int =
         total = np.zeros(len(value), dtype=np.int64)
         total[order] = np.repeat(np.add.reduceat(count[order], new), np.diff([*new, len(value)]))
         cuts = np.concatenate([[0], np.cumsum(sizes)])
-        bits = [np.packbits(total[a:z] > 1).tobytes() + np.packbits(total[a:z] > frequent).tobytes() for a, z in zip(cuts, cuts[1:], strict=False)]
-        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "n": pa.array(sizes, pa.int32()), "data": pa.array(bits, pa.binary())})
+        level = np.ceil(np.log2(total)).astype(np.uint8)
+        data = [zstandard.compress(level[a:z].tobytes(), 1) for a, z in zip(cuts, cuts[1:], strict=False)]
+        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "n": pa.array(sizes, pa.int32()), "data": pa.array(data, pa.binary())})
 
     sent = of_blocks.groupBy("block").applyInArrow(send, "bucket int, block long, data binary")
     return sent.groupBy("bucket").applyInArrow(find, "block long, bucket int, n int, data binary")
 
 
-def read_bits(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(occurs again, frequent) of the block's distinct hashes, in order."""
-    again, often = [np.zeros(0, bool)], [np.zeros(0, bool)]
-    for _, n, data in sorted(zip(*(rows.column(c).to_pylist() for c in ("bucket", "n", "data")), strict=True)):
-        half = len(data) // 2
-        again.append(np.unpackbits(np.frombuffer(data, np.uint8, half), count=n).astype(bool))
-        often.append(np.unpackbits(np.frombuffer(data, np.uint8, half, half), count=n).astype(bool))
-    return np.concatenate(again), np.concatenate(often)
+def read_levels(rows: pa.Table) -> np.ndarray:
+    """Levels of the block's distinct hashes, in order."""
+    parts = sorted(zip(rows.column("bucket").to_pylist(), rows.column("data").to_pylist(), strict=True))
+    return np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(zstandard.decompress(data), np.uint8) for _, data in parts)])

@@ -18,6 +18,8 @@ from shelfwise.llm.kernels import pieces, prefix, span_hash
 LENGTH, GRAM = 50, 20
 #: Suffix starts that may share an anchor, at most 32 (a bit each).
 SPREAD = LENGTH - GRAM + 1
+#: Logarithm (base 2) of the occurrences beyond which a gram is frequent.
+FREQUENT = 11
 #: Sampled leads for each range of suffixes, and the share of texts they come from.
 LEADS, SAMPLED = 100, 50
 
@@ -70,10 +72,11 @@ def _hashes(texts: pa.ChunkedArray) -> Iterator[np.ndarray]:
 class Units:
     """Stretches of a block whose strings may occur elsewhere; distinct ones, in the order of their leads."""
 
-    def __init__(self, group: pa.Table, found: pa.Table):
+    def __init__(self, group: pa.Table, found: pa.Table, frequent: int):
         texts = group.column("text")
         u, _ = repeats.distinct(_hashes(texts))
-        again, often = repeats.read_bits(found)
+        level = repeats.read_levels(found)
+        again, often = level > 0, level > frequent
         doc = group.column("doc").to_numpy().astype(np.int64)
         self.data, lo, hi, anchor, row, base = [], [], [], [], [], 0
         for a, b, data, off in pieces(texts):
@@ -199,7 +202,7 @@ def _resolve(parts: list[bytes]) -> list[bytes]:
     return [zstandard.compress(mask[x:y].tobytes(), 1) for x, y in zip(cuts, cuts[1:], strict=False)]
 
 
-def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = repeats.FREQUENT) -> DataFrame:
+def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """(doc, n_bytes, n_removed, n_spans, kept): for each row of `docs`, its UTF-8 bytes without the repeated ones.
 
     A byte is removed if a LENGTH-byte string over it also starts in a document with a smaller id, as the input has
@@ -216,11 +219,11 @@ def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequen
     scratch = Scratch(docs.sparkSession, "suffixes")
     numbered = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)).alias("doc"), F.col(doc_id).isNull().alias("none"), F.col(text).alias("text"))
     of_blocks, n_blocks = repeats.blocks(numbered, "doc", "text", "none")
-    bits = scratch.put(repeats.shared(of_blocks, n_blocks, _hashes, frequent))
+    bits = scratch.put(repeats.shared(of_blocks, n_blocks, _hashes))
     splitters = _splitters(numbered, n_blocks)
 
     def send(group: pa.Table, found: pa.Table) -> pa.Table:
-        units = Units(group, found)
+        units = Units(group, found, frequent)
         cuts = np.concatenate([[0], np.searchsorted(units.lead, splitters, "right"), [len(units.lead)]])
         rows, block = [], group.column("block")[0].as_py()
         for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
@@ -244,7 +247,7 @@ def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequen
 
     def cut(group: pa.Table, known: pa.Table) -> pa.Table:
         is_mask = known.column("mask").to_numpy(zero_copy_only=False).astype(bool)
-        units = Units(group, known.filter(pa.array(~is_mask)))
+        units = Units(group, known.filter(pa.array(~is_mask)), frequent)
         got = known.filter(pa.array(is_mask))
         got = sorted(zip(got.column("n").to_pylist(), got.column("data").to_pylist(), strict=True))
         mask = np.frombuffer(b"".join(zstandard.decompress(d) for _, d in got), np.uint32)

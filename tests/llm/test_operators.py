@@ -1,0 +1,346 @@
+"""Each operator against a plain program or the library it must equal, and on odd rows and empty tables."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from compare import connect, differences
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, near_vectors, ngram_join, sharding, suffix_dedup, toxicity
+from shelfwise.llm.common import Scratch, components, table
+from shelfwise.llm.queries import QUERIES, SQL
+
+MEDIUM = "/root/testdata/sf0.1"
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, n string, h string, block string, spans string"
+PASSAGE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+
+
+def odd_rows():
+    """Nulls, blanks, repeats, ties, one long text, and columns named like the operators' own."""
+    more = ("x", "y", "z", "w", "v")
+    long = " ".join(f"word{i % 997}" for i in range(30_000))
+    rows = [
+        (1, PASSAGE + " tail", "en", "a", 1), (1, PASSAGE + " tail", "en", "a", 1), (2, None, "en", "a", None), (3, "", None, None, 0),
+        (4, "  \n\t ", "de", "a", 3), (None, PASSAGE, "en", None, 3), (5, long, "en", "a", 9), (6, "ünï " + PASSAGE, None, "b", 2),
+        (7, PASSAGE, "en", "b", 2), (8, "123 !!", "en", "b", 2), (9, "Short words", "fr", None, 2), (None, None, None, None, None),
+        (10, "a\n\nb\na", "en", "a", 1),
+    ]
+    return [r + more for r in rows]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(odd_rows(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def small_docs(spark):
+    return [(r.doc_id, r.text) for r in table(spark, SMALL, "documents").orderBy("doc_id").collect()]
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql(spark, name):
+    assert differences(QUERIES[name](spark, SMALL).toPandas(), connect(SMALL).execute(SQL[name]).df()) is None
+
+
+def test_components(spark):
+    random.seed(3)
+    pairs = [(random.randrange(300), random.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(1000, 1040)]
+    found = {r.id: r.component for r in components(spark.createDataFrame(pairs, "a long, b long"), Scratch(spark, "t")).collect()}
+    near = defaultdict(set)
+    for a, b in pairs:
+        near[a].add(b), near[b].add(a)
+    for start in near:
+        seen, todo = {start}, [start]
+        while todo:
+            for x in near[todo.pop()] - seen:
+                seen.add(x), todo.append(x)
+        assert found.get(start, start) == min(seen)
+    assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "t")).count() == 0
+
+
+# --- line dedup, licences ---------------------------------------------------------------------------
+
+
+def test_line_dedup(spark, odd):
+    rows = [(i, f"menu\nown {i}\n\nmenu\nfoot{i % 40}", "s" if i < 60 else None) for i in range(80)] + [(100, "menu", "t")]
+    out = line_dedup.drop_site_lines(spark.createDataFrame(rows, "id int, text string, source string")).collect()
+    for r in out:
+        if r.id == 100:
+            assert r.text == "menu"
+        else:
+            assert r.text == f"own {r.id}\n\nfoot{r.id % 40}" and r.line_dedup.n_lines == 5 and r.line_dedup.n_dropped == 2
+    got = line_dedup.drop_site_lines(odd)
+    assert got.columns == [*odd.columns, "line_dedup"] and got.count() == 13
+    by = {r.doc_id: r for r in got.where("doc_id IN (2, 3)").collect()}
+    assert by[2].text is None and by[2].line_dedup.n_lines == 0 and by[3].text == "" and by[3].line_dedup.n_lines == 1
+    assert line_dedup.drop_site_lines(odd.limit(0)).count() == 0
+
+
+def test_licences(spark, odd):
+    mit = dict(licences.KNOWN[:1])["MIT"]
+    texts = {
+        1: mit, 2: "Copyright 2020 A. Person\n" + mit.replace("license", "licence").upper(), 3: "# Released under the MIT  Licence\nother",
+        4: "this is Released under the MIT License, they say", 5: "(c) someone", 6: None, 7: "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.",
+    }
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(list(texts.items()), "doc_id int, text string")).collect()}
+    assert [got[k].whole_license for k in texts] == ["MIT", "MIT", None, None, None, None, None]
+    assert [got[k].licenses for k in texts] == ["MIT", "MIT", "MIT", "", "", "", "CC-BY-NC-4.0,MIT"]
+    assert got[7].n_notices == 2 and got[5].n_lines == 0
+    assert licences.scan(odd).count() == 13 and licences.scan(odd.limit(0)).count() == 0
+
+
+# --- decontamination ---------------------------------------------------------------------------------
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(FOLD))
+
+
+def plain_hits(docs, items):
+    out = []
+    windows = defaultdict(set)
+    for item, text in items:
+        w = words(text)
+        for i in range(max(len(w) - 9, 1)) if w and item is not None else ():
+            windows[tuple(w[i : i + 10])].add(item)
+    sizes = {len(k) for k in windows}
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if (k := tuple(w[i : i + n])) in windows:
+                    hit.update(range(i, i + n))
+                    found |= windows[k]
+        ids = ",".join(sorted(map(str, found)))
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def test_decontamination_with_short_and_odd_items(spark, odd):
+    items = [(1, PASSAGE), (2, PASSAGE), (3, "Short, WORDS"), (4, None), (5, ""), (None, "tail"), (6, "word1 word2 word3"), (7, "nine ten"), (8, "ünï")]
+    frame = spark.createDataFrame(items, "item_id int, text string")
+    got = decontaminate.with_hits(odd, frame)
+    assert set(odd.columns) < set(got.columns)
+    rows = [tuple(r) for r in got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()]
+    assert sorted(rows, key=str) == plain_hits([(r[0], r[1]) for r in odd_rows()], items)
+    assert decontaminate.with_hits(odd.limit(0), frame).count() == 0
+    assert decontaminate.with_hits(odd, frame.limit(0)).where("contaminated").count() == 0
+
+
+# --- near copies --------------------------------------------------------------------------------------
+
+
+def gram_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(FOLD))
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else frozenset([tuple(w)] if w else [])
+
+
+def plain_join(docs):
+    sets = {d: gram_set(t) for d, t in docs}
+    top = {d: d for d in sets}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b]:
+                k = len(sets[a] & sets[b])
+                if 100 * k >= 80 * (len(sets[a]) + len(sets[b]) - k) and root(a) != root(b):
+                    top[max(root(a), root(b))] = min(root(a), root(b))
+    return {d: (len(s), root(d)) for d, s in sets.items()}
+
+
+@pytest.mark.parametrize("narrow", [32, 1])
+def test_ngram_join(spark, small_docs, monkeypatch, narrow):
+    monkeypatch.setattr(ngram_join, "NARROW", narrow)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    random.seed(5)
+    base = [f"w{random.randrange(10**6)}" for _ in range(120)]
+    copies = [(10_000 + i, " ".join(w if random.random() > 0.004 * (i % 9) else "edit" for w in base)) for i in range(40)]
+    docs = small_docs + copies + [(20_000, " ".join(base[:4])), (20_001, " ".join(base[:4])), (20_002, "solo"), (20_003, None)]
+    got = {r.doc: (r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == plain_join(docs)
+
+
+def test_ngram_join_of_odd_rows(odd):
+    got = ngram_join.join(odd).collect()
+    assert len(got) == 13 and {r.component_id for r in got if r.doc == 1} == {1} and {r.component_id for r in got if r.doc == 7} == {1}
+    assert {(r.n_shingles, r.component_id) for r in got if r.doc in (2, 3, 4)} == {(0, 2), (0, 3), (0, 4)}
+    assert all(r.component_id is None for r in got if r.doc is None)
+    assert ngram_join.join(odd.limit(0)).count() == 0
+
+
+# --- suffixes -----------------------------------------------------------------------------------------
+
+
+def plain_suffixes(docs, n=50):
+    first, out = {}, {}
+    for d, text in sorted(docs):
+        b = (text or "").encode()
+        for i in range(len(b) - n + 1):
+            first.setdefault(b[i : i + n], d)
+    for d, text in docs:
+        b = (text or "").encode()
+        gone = [False] * len(b)
+        for i in range(len(b) - n + 1):
+            if first[b[i : i + n]] < d:
+                gone[i : i + n] = [True] * n
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out[d] = (len(b), sum(gone), runs, bytes(c for c, g in zip(b, gone, strict=True) if not g))
+    return out
+
+
+@pytest.mark.parametrize("frequent", [11, 1])
+def test_suffixes(spark, small_docs, frequent):
+    random.seed(8)
+    passage = "".join(random.choice("abcdé ") for _ in range(200))
+    mixed = [(1000 + i, "".join(random.choice("xyzü") for _ in range(random.randrange(60))) + passage[i : i + 48 + 7 * i] + "q" * (i % 60)) for i in range(30)]
+    docs = small_docs[:80] + mixed + [(2000, "a" * 300), (2001, "a" * 49), (2002, "a" * 120), (2003, None), (2004, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.covered(frame, frequent=frequent).collect()}
+    assert got == plain_suffixes(docs)
+
+
+def test_suffixes_of_odd_rows(odd):
+    rows = suffix_dedup.covered(odd).collect()
+    assert len(rows) == 13
+    assert [r.n_removed for r in rows if r.doc == 1] == [0, 0]
+    assert all(r.n_removed == r.n_bytes for r in rows if r.doc is None or r.doc == 7)
+    assert suffix_dedup.covered(odd.limit(0)).count() == 0
+
+
+def test_multikey_labels():
+    random.seed(1)
+    data = np.array([random.choice([97, 98]) for _ in range(3000)], dtype=np.uint8)
+    start = np.arange(2900)
+    label = suffix_dedup.multikey(data, start, 50)
+    text = [bytes(data[i : i + 50]) for i in start]
+    assert [text[i] for i in np.argsort(label, kind="stable")] == sorted(text)
+    assert len({(x, y) for x, y in zip(label, text, strict=True)}) == len(set(label)) == len(set(text))
+
+
+# --- vectors ------------------------------------------------------------------------------------------
+
+
+def test_vectors(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "SIDE", 16)
+    base = table(spark, MEDIUM, "embeddings").where("label < 4").orderBy("vec_id").limit(500).collect()
+    r = np.random.default_rng(2)
+    rows = [(v.vec_id, v.embedding, v.label) for v in base]
+    centre = np.array(base[0].embedding)
+    spread = [0.02 if i < 70 else 0.045 for i in range(110)]
+    rows += [(10_000 + i, (centre + s * r.standard_normal(64)).astype(np.float32).tolist(), base[0].label) for i, s in enumerate(spread)]
+    rows += [(20_000 + i, base[5 + i % 3].embedding, base[5 + i % 3].label) for i in range(30)]
+    rows += [(30_000 + i, (0.5 * np.array(base[9 + i].embedding)).tolist(), base[9 + i].label) for i in range(5)]
+    bad = [(40_000, None, 1), (40_001, [0.0] * 64, 1), (40_002, [float("nan")] * 64, 1), (40_003, base[0].embedding, None), (40_004, [], 1)]
+    bad += [(40_005, [None, *base[0].embedding[1:]], base[0].label), (40_006, base[0].embedding[:63], base[0].label), (40_007, [float("inf")] * 64, 1)]
+    frame = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, label int").withColumn("n", F.lit("x"))
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in near_vectors.link(frame).collect()}
+    x = np.array([v for _, v, _ in rows], dtype=np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, label = np.array([i for i, *_ in rows]), np.array([k for *_, k in rows])
+    link = (x @ x.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(link, False)
+    found = sum(got[i][0] for i in ids)
+    assert found >= 0.95 * link.sum() and all(got[i][0] <= n for i, n in zip(ids, link.sum(axis=1), strict=True))
+    for i in [10_000, 20_000, 30_000]:
+        assert got[i][1] < i and not got[i][2]
+    assert all(got[i] == (0, i, True) for i, *_ in bad)
+    assert len(got) == len(rows) + len(bad)
+    assert near_vectors.link(frame.limit(0)).count() == 0
+
+
+# --- sharding -----------------------------------------------------------------------------------------
+
+
+def test_sharding(spark, odd):
+    frame = spark.range(20_000).repartition(7).union(spark.range(50)).withColumn("shard", F.lit("old"))
+    out = sharding.uniform_shards(frame, 16, run=300).toPandas()
+    sizes = out.groupby("shard").size()
+    assert len(out) == 20_050 and sizes.max() - sizes.min() <= 1
+    assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in out.groupby("shard"))
+    assert sorted(out["id"]) == sorted([*range(20_000), *range(50)])
+    # Uniform: neighbours part, and every shard gets its share of every stretch.
+    stretch = out[out["id"] < 20_000].groupby([out["id"] // 2000, "shard"]).size()
+    assert stretch.min() > 70 and stretch.max() < 190
+    other = sharding.uniform_shards(frame, 16, seed=9, run=300).toPandas()
+    assert not other.sort_values("id")["shard"].reset_index(drop=True).equals(out.sort_values("id")["shard"].reset_index(drop=True))
+    assert sharding.uniform_shards(odd, 4).count() == 13 and sharding.uniform_shards(odd.limit(0), 4).count() == 0
+
+
+# --- tokens -------------------------------------------------------------------------------------------
+
+
+def test_bpe_equals_the_library(spark, odd, small_docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.vocabulary())
+    random.seed(4)
+    texts = [t for _, t in small_docs] + [r[1] or "" for r in odd_rows()]
+    texts += ["", "a<|endoftext|>b", " <|startoftext|>", "<|ENDOFTEXT|>", "hahahahahahaha", "x" * 3000, "it's they'LL", "ΟΔΟΣ İ", "a\x1cb\x85c　d"]
+    letters = "aabcdeinorstéüß' \n!?1🙂Σ́"
+    texts += ["".join(random.choice(letters) for _ in range(random.randrange(80))) for _ in range(3000)]
+    for text, (ids, decoded) in zip(texts, bpe.load(bpe.vocabulary()).encode(texts), strict=True):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded == library.decode(want, skip_special_tokens=False)
+    got = bpe.encode(odd)
+    assert got.count() == 13 and set(odd.columns) < set(got.columns)
+    assert [r.n_tokens for r in got.where("doc_id IN (2, 3, 4)").collect()] == [0, 0, 0]
+    assert bpe.encode(odd.limit(0)).count() == 0
+    one = QUERIES["op9_bpe_encoding_and_decoding"](spark, SMALL).where("doc_id = 0").first()
+    want = library.encode(small_docs[0][1], add_special_tokens=False).ids
+    assert one.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+
+
+def test_bpe_merges_side_by_side_and_one_by_one_alike():
+    model = bpe.load(bpe.vocabulary())
+    random.seed(6)
+    words = ["".join(random.choice("abehinorst") for _ in range(random.randrange(1, 40))).encode() for _ in range(500)]
+    assert model._merge(words) == [model._merge_long(w) for w in words] == model.encode_words(words)
+
+
+# --- classifiers --------------------------------------------------------------------------------------
+
+
+def test_language(spark, odd):
+    truth = {r.doc_id: r.lang for r in table(spark, MEDIUM, "documents").select("doc_id", "lang").collect()}
+    rows = QUERIES["op5_language_id"](spark, MEDIUM).collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == len(truth) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert sum(truth[r.doc_id] == r.lang_pred for r in held) > 0.99 * len(held) and sum(r.rejected for r in rows) < 0.001 * len(rows)
+    model = langid.fit(table(spark, SMALL, "documents"))
+    got = langid.identify(odd, model).collect()
+    assert len(got) == 13 and all(0 <= r.score <= 1 for r in got)
+    assert all((r.lang_pred == "und") == (not re.search(r"[^\W\d_]", r.text or "")) for r in got)
+    assert all(r.rejected for r in got if r.lang_pred == "und")
+    assert langid.identify(odd.limit(0), model).count() == 0
+    assert {r.lang_pred for r in langid.identify(odd, langid.fit(odd.limit(0))).collect()} == {"und"}
+    far = spark.createDataFrame([(1, "Быстрая лиса прыгает через ленивую собаку много раз подряд")], "doc_id int, text string")
+    assert langid.identify(far, model).first().rejected
+
+
+def test_toxicity(spark, odd):
+    truth = {r.doc_id: r.toxic for r in table(spark, MEDIUM, "labels").collect()}
+    rows = QUERIES["op1_toxicity"](spark, MEDIUM).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) for r in rows)
+    held = [(r.score, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+    bad, good = [s for s, y in held if y], [s for s, y in held if not y]
+    wins = sum((a > b) + 0.5 * (a == b) for a in bad for b in good)
+    assert wins > 0.94 * len(bad) * len(good)
+    small = table(spark, SMALL, "documents").join(table(spark, SMALL, "labels"), "doc_id")
+    scorer = toxicity.fit(small)
+    got = toxicity.score(odd, scorer).collect()
+    assert len(got) == 13 and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.score(odd.limit(0), scorer).count() == 0
+    assert {r.predicted for r in toxicity.score(odd, toxicity.fit(small.limit(0))).collect()} == {0}
