@@ -713,7 +713,7 @@ def _(i):
 
 @query("decision_article", layouts.DECISION_ARTICLE)
 def _(i):
-    return decision.decision_article(i.detail, i.params)
+    return decision.decision_article(i.decided, i.params)
 
 
 # --- summaries, top lists, documents -------------------------------------------------------------

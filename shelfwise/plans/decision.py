@@ -109,5 +109,6 @@ def with_decision(detail: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def decision_article(detail: DataFrame, params: Params) -> DataFrame:
-    return stamped(with_decision(detail, params), params).select(*DECISION_ARTICLE)
+def decision_article(decided: DataFrame, params: Params) -> DataFrame:
+    """The published decision table, from a detail that `with_decision` has gone over."""
+    return stamped(decided, params).select(*DECISION_ARTICLE)

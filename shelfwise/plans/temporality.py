@@ -30,14 +30,17 @@ from shelfwise.params import (
     Params,
 )
 from shelfwise.plans.common import stamped
-from shelfwise.plans.layouts import TEMPORALITY_ARTICLE, TEMPORALITY_MONTHLY, TEMPORALITY_QUARTERLY
-
-BASE = """
-id_article articulo article_key descripcion rotacion_final_ytd rotacion_final_30d stock_actual_total
-ultima_cr dias_desde_ultima_cr cobertura_lineas_30d cobertura_cantidad_30d
-indice_stock_vs_lineas_salida_30d indice_stock_vs_cantidad_salida_30d inactivo_30d inactivo_90d
-propietarios_distintos flag_sobrestock flag_stock_alto_vs_uso_reciente flag_reubicar lineas_pi_ytd
-""".split()
+from shelfwise.plans.layouts import (
+    CURRENT_ARTICLE,
+    DECISION_ARTICLE,
+    TEMPORALITY_ARTICLE,
+    TEMPORALITY_MONTHLY,
+    TEMPORALITY_QUARTERLY,
+)
+
+# What the seasonality and decision tables take over from the current one, and what only their rules read.
+_USED = {*TEMPORALITY_ARTICLE, *DECISION_ARTICLE, "propietarios_distintos", "flag_reubicar", "lineas_pi_ytd"}
+BASE = [name for name in CURRENT_ARTICLE if name in _USED - {"snapshot_date", "generated_at"}]
 
 
 def monthly_actual(activity: DataFrame) -> DataFrame:
