@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from shelfwise.llm.common import Scratch, components, table
 
 THRESHOLD = 0.93
-#: Length of a neighbour list; rows of a starting block, and of a block of a saturated component.
+#: Length of a neighbour list; rows of a starting block, and of a block of vectors with full lists.
 LIST, BLOCK, SIDE = 8, 256, 512
 #: Rounds of refinement; share of changed entries below which it ends; vectors of the audit and the recall that it asks for.
 ROUNDS, STILL, AUDIT, RECALL = 5, 0.002, 300, 0.98
@@ -113,62 +113,43 @@ class Graph:
         return new.where("fresh").count()
 
 
-def _saturated(member: DataFrame, vectors: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """(id, n): links of the vectors of components (id, c) in which some list was full, all of each component compared.
+def _compared(rows: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """(id, n, low): `rows` (id) compared with all vectors of their space, in blocks of SIDE by SIDE.
 
-    Two vectors within half the threshold's angle of their component's mean are linked, whatever their own angle: those
-    are counted, not compared. The others are compared with all of the component, in blocks of SIDE.
+    n sums up, over the blocks, to all links of those in `rows` and, of the others, to their links with those in `rows`,
+    copies of the other end included. low is the smallest id that id is joined with inside the block, so that the pairs
+    (id, low) have the components of the links, with at most one pair a vector and block.
     """
-    half = float(np.sqrt((1 + threshold) / 2)) + 1e-9
-    own = scratch.put(member.join(vectors, "id").select("c", "id", "vec", "weight"))
-    salt = F.pmod(F.xxhash64("id"), F.lit(64)).alias("salt")
-
-    def total(group: pa.Table) -> pa.Table:
-        return pa.table({"c": group.column("c")[:1], "sum": [_unit(group).sum(axis=0)]})
-
-    def add(group: pa.Table) -> pa.Table:
-        x = np.array(group.column("sum").to_pylist()).sum(axis=0)
-        return pa.table({"c": group.column("c")[:1], "mean": [x / max(float(np.linalg.norm(x)), 1e-12)]})
-
-    # A component's sum is taken in 64 parts, and so is each further step over its members.
-    means = own.withColumn("salt", salt).groupBy("c", "salt").applyInArrow(lambda g: total(g), "c long, sum array<double>")
-    means = means.groupBy("c").applyInArrow(add, "c long, mean array<double>")
-
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                g = pa.Table.from_batches([batch])
-                near = (_unit(g) * _unit(g, "mean")).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(near >= half)], names=["c", "id", "vec", "weight", "inner"])
-
-    placed = own.join(means, "c").select("c", "id", "vec", "weight", "mean").mapInArrow(inside, "c long, id long, vec array<float>, weight long, inner boolean")
-    placed = scratch.put(placed)
-    sizes = placed.groupBy("c").agg(F.count("*").alias("size"), F.count(F.when(~F.col("inner"), 1)).alias("outer"), F.sum(F.when(F.col("inner"), F.col("weight"))).alias("held"))
-    sizes = scratch.put(sizes)
-    counted = placed.where("inner").join(sizes, "c").select("id", (F.col("held") - 1).alias("n"))
-    # The own vector's copies are counted in `held` and in the blocks alike, itself excepted.
-    sides = sizes.where("outer > 0").select("c", F.ceil(F.col("outer") / SIDE).alias("rows"), F.ceil(F.col("size") / SIDE).alias("columns"))
-    there = placed.join(sides, "c")
+    there = vectors.join(rows.select("id").withColumn("is_row", F.lit(True)), "id", "left").withColumn("is_row", F.coalesce("is_row", F.lit(False)))
+    sides = there.groupBy("space").agg(F.ceil(F.count(F.when(F.col("is_row"), 1)) / SIDE).alias("rows"), F.ceil(F.count("*") / SIDE).alias("columns"))
+    there = there.join(sides.where("rows > 0"), "space")
     row = F.pmod(F.xxhash64("id"), F.col("rows"))
     column = F.pmod(F.xxhash64("id", F.lit(1)), F.col("columns"))
-    left = there.where("NOT inner").select("c", "id", "vec", "weight", "inner", row.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)).alias("j"), F.lit(True).alias("is_row"))
-    right = there.select("c", "id", "vec", "weight", "inner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), column.alias("j"), F.lit(False).alias("is_row"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = there.where("is_row").select("space", "id", "vec", "weight", "is_row", row.alias("i"), every("columns").alias("j"), F.lit(True).alias("left"))
+    right = there.select("space", "id", "vec", "weight", "is_row", every("rows").alias("i"), column.alias("j"), F.lit(False).alias("left"))
 
     def compare(group: pa.Table) -> pa.Table:
-        is_row = group.column("is_row").to_numpy(zero_copy_only=False).astype(bool)
+        side = group.column("left").to_numpy(zero_copy_only=False).astype(bool)
         x, ids, weight = _unit(group), group.column("id").to_numpy(), group.column("weight").to_numpy()
-        inner = group.column("inner").to_numpy(zero_copy_only=False).astype(bool)[~is_row]
-        link = x[is_row] @ x[~is_row].T >= threshold
-        same = ids[is_row][:, None] == ids[~is_row]
-        link |= same
-        rows = link @ weight[~is_row] - same.any(axis=1)
-        # An outer one compared with an inner one is a link of both; outer ones meet each other from either side.
-        columns = (link & inner).T @ weight[is_row]
-        out_ids = np.concatenate([ids[is_row], ids[~is_row][inner]])
-        return pa.table({"id": out_ids, "n": np.concatenate([rows, columns[inner]]).astype(np.int64)})
+        own = group.column("is_row").to_numpy(zero_copy_only=False).astype(bool)[~side]
+        a, b = ids[side], ids[~side]
+        met = (x[side] @ x[~side].T >= threshold) & (a[:, None] != b)
+        used, seen = met.any(axis=1), met.any(axis=0)
+        met, a, b, own = met[used][:, seen], a[used], b[seen], own[seen]
+        # Those in `rows` that are columns here are rows of other blocks, and counted there.
+        n = [met @ weight[~side][seen], np.where(own, 0, weight[side][used] @ met)]
+        low_a, low_b = a, b
+        while len(a):
+            far = np.iinfo(np.int64).max
+            next_b = np.minimum(low_b, np.where(met, low_a[:, None], far).min(axis=0))
+            next_a = np.minimum(low_a, np.where(met, next_b, far).min(axis=1))
+            if (next_a == low_a).all() and (next_b == low_b).all():
+                break
+            low_a, low_b = next_a, next_b
+        return pa.table({"id": np.concatenate([a, b]), "n": np.concatenate(n).astype(np.int64), "low": np.concatenate([low_a, low_b])})
 
-    blocks = left.unionByName(right).groupBy("c", "i", "j").applyInArrow(compare, "id long, n long")
-    return counted.unionByName(blocks).groupBy("id").agg(F.sum("n").alias("n"))
+    return left.unionByName(right).groupBy("space", "i", "j").applyInArrow(compare, "id long, n long, low long")
 
 
 def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
@@ -179,7 +160,7 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     Equal vectors of a label are one node, which stands for all of them. Other columns are ignored.
 
     Lists of the LIST nearest start from random blocks and are refined through neighbours of neighbours until few
-    change. Where a vector's list is full of links, its whole component is compared, in blocks. An audit compares
+    change. A vector whose list is full of links is compared with all of its space, in blocks. An audit compares
     AUDIT vectors with all; while its recall is too low, the descent starts again from other blocks and adds its links.
     """
     spark = rows.sparkSession
@@ -195,17 +176,16 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     vectors = vectors.select(F.col("rep").alias("id"), "space", "vec", "weight")
     total = vectors.count()
 
-    links, result = None, None
+    near, result, found = None, None, None
     for attempt in range(4):
         graph = Graph(vectors, scratch, attempt, threshold)
         for _ in range(ROUNDS):
             if graph.refine() <= STILL * total * LIST:
                 break
-        near = graph.edges.where(F.col("s") >= threshold).select("a", "b")
-        near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = scratch.put((near if links is None else near.unionByName(links)).distinct())
-        found = scratch.put(components(links, scratch))
-        result = scratch.put(_counts(links, found, vectors, threshold, scratch))
+        listed = graph.edges.where(F.col("s") >= threshold).select("a", "b")
+        near = scratch.put(listed if near is None else listed.unionByName(near).distinct())
+        full = scratch.put(near.groupBy(F.col("a").alias("id")).count().where(F.col("count") >= LIST).select("id"))
+        result, found = _joined(near, full, vectors, threshold, scratch)
         if _recall(result, vectors, threshold) >= RECALL:
             break
 
@@ -217,18 +197,22 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     return out.select(F.col("id").alias("vec_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _counts(links: DataFrame, found: DataFrame, vectors: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """(rid, n): links of each linked vector, its copies included."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _joined(near: DataFrame, full: DataFrame, vectors: DataFrame, threshold: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(rid, n), links of each linked vector, its copies included; (id, component) of the linked.
+
+    `near` (a, b) are the entries of the lists that are links. Those in `full` (id) may have more links than their
+    lists hold, with one another too: they are compared with all. Links between others are in the list of either end.
+    """
+    met = scratch.put(_compared(full, vectors, threshold))
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    loose = both.join(full, both["a"] == full["id"], "left_anti")
+    loose = loose.join(full, loose["b"] == full["id"], "left_anti")
     weight = vectors.select("id", "weight")
-    one = both.join(weight.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("weight").alias("n"), F.count("*").alias("entries"))
-    one = one.join(weight.withColumnRenamed("id", "a"), "a").select("a", (F.col("n") + F.col("weight") - 1).alias("n"), "entries")
-    one = one.join(found, one["a"] == found["id"], "left").select("a", "n", "entries", F.coalesce("component", "a").alias("c"))
-    one = scratch.put(one)
-    full = scratch.put(one.where(F.col("entries") >= LIST).select("c").distinct())
-    inside = one.join(full, "c").select("c", F.col("a").alias("id"))
-    whole = _saturated(inside, vectors, threshold, scratch)
-    return one.join(whole, one["a"] == whole["id"], "left").select(F.col("a").alias("rid"), F.coalesce(whole["n"], one["n"]).alias("n"))
+    one = loose.join(weight.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.sum("weight").alias("n"))
+    n = one.unionByName(met.select("id", "n")).groupBy("id").agg(F.sum("n").alias("n"))
+    n = n.join(weight, "id").select(F.col("id").alias("rid"), (F.col("n") + F.col("weight") - 1).alias("n"))
+    links = loose.unionByName(met.select(F.col("id").alias("a"), F.col("low").alias("b"))).where("a <> b")
+    return scratch.put(n), scratch.put(components(links, scratch))
 
 
 def _recall(result: DataFrame, vectors: DataFrame, threshold: float) -> float:

@@ -261,6 +261,34 @@ def test_vectors(spark, monkeypatch):
     assert near_vectors.link(frame.limit(0)).count() == 0
 
 
+def brute_links(x, label, threshold=0.93):
+    x = x.astype(np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = (x @ x.T >= threshold) & (label[:, None] == label)
+    np.fill_diagonal(link, False)
+    return link
+
+
+def brute_components(link):
+    low = np.arange(len(link))
+    for _ in range(len(link)):
+        low = np.minimum(low, np.where(link, low, len(low)).min(axis=1))
+    return low
+
+
+def test_vectors_of_two_families_that_meet(spark):
+    """Two vectors link across families although each has more than LIST nearer ones in its own."""
+    r = np.random.default_rng(11)
+    around = lambda degrees: np.eye(64)[0] * np.cos(np.radians(degrees)) + np.eye(64)[1] * np.sin(np.radians(degrees))
+    x = np.array([around(0)] * 12 + [around(4)] + [around(26)] * 12 + [around(22)])
+    x[:, 2:] += 0.002 * r.standard_normal((26, 62))
+    link = brute_links(x, np.zeros(26))
+    assert link[12, 25] and link[:13, 13:].sum() == 1
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {g.vec_id: (g.n_links, g.component_id) for g in near_vectors.link(frame).collect()}
+    assert got == {i: (n, 0) for i, n in enumerate(link.sum(axis=1))}
+
+
 # --- sharding -----------------------------------------------------------------------------------------
 
 
