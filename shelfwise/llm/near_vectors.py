@@ -15,8 +15,8 @@ from shelfwise.llm.common import Scratch, components, table
 THRESHOLD = 0.93
 #: Length of a neighbour list; rows of a starting block, and of a block of vectors with full lists.
 LIST, BLOCK, SIDE = 8, 256, 512
-#: Rounds of refinement; share of changed entries below which it ends; vectors of the audit and the recall that it asks for.
-ROUNDS, STILL, AUDIT, RECALL = 5, 0.002, 300, 0.98
+#: Rounds of refinement; share of changed entries below which it ends; descents; vectors of each half of the audit.
+ROUNDS, STILL, ATTEMPTS, AUDIT = 5, 0.002, 2, 300
 
 
 def _unit(group: pa.Table, column: str = "vec") -> np.ndarray:
@@ -49,7 +49,7 @@ def _kept(edges: DataFrame) -> DataFrame:
 class Graph:
     def __init__(self, vectors: DataFrame, scratch: Scratch, seed: int, threshold: float):
         """vectors: id, space (those compared with each other), vec."""
-        self.vectors, self.scratch, self.threshold = vectors, scratch, threshold
+        self.vectors, self.scratch, self.threshold, self.round = vectors, scratch, threshold, 0
         self.edges = scratch.put(self._start(seed))
 
     def _start(self, seed: int) -> DataFrame:
@@ -92,10 +92,12 @@ class Graph:
     def refine(self) -> int:
         """One round: each vector's neighbours, in both directions, are compared with one another; the entries changed."""
         both = self.edges.select("a", "b", "fresh").unionByName(self.edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "fresh"))
-        # A vector may be near to very many: of those that list it, as many meet as of those that it lists.
-        drawn = Window.partitionBy("a", "cell").orderBy(F.xxhash64("a", "b"))
+        # A vector may be near to very many: of those that list it, as many meet as of those that it lists, others each round.
+        self.round += 1
+        turn = F.lit(self.round)
+        drawn = Window.partitionBy("a", "cell").orderBy(F.xxhash64("a", "b", turn))
         both = both.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
-        few = both.withColumn("cell", F.pmod(F.xxhash64("b"), F.lit(2 * LIST))).withColumn("n", F.row_number().over(drawn)).where("n = 1")
+        few = both.withColumn("cell", F.pmod(F.xxhash64("b", turn), F.lit(2 * LIST))).withColumn("n", F.row_number().over(drawn)).where("n = 1")
         stirred = few.where("fresh").select("a").distinct()
         worst = self.edges.groupBy("a").agg(F.when(F.count("*") >= LIST, F.min("s")).otherwise(F.lit(-2.0)).alias("worst"))
         meeting = few.join(stirred, "a").select("a", F.col("b").alias("id")).join(self.vectors.select("id", "vec"), "id")
@@ -161,7 +163,8 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
 
     Lists of the LIST nearest start from random blocks and are refined through neighbours of neighbours until few
     change. A vector whose list is full of links is compared with all of its space, in blocks. An audit compares
-    AUDIT vectors with all; while its recall is too low, the descent starts again from other blocks and adds its links.
+    samples of the others with all: if one of them lacks a link, the descent starts again from other blocks and adds its
+    links, and after ATTEMPTS of them all vectors are compared with all of their space.
     """
     spark = rows.sparkSession
     scratch = Scratch(spark, "vectors")
@@ -177,7 +180,7 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     total = vectors.count()
 
     near, result, found = None, None, None
-    for attempt in range(4):
+    for attempt in range(ATTEMPTS):
         graph = Graph(vectors, scratch, attempt, threshold)
         for _ in range(ROUNDS):
             if graph.refine() <= STILL * total * LIST:
@@ -186,8 +189,10 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
         near = scratch.put(listed if near is None else listed.unionByName(near).distinct())
         full = scratch.put(near.groupBy(F.col("a").alias("id")).count().where(F.col("count") >= LIST).select("id"))
         result, found = _joined(near, full, vectors, threshold, scratch)
-        if _recall(result, vectors, threshold) >= RECALL:
+        if not _missed(result, full, vectors, threshold):
             break
+    else:
+        result, found = _joined(near, vectors.select("id"), vectors, threshold, scratch)
 
     of = member.join(result, member["rep"] == result["rid"], "left")
     of = of.join(found, of["rep"] == found["id"], "left").select(member["id"].alias("of"), (F.coalesce("n", F.lit(0)) + F.when(F.col("n").isNull(), F.col("weight") - 1).otherwise(0)).alias("n"), F.coalesce("component", "rep").alias("c"))
@@ -215,10 +220,16 @@ def _joined(near: DataFrame, full: DataFrame, vectors: DataFrame, threshold: flo
     return scratch.put(n), scratch.put(components(links, scratch))
 
 
-def _recall(result: DataFrame, vectors: DataFrame, threshold: float) -> float:
-    """Links found of those that AUDIT vectors have, compared with all; the sample is broadcast, AUDIT vectors long."""
+def _missed(result: DataFrame, full: DataFrame, vectors: DataFrame, threshold: float) -> int:
+    """Audited vectors that lack a link. Not in `full`, whose links are all known, AUDIT with links and AUDIT without are
+    compared with all, each counting as one whatever its copies and links; the sample is broadcast, as long as that."""
     spark = vectors.sparkSession
-    sample = vectors.orderBy(F.xxhash64("id", F.lit("audit"))).limit(AUDIT).select("id", "space", "vec", "weight").toPandas()
+    rest = vectors.join(full, "id", "left_anti").join(result.withColumnRenamed("rid", "id"), "id", "left")
+    rest = rest.select("id", "space", "vec", (F.coalesce("n", "weight") - F.when(F.col("n").isNull(), F.col("weight")).otherwise(F.col("weight") - 1)).alias("found"))
+    draw = lambda half: rest.where(half).orderBy(F.xxhash64("id", F.lit("audit"))).limit(AUDIT)
+    sample = draw("found > 0").unionByName(draw("found = 0")).toPandas()
+    if not len(sample):
+        return 0
     sent = spark.sparkContext.broadcast({d: s for d, s in sample.groupby(sample["vec"].map(len))})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,9 +248,8 @@ def _recall(result: DataFrame, vectors: DataFrame, threshold: float) -> float:
                 yield pa.RecordBatch.from_arrays([pa.array(own["id"].to_numpy()), pa.array(n.astype(np.int64))], names=["id", "true"])
 
     true = vectors.select("id", "space", "vec", "weight").mapInArrow(count, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    true = true.join(vectors.select("id", "weight"), "id").join(result, F.col("id") == result["rid"], "left")
-    got = true.agg(F.sum("true").alias("true"), F.sum(F.coalesce(F.col("n") - F.col("weight") + 1, F.lit(0))).alias("found")).first()
-    return got["found"] / got["true"] if got["true"] else 1.0
+    found = dict(zip(sample["id"], sample["found"], strict=True))
+    return sum(r["true"] > found[r["id"]] for r in true.collect())
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -289,6 +289,22 @@ def test_vectors_of_two_families_that_meet(spark):
     assert got == {i: (n, 0) for i, n in enumerate(link.sum(axis=1))}
 
 
+def test_vectors_that_the_descent_loses(spark, monkeypatch):
+    """Lost pairs beside two vectors with a thousand copies each: no descent finds them, the comparison of all does."""
+    start = near_vectors.Graph._start
+    monkeypatch.setattr(near_vectors.Graph, "_start", lambda self, seed: start(self, seed).where("a < 10000 AND b < 10000"))
+    monkeypatch.setattr(near_vectors.Graph, "refine", lambda self: 0)
+    r = np.random.default_rng(12)
+    base = r.standard_normal((11, 64))
+    x = np.repeat(base, 2, axis=0) + 0.05 * r.standard_normal((22, 64))
+    link = brute_links(x, np.zeros(22))
+    assert link.sum() == 22
+    rows = [(1000 * k + i, x[k].tolist(), 0) for k in range(2) for i in range(1000)] + [(10_000 + k, x[k].tolist(), 0) for k in range(2, 22)]
+    got = {g.vec_id: (g.n_links, g.component_id) for g in near_vectors.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert all(got[i] == (1999, 0) for i in range(2000))
+    assert all(got[10_000 + k] == (1, 10_000 + k - k % 2) for k in range(2, 22))
+
+
 # --- sharding -----------------------------------------------------------------------------------------
 
 
