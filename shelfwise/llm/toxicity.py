@@ -17,7 +17,7 @@ from shelfwise.llm.kernels import ALNUM, FOLD, mix, pieces, prefix, span_hash, w
 #: Slots that beginnings of words hash into, and parts that they are summed in: the size of the model, whatever the input.
 SLOT_BITS, PARTS = 21, 32
 SLOTS = 1 << SLOT_BITS
-#: Bytes of a word that depend on the class; what follows is taken as equally likely in both.
+#: Bytes of a word that a step looks back on.
 DEPTH = 10
 #: Words that stand out: log-likelihood ratios beyond these.
 MARKS = (1.5, 4.0, 8.0)
@@ -28,26 +28,39 @@ _END = np.uint64(0xA0761D6478BD642F)
 
 
 def _beginnings(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each length, and last for the ends: (words concerned, slot of the beginning, slot of the one before, place of its last byte)."""
+    """(words concerned, slot of the step, slot of what it looks back on, place of its byte or -1 for an end).
+
+    Up to DEPTH bytes a step is told apart by all of the word before it, further on by the last DEPTH bytes. The bytes
+    beyond DEPTH of all words come together, so there a word may occur several times, and so do the ends of longer words.
+    """
     shift = np.uint64(64 - SLOT_BITS)
+    size = end - start
     before = np.zeros(len(start), dtype=np.int64)
-    ended = end - start <= DEPTH
-    for k in range(1, DEPTH + 2):
-        longer = np.flatnonzero(end - start >= k) if k <= DEPTH else np.zeros(0, np.int64)
-        stop = np.flatnonzero(ended & (end - start == k - 1))
-        h = span_hash(run, start[longer], start[longer] + k)
-        own = (h >> shift).astype(np.int64)
+    for k in range(1, DEPTH + 1):
+        longer = np.flatnonzero(size >= k)
+        stop = np.flatnonzero(size == k - 1)
+        own = (span_hash(run, start[longer], start[longer] + k) >> shift).astype(np.int64)
         if len(stop):
             whole = mix(span_hash(run, start[stop], end[stop]) ^ _END)
             yield stop, (whole >> shift).astype(np.int64), before[stop], np.full(len(stop), -1)
         if len(longer):
             yield longer, own, before[longer], start[longer] + k - 1
         before[longer] = own
+    long = np.flatnonzero(size >= DEPTH)
+    if len(long):
+        back = span_hash(run, end[long] - DEPTH, end[long])
+        yield long, (mix(back ^ _END) >> shift).astype(np.int64), (back >> shift).astype(np.int64), np.full(len(long), -1)
+        more = size[long] - DEPTH
+        at = np.repeat(long, more)
+        place = start[at] + DEPTH + np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more)
+        if len(at):
+            own, back = span_hash(run, place - DEPTH, place + 1), span_hash(run, place - DEPTH, place)
+            yield at, (own >> shift).astype(np.int64), (back >> shift).astype(np.int64), place
 
 
 @dataclass
 class Counts:
-    """By slot: words of either class and fold that begin so, the slot one byte shorter, and the last two bytes."""
+    """By slot: steps of either class and fold, the slot of what they look back on, and the last two bytes."""
 
     words: np.ndarray
     parent: np.ndarray
@@ -112,7 +125,8 @@ class Model:
             discount = one / (one + 2 * two) if one else 0.5
             n = c[used].astype(float)
             # A slot without shorter one begins a word: its context is all words.
-            total = np.where(first, max(c[used[first]].sum(), 1), c[parent])
+            onward = np.bincount(parent[~first], weights=n[~first], minlength=SLOTS)
+            total = np.where(first, max(c[used[first]].sum(), 1), onward[parent])
             kinds = np.bincount(parent[(n > 0) & ~first], minlength=SLOTS)
             kind = np.where(first, max((n[first] > 0).sum(), 1), kinds[parent])
             known = total > 0
@@ -120,8 +134,8 @@ class Model:
             back = np.clip(back, 1e-6, 1.0)
             logs.append(np.log(np.where(known, np.maximum(n - discount, 0) / np.maximum(total, 1), 0) + back * low))
             of = np.ones(SLOTS)
-            deep = np.flatnonzero(c > 0)
-            of[deep] = np.clip(discount * np.maximum(kinds[deep], 1) / c[deep], 1e-6, 1.0)
+            deep = np.flatnonzero(onward > 0)
+            of[deep] = np.clip(discount * kinds[deep] / onward[deep], 1e-6, 1.0)
             backs.append(np.log(of))
         seen = np.full(SLOTS, np.nan, dtype=np.float32)
         seen[used] = logs[0] - logs[1]
@@ -142,7 +156,7 @@ class Model:
                 step = self.seen[slot]
                 begins = last == start[first][at]
                 away = np.where(begins, 0, self.unseen[before])
-                ratio[at] += np.where(np.isnan(step), away, step)
+                ratio += np.bincount(at, weights=np.where(np.isnan(step), away, step), minlength=len(first))
             word = ratio[back]
             n = np.bincount(row, minlength=b - a)
             total = np.bincount(row, weights=word, minlength=b - a)

@@ -388,3 +388,17 @@ def test_toxicity(spark, odd):
     assert len(got) == 13 and all(0 <= r.score <= 1 for r in got)
     assert toxicity.score(odd.limit(0), scorer).count() == 0
     assert {r.predicted for r in toxicity.score(odd, toxicity.fit(small.limit(0))).collect()} == {0}
+
+
+def test_toxicity_reads_words_to_their_end(spark):
+    """Classes that differ only after the tenth byte of a word, and texts of a script without spaces."""
+    tails = (("grund", "boden", "stein"), ("feind", "hasser", "luder"))
+    rows = [(100 * c + i, f"gemeinsamer gemeinsame{tails[c][i % 3]} und", c) for c in (0, 1) for i in range(60)]
+    rows += [(1000 + 100 * c + i, "\u4eca\u65e5\u5929\u6c14\u5f88" + ("\u597d\u770b" if c else "\u7cdf\u7cd5") + "\u5462", c) for c in (0, 1) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    truth = {i: c for i, _, c in rows}
+    got = toxicity.score(frame.drop("toxic"), toxicity.fit(frame)).collect()
+    assert len(got) == len(rows)
+    for script in (False, True):
+        own = [r for r in got if (r.doc_id >= 1000) == script]
+        assert min(r.score for r in own if truth[r.doc_id]) > max(r.score for r in own if not truth[r.doc_id])
