@@ -6,7 +6,7 @@ import corpus_pipeline as pipeline
 import numpy as np
 from conftest import SMALL
 from pyspark.sql import functions as F
-from test_operators import SCHEMA, odd_rows, plain_hits, plain_join
+from test_text_operators import SCHEMA, odd_rows, plain_hits, plain_join
 
 from shelfwise.llm import bpe, langid, line_dedup
 from shelfwise.llm.common import table
