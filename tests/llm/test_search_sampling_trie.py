@@ -1,0 +1,238 @@
+"""Exact top-k search, importance resampling and the conversation trie against plain programs, and on odd rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.llm import conversation_trie, resampling, voronoi
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LONG = 2**63 - 1
+
+# --- top k --------------------------------------------------------------------------------------------
+
+
+def plain_top(rows, k, every=20):
+    """rows: (id, vector). In whole numbers of any size, as the docstring of `top_k` says."""
+    ints = set()
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) or not math.isfinite(64 * x) for x in v):
+            continue
+        ints.add((i, tuple(math.floor(64 * x) for x in v)))
+    out = []
+    for q, x in ints:
+        if q % every == 0:
+            score = lambda y, x=x: max(min(sum(a * b for a, b in zip(x, y, strict=False)), LONG), -LONG - 1)
+            best = sorted((-score(y), i) for i, y in ints if i != q)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+def found_top(frame, k=20, **more):
+    return sorted(tuple(r) for r in voronoi.top_k(frame, F.col("vec_id") % 20 == 0, k, **more).collect())
+
+
+@pytest.mark.parametrize("pivots", [1, 40])
+def test_top_k_of_clusters_and_copies(spark, monkeypatch, pivots):
+    """Tight clusters, a vector with many copies, ties; several groups, blocks and pieces."""
+    for name, value in (("QUERIES", 8), ("PIECE", 64), ("GROUPS", 5)):
+        monkeypatch.setattr(voronoi, name, value)
+    r = np.random.default_rng(4)
+    centres = 3 * r.standard_normal((6, 8))
+    x = [centres[i % 6] + 0.2 * r.standard_normal(8) for i in range(500)] + [centres[0]] * 120 + [np.zeros(8)] * 30
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    got = found_top(frame, 7, pivots=pivots)
+    assert got == plain_top([(i, np.float32(v).astype(float).tolist()) for i, v in rows], 7)
+
+
+def test_top_k_sends_a_group_what_can_be_near(spark):
+    """Far clusters are out of reach: the bound leaves few of their rows to a query."""
+    r = np.random.default_rng(5)
+    at = np.concatenate([20 * np.eye(8)[k] + 0.1 * r.standard_normal((100, 8)) for k in range(8)])
+    centres = voronoi.Pivots.of(np.arange(800), np.floor(64 * at), 8)
+    q = np.floor(64 * at[:1])
+    reach = centres.reach(np.array([0]), q, 20)[0]
+    cell, far = centres.near(np.floor(64 * at))
+    sent = far >= reach[cell]
+    assert sent[:100].sum() >= 20 and sent[100:].sum() == 0
+
+
+def test_top_k_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [0.5, 0.25]), (0, [0.5, 0.25]), (0, [-1.0, 2.0]), (20, [1.0]), (40, []), (60, None), (80, [nan, 1.0]), (100, [None, 1.0]), (120, [inf]),
+        (None, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [1e30, -1e30]), (140, [1e30, 1e30]), (4, [-0.0, 0.0]), (5, [0.0, -0.001, 3.0]),
+        (-20, [0.1, -0.1]), (160, [1.7e308]),
+    ]
+    frame = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], "vec_id long, embedding array<double>, score string, rank string")
+    assert found_top(frame, 4) == plain_top(rows, 4) == found_top(frame.repartition(7), 4)
+    assert voronoi.top_k(frame, F.col("vec_id") % 20 == 0).columns == ["query_id", "rank", "vec_id", "score"]
+    assert found_top(frame.limit(0)) == [] == found_top(frame.where("vec_id = 1"))
+    assert voronoi.top_k(frame, F.lit(None).cast("boolean")).count() == 0
+
+
+# --- resampling ---------------------------------------------------------------------------------------
+
+
+def plain_features(text, grams=1):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(FOLD))
+    return len(w), [zlib.crc32(" ".join(w[i : i + n]).encode()) % 10_000 for n in range(1, grams + 1) for i in range(len(w) - n + 1)]
+
+
+def plain_resampling(docs, target, grams=1):
+    s, t = np.zeros(10_000, int), np.zeros(10_000, int)
+    for of, texts in ((s, [x for _, x in docs]), (t, target)):
+        for x in texts:
+            np.add.at(of, plain_features(x, grams)[1], 1)
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (s.sum() + 10_000) / ((s[b] + 1) * (t.sum() + 10_000)))) for b in range(10_000)]
+    rows = []
+    for d, x in docs:
+        n, f = plain_features(x, grams)
+        h = int(hashlib.sha256(f"2024:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in f)
+        rows.append([d, n, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))])
+    fit = sorted((-r[4], LONG if r[0] is None else r[0]) for r in rows if r[1] >= 20)
+    ranks = defaultdict(list)
+    for i, k in enumerate(fit[: len(fit) * 10 // 100]):
+        ranks[k].append(i + 1)
+    out = []
+    for d, n, f, weight, score in rows:
+        own = ranks.get((-score, LONG if d is None else d), []) if n >= 20 else []
+        out.append((d, f, weight, score, own.pop(0) if own else None))
+    return sorted(out, key=str)
+
+
+def texts(n, seed=3):
+    r = random.Random(seed)
+    words = [f"word{i}" for i in range(300)] + ["Zürich", "ÄÖ", "naïve", "東京", "x" * 70, "y" * 64]
+    return ["-".join(r.choices(words, k=r.randrange(60))) + r.choice(["", " 12 A1", "\n"]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("grams", [1, 2])
+def test_resampling(spark, monkeypatch, grams):
+    monkeypatch.setattr(resampling, "RANGE", 100)
+    docs = [(i * 7 % 1000, x) for i, x in enumerate(texts(1000))] + [(5000 + i, "same text " * 20) for i in range(500)]
+    target = texts(40, 9)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    out = resampling.resample(frame, spark.createDataFrame([(x,) for x in target], "text string"), grams=grams)
+    got = sorted((tuple(r) for r in out.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=str)
+    assert got == plain_resampling(docs, target, grams)
+
+
+def test_ranks_over_many_ranges(spark):
+    """Ties, one score for most rows, nulls and repeated rows; ranks are gapless whatever the ranges."""
+    r = random.Random(1)
+    rows = [(r.randrange(500) if i % 50 else None, r.choice([7, 7, 7, r.randrange(1000), None])) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, score long").withColumn("rank", F.lit("old")).repartition(5)
+    got = resampling.ranked(frame, per_range=64).orderBy("rank").collect()
+    assert [g["rank"] for g in got] == list(range(1, 3001))
+    key = lambda d, s: (-(s if s is not None else -LONG), d if d is not None else LONG)
+    assert [key(g.doc_id, g.score) for g in got] == sorted(key(*x) for x in rows)
+
+
+def test_resampling_of_odd_rows(spark):
+    long = " ".join(f"word{i % 997}" for i in range(30_000))
+    docs = [(1, long), (1, long), (2, None), (3, ""), (None, long), (4, " \n!? "), (5, "one " * 19), (6, "one " * 20)]
+    docs += [(10 + i, "one two " * 10) for i in range(25)]
+    frame = spark.createDataFrame([(*d, "a", "b", "c") for d in docs], "doc_id long, text string, rank string, n_words string, other string")
+    target = spark.createDataFrame([("one two",), (None,), ("",)], "text string")
+    out = resampling.resample(frame, target)
+    assert sorted(out.columns) == ["doc_id", "n_features", "other", "rank", "score", "weight"]
+    got = sorted((tuple(r) for r in out.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=str)
+    assert got == plain_resampling(docs, ["one two"])
+    assert resampling.resample(frame.limit(0), target).count() == 0
+    assert resampling.resample(frame, target.limit(0)).where("rank IS NOT NULL").count() == 2
+
+
+# --- conversations ------------------------------------------------------------------------------------
+
+
+def plain_trie(rows):
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            own[c].append(((turn is not None, turn or 0, digest, len(text)), (role, text)))
+    own = {c: [x for _, x in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = own.get(c - int(math.fmod(c, 100)), [])[:h] + v[h:]
+    members = defaultdict(list)
+    for c, v in built.items():
+        for d in range(len(v) + 1):
+            members[tuple(v[:d])].append(c)
+    saved, leaves, children = defaultdict(int), defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, m in members.items():
+        for d in range(len(node) + 1):
+            saved[node[:d]] += (len(m) - 1) * len(node[-1][1]) if node else 0
+            leaves[node[:d]] += node not in children
+    out = []
+    for node, m in members.items():
+        ends = ",".join(map(str, sorted(c for c in m if len(built[c]) == len(node))))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(m), len(node), parent, len(m), children[node], leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found_trie(frame):
+    convs = conversation_trie.branched(conversation_trie.turns(frame))
+    return sorted((tuple(r) for r in conversation_trie.trie(convs).collect()), key=str)
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize("bits", [13, 2, 0])
+def test_trie(spark, monkeypatch, bits):
+    """Shared openings, copies, one long conversation, in blocks of 8,192, four and one."""
+    monkeypatch.setattr(conversation_trie, "BLOCK_BITS", bits)
+    monkeypatch.setattr(conversation_trie, "CHUNK", 3)
+    r = random.Random(7)
+    rows = []
+    for c in range(330):
+        if r.random() < 0.1:
+            continue
+        for t in range(r.randrange(1, 8)):
+            rows.append((c, t, r.choice(["user", "assistant"]), r.choice("ab") * r.randrange(1, 3)))
+    for c in range(1000, 1080):
+        rows += [(c, t, "user", f"turn {t} é🙂") for t in range(6)] + ([(c, 6, "user", f"own {c}")] if c % 2 else [])
+    rows += [(2000 + k, t, "user", "same") for k in range(2) for t in range(300 + k)]
+    r.shuffle(rows)
+    assert found_trie(spark.createDataFrame(rows, SCHEMA).repartition(4)) == plain_trie(rows)
+
+
+def test_trie_of_odd_rows(spark):
+    rows = [
+        (0, 1, "user", "a"), (0, None, "user", "first"), (0, 1, "user", "a"), (1, None, None, None), (1, None, "user", ""), (None, 1, "user", "a"),
+        (105, 1, "user", "no run"), (105, 2, "user", "no run"), (-5, 1, "user", "a"), (-100, 1, "user", "b"), (-103, 4, "x", "z" * 100_000), (7, 3, "", "user"), (8, 3, "user", ""),
+    ]
+    more = "conv long, key string, w int, ends string, parent string, at long"
+    frame = spark.createDataFrame([(*x, 1, "k", 2, "e", "p", 3) for x in rows], f"{SCHEMA}, {more}")
+    assert found_trie(frame) == plain_trie(rows) == found_trie(frame.repartition(9))
+    assert found_trie(frame.limit(0)) == []
+
+
+def test_extents_by_binary_search():
+    r = np.random.default_rng(3)
+    shared = np.concatenate([[-1], r.integers(0, 4, 99)])
+    at, depth = np.repeat(np.arange(100), 4), np.tile(np.arange(4), 100)
+    left, right = conversation_trie._extents(conversation_trie._table(shared), at, depth, 100)
+    for i, d, a, z in zip(at, depth, left, right, strict=True):
+        while i > a:
+            assert shared[i] >= d
+            i -= 1
+        assert a == 0 or shared[a] < d
+        assert all(shared[i + 1 : z + 1] >= d) and (z == 99 or shared[z + 1] < d)
