@@ -51,7 +51,7 @@ _BY_TYPE = {
     "quarterly_peak_recurrence ADI CV2 months_to_next_peak quarters_to_next_peak indice_vs_media "
     "lineas_mes_media cantidad_mes_media cantidad_mes_total lineas_trimestre_media cantidad_trimestre_media "
     "cantidad_trimestre_total stock_A_ytd stock_B_ytd stock_C_ytd stock_D_ytd stock_recien_llegado_ytd "
-    "stock_total_owner_article stock_total_articulo",
+    "stock_total_owner_article stock_total_articulo numero",
     "date": "mes trimestre fecha fecha_foto dia",
     "timestamp_ntz": "fecha_movimiento ultima_pi ultima_pi_ytd ultima_pi_30d ultima_pi_trimestre "
     "ultima_pi_historica ultima_cr ultima_cr_hasta_fin_trimestre first_pi_date last_pi_date primera ultima",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from shelfwise.catalog.contract import shaped_sql
+from shelfwise.catalog.contract import kind_of, shaped_sql
 from shelfwise.catalog.queries import QUERIES
 from shelfwise.params import (
     ACTION_KEEP,
@@ -505,6 +505,29 @@ def _kpi_temporality() -> str:
     return f"SELECT {STAMP}, {', '.join(cells)} FROM dec"
 
 
+def _cells(body: str, columns: list[str], path: str = "''") -> str:
+    """A row for each of the columns of each row: path, and the value as text or number."""
+    cells = []
+    for name in columns:
+        number = kind_of(name) in ("int", "bigint", "double")
+        text, size = ("NULL::VARCHAR", f"{name}::DOUBLE") if number else (f"{name}::VARCHAR", "NULL::DOUBLE")
+        cells.append(f"{{'ruta': {path} || '{name}', 'texto': {text}, 'numero': {size}}}")
+    return f"SELECT unnest([{', '.join(cells)}], recursive := true) FROM ({body}) AS one"
+
+
+def _list(name: str, body: str, columns: str) -> str:
+    return _cells(body, columns.split(), f"'{name}[' || (puesto - 1) || '].'")
+
+
+def _counts(name: str, column: str, source: str) -> str:
+    return f"SELECT '{name}.' || {column}, NULL, count(*)::DOUBLE FROM {source} GROUP BY {column}"
+
+
+def _values(name: str, column: str, source: str) -> str:
+    return f"""SELECT '{name}[' || (row_number() OVER (ORDER BY v) - 1) || ']', v, NULL
+        FROM (SELECT DISTINCT {column} AS v FROM {source} WHERE {column} IS NOT NULL)"""
+
+
 RESULTS: dict[str, str] = {
     "movements_clean": "SELECT * FROM mov",
     "stock_occupied": "SELECT * FROM occ",
@@ -654,6 +677,30 @@ RESULTS: dict[str, str] = {
     "count_by_pattern": "SELECT temporalidad_clase, count(*) AS articulos FROM pat GROUP BY 1",
     "count_by_action": "SELECT accion_recomendada, count(*) AS articulos FROM dec GROUP BY 1",
 }
+_TOP = "articulo descripcion"
+RESULTS["kpi_abc"] = " UNION ALL ".join(
+    [
+        _cells(RESULTS["kpi_abc_scalars"], QUERIES["kpi_abc_scalars"][0]),
+        _list("top_10_articulos_ytd", RESULTS["top10_ytd"], f"{_TOP} lineas_pi_ytd cantidad_pi_ytd rotacion_final_ytd stock_actual_total"),
+        _list("top_10_articulos_30d", RESULTS["top10_30d"], f"{_TOP} lineas_pi_30d cantidad_pi_30d rotacion_final_30d stock_actual_total"),
+    ]
+)
+RESULTS["kpi_temporality"] = " UNION ALL ".join(
+    [
+        _cells(RESULTS["kpi_temporality_scalars"], QUERIES["kpi_temporality_scalars"][0]),
+        _counts("conteo_temporalidad_clase", "temporalidad_clase", "pat"),
+        _counts("conteo_acciones_recomendadas", "accion_recomendada", "dec"),
+        _list("top_estacionales", RESULTS["top10_seasonal"], f"{_TOP} recurrencia_estacional seasonality_index_quarterly peak_period_upcoming"),
+        _list("top_dormidos", RESULTS["top10_dormant"], f"{_TOP} stock_actual_total accion_recomendada warning_stock_dormido_real"),
+        _list(
+            "top_riesgo_mala_decision_si_se_mueven",
+            RESULTS["top10_risk"],
+            f"{_TOP} riesgo_mover_almacen accion_recomendada peak_period_upcoming months_to_next_peak",
+        ),
+        _values("proximos_meses_pico_detectados", "peak_period_upcoming", "dec"),
+        _values("proximos_trimestres_pico_detectados", "next_peak_quarter", "dec"),
+    ]
+)
 
 
 def _needed(text: str) -> list[str]:

@@ -14,11 +14,11 @@ from shelfwise.functions.labels import class_order, class_rank, month_name, mont
 from shelfwise.functions.text import bare_key, is_recent_arrival, normalize_key, number_or_zero
 from shelfwise.functions.time import days_since, parse_stamp, within
 from shelfwise.operators import metrics
-from shelfwise.operators.activity import daily_activity, inbound, line_activity, outbound, quarterly_activity
+from shelfwise.operators.activity import daily_activity, inbound, line_activity, outbound, quarterly_activity, windowed_activity
 from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE
 from shelfwise.operators.pareto import pareto
+from shelfwise.operators.reuse import keep
 from shelfwise.operators.rotation import stock_thresholds
-from shelfwise.operators.staging import stage
 from shelfwise.plans import current, decision, kpis, layouts, quarterly, summaries, temporality
 from shelfwise.sources.movements import prepare_movements
 from shelfwise.sources.sample import SAMPLE, sample_movements, sample_stock, table
@@ -55,42 +55,50 @@ class Inputs:
     def article_stock(self) -> DataFrame:
         return metrics.stock_by_article(self.occupied)
 
-    # Staged inputs of the plans that read them more than once.
+    # Kept inputs of the plans that read them more than once: the log and the snapshot are read once a query.
+
+    @cached_property
+    def places(self) -> DataFrame:
+        return keep(metrics.stock_places(self.occupied))
 
     @cached_property
     def owner_held(self) -> DataFrame:
-        return stage(self.owner_stock, "stock_owner")
+        return keep(metrics.stock_by_owner_article(self.places))
 
     @cached_property
     def article_held(self) -> DataFrame:
-        return stage(self.article_stock, "stock_article")
+        return keep(metrics.stock_by_article(self.places))
 
     @cached_property
     def quarter_sums(self) -> DataFrame:
-        return stage(quarterly_activity(self.movements), "quarters")
+        return keep(quarterly_activity(self.movements))
 
     @cached_property
-    def current_owner(self) -> DataFrame:
-        return current.current_owner_article(self.activity, self.owner_held, self.params)
+    def by_text(self) -> DataFrame:
+        return keep(metrics.text_sums(self.activity, self.params))
 
     @cached_property
-    def current_article(self) -> DataFrame:
-        return current.current_article(self.activity, self.article_held, self.params)
+    def windows(self) -> DataFrame:
+        return keep(windowed_activity(self.movements, self.params))
 
-    @cached_property
-    def owner_quarterly(self) -> DataFrame:
+    def current_owner(self, shares: bool = False) -> DataFrame:
+        return current.current_owner_article(self.by_text, self.owner_held, self.params, shares)
+
+    def current_article(self, shares: bool = False) -> DataFrame:
+        return current.current_article(self.by_text, self.article_held, self.params, shares)
+
+    def owner_quarterly(self, shares: bool = False) -> DataFrame:
         sums, held = self.quarter_sums, self.owner_held
-        return quarterly.owner_quarterly(sums, held, metrics.owner_dimension(sums, held), self.params)
+        return quarterly.owner_quarterly(sums, held, metrics.owner_dimension(sums, held), self.params, shares)
 
-    @cached_property
-    def article_quarterly(self) -> DataFrame:
+    def article_quarterly(self, shares: bool = False) -> DataFrame:
         sums, held = self.quarter_sums, self.article_held
-        return quarterly.article_quarterly(sums, held, metrics.article_dimension(sums, held), self.params)
+        return quarterly.article_quarterly(sums, held, metrics.article_dimension(sums, held), self.params, shares)
 
     @cached_property
     def monthly(self) -> DataFrame:
         # Read twice by every consumer: for the start of the calendar and for the sums.
-        return stage(temporality.monthly_actual(self.activity), "monthly")
+        return keep(temporality.monthly_actual(self.activity))
 
     @cached_property
     def profiles(self) -> DataFrame:
@@ -110,7 +118,10 @@ class Inputs:
 
     @cached_property
     def detail(self) -> DataFrame:
-        return temporality.temporality_detail(self.current_article, self.monthly, self.params)
+        """Current table and months from one base: the log is summed once."""
+        self.monthly = keep(temporality.monthly_actual(self.windows))
+        table = current.current_article(self.windows, self.article_held, self.params, shares=False)
+        return temporality.temporality_detail(table, self.monthly, self.params)
 
     @cached_property
     def decided(self) -> DataFrame:
@@ -419,7 +430,7 @@ _register_quarter_pareto("pareto_owner_article_quarter", OWNER_ARTICLE, "owner_s
     "ultima_cr dias_desde_ultima_pi_ytd",
 )
 def _(i):
-    return current.rotation(i.activity, i.article_stock, current.BY_ARTICLE, i.params)
+    return current.rotation(i.activity, i.article_stock, current.BY_ARTICLE, i.params, shares=False)
 
 
 @query(
@@ -428,17 +439,17 @@ def _(i):
     "ultima_cr dias_desde_ultima_pi_ytd",
 )
 def _(i):
-    return current.rotation(i.activity, i.owner_stock, current.BY_OWNER, i.params)
+    return current.rotation(i.activity, i.owner_stock, current.BY_OWNER, i.params, shares=False)
 
 
 @query("current_article", layouts.CURRENT_ARTICLE)
 def _(i):
-    return i.current_article
+    return i.current_article(shares=True)
 
 
 @query("current_owner_article", layouts.CURRENT_OWNER_ARTICLE)
 def _(i):
-    return i.current_owner
+    return i.current_owner(shares=True)
 
 
 FLAG_COLUMNS = "stock rotacion_final_ytd flag_sobrestock flag_stock_alto_vs_uso_reciente flag_reubicar"
@@ -446,12 +457,12 @@ FLAG_COLUMNS = "stock rotacion_final_ytd flag_sobrestock flag_stock_alto_vs_uso_
 
 @query("stock_flags_article", ["article_key", "stock_actual_total", *FLAG_COLUMNS.split()[1:]])
 def _(i):
-    return i.current_article
+    return i.current_article()
 
 
 @query("stock_flags_owner_article", ["owner_key", "article_key", "stock_actual", *FLAG_COLUMNS.split()[1:]])
 def _(i):
-    return i.current_owner
+    return i.current_owner()
 
 
 @query(
@@ -460,7 +471,7 @@ def _(i):
     "indice_stock_vs_lineas_salida_30d indice_stock_vs_cantidad_salida_30d dispersion_stock densidad_stock",
 )
 def _(i):
-    return i.current_article
+    return i.current_article()
 
 
 @query("inactivity_article", "article_key inactivo_30d inactivo_90d")
@@ -471,7 +482,7 @@ def _(i):
 @query("recent_arrival_flag", "article_key rotacion_final_ytd rotacion_final_30d es_recien_llegado")
 def _(i):
     recent = is_recent_arrival(F.col("rotacion_final_ytd")) | is_recent_arrival(F.col("rotacion_final_30d"))
-    return i.current_article.withColumn("es_recien_llegado", recent)
+    return i.current_article().withColumn("es_recien_llegado", recent)
 
 
 @query("detail_30d_article", " ".join(layouts.ROLLING_ARTICLE))
@@ -507,24 +518,24 @@ def _(i):
 
 @query("owner_quarterly", layouts.OWNER_QUARTERLY)
 def _(i):
-    return i.owner_quarterly
+    return i.owner_quarterly(shares=True)
 
 
 @query("article_quarterly", layouts.ARTICLE_QUARTERLY)
 def _(i):
-    return i.article_quarterly
+    return i.article_quarterly(shares=True)
 
 
 @query("quarterly_changes", layouts.QUARTERLY_CHANGES)
 def _(i):
-    return quarterly.quarterly_changes(i.article_quarterly)
+    return quarterly.quarterly_changes(i.article_quarterly())
 
 
 @query("class_ranks", "rotacion_final_trimestre rango orden articulos")
 def _(i):
     rotation = F.col("rotacion_final_trimestre")
     return (
-        i.article_quarterly.groupBy(rotation)
+        i.article_quarterly().groupBy(rotation)
         .agg(F.count("*").alias("articulos"))
         .withColumns({"rango": class_rank(rotation), "orden": class_order(rotation)})
     )
@@ -723,22 +734,22 @@ SUMMARY = "rotacion referencias stock_total lineas_pi cantidad_pi porcentaje_sto
 
 @query("summary_current", "rotacion referencias stock_total lineas_pi_ytd")
 def _(i):
-    return summaries.summary_current(i.current_owner)
+    return summaries.summary_current(i.current_owner())
 
 
 @query("summary_article_ytd", SUMMARY)
 def _(i):
-    return summaries.summary_article_ytd(i.current_article)
+    return summaries.summary_article_ytd(i.current_article())
 
 
 @query("summary_30d", "analisis " + SUMMARY)
 def _(i):
-    return summaries.summary_30d(i.current_owner, i.current_article)
+    return summaries.summary_30d(i.current_owner(), i.current_article())
 
 
 @query("summary_quarterly", "analisis period_label " + SUMMARY)
 def _(i):
-    return summaries.summary_quarterly(i.owner_quarterly, i.article_quarterly)
+    return summaries.summary_quarterly(i.owner_quarterly(), i.article_quarterly())
 
 
 @query(
@@ -746,7 +757,7 @@ def _(i):
     "puesto articulo descripcion lineas_pi_ytd cantidad_pi_ytd rotacion_final_ytd stock_actual_total",
 )
 def _(i):
-    return kpis.top_ytd(i.current_article, i.params)
+    return kpis.top_ytd(i.current_article(), i.params)
 
 
 @query(
@@ -754,7 +765,7 @@ def _(i):
     "puesto articulo descripcion lineas_pi_30d cantidad_pi_30d rotacion_final_30d stock_actual_total",
 )
 def _(i):
-    return kpis.top_30d(i.current_article, i.params)
+    return kpis.top_30d(i.current_article(), i.params)
 
 
 @query(
@@ -792,12 +803,12 @@ KPI_ABC = (
 
 
 def _universe(i) -> DataFrame:
-    return quarterly.quarter_universe(i.activity, i.article_stock, ARTICLE, i.params)
+    return quarterly.latest_quarter(i.by_text, i.article_held, i.params)
 
 
 @query("kpi_abc_scalars", KPI_ABC)
 def _(i):
-    return kpis.kpi_abc_scalars(i.current_owner, i.current_article, _universe(i), i.params)
+    return kpis.kpi_abc_scalars(i.current_owner(), i.current_article(), _universe(i), i.params)
 
 
 @query(
@@ -822,12 +833,17 @@ def _(i):
     return kpis.count_by(i.decided, "accion_recomendada")
 
 
-@query("kpi_abc", "value")
+DOCUMENT = "ruta texto numero"
+
+
+@query("kpi_abc", DOCUMENT)
 def _(i):
-    owners, articles = stage(i.current_owner, "owners"), stage(i.current_article, "articles")
-    return kpis.as_json(kpis.kpi_abc(owners, articles, _universe(i), i.params))
+    owners, articles = keep(i.current_owner()), keep(i.current_article())
+    document = kpis.kpi_abc(owners, articles, _universe(i), i.params)
+    return kpis.shredded(kpis.as_json(document), document.schema)
 
 
-@query("kpi_temporality", "value")
+@query("kpi_temporality", DOCUMENT)
 def _(i):
-    return kpis.as_json(kpis.kpi_temporality(stage(i.decided, "detail"), i.params))
+    document = kpis.kpi_temporality(keep(i.decided), i.params)
+    return kpis.shredded(kpis.as_json(document), document.schema)

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import filled_text, strip
-from shelfwise.functions.time import quarter_start
-from shelfwise.params import INBOUND, OUTBOUND
+from shelfwise.functions.time import day_start, month_start, quarter_start
+from shelfwise.params import INBOUND, OUTBOUND, Params
 
 
 def outbound() -> Column:
@@ -64,6 +64,13 @@ def daily_activity(movements: DataFrame) -> DataFrame:
     return _summed(movements, F.to_date("primera"))
 
 
+def windowed_activity(movements: DataFrame, params: Params) -> DataFrame:
+    """Sums per month, the month of the rolling window's first day cut in two: enough for the current tables of both
+    grains, whose windows begin with a year or that day, and for all of temporality."""
+    rolling = F.col("primera") >= day_start(params.rolling_start)
+    return _summed(movements, F.struct(month_start(F.col("primera")).alias("mes"), rolling.alias("reciente")))
+
+
 def quarterly_activity(movements: DataFrame) -> DataFrame:
     """Sums per quarter: enough for the quarterly tables, whose windows are quarters, and for
     the dimensions, which have none."""

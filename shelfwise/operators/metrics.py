@@ -63,16 +63,20 @@ def last_pi(activity: DataFrame, keys: list[str], past: date) -> DataFrame:
     )
 
 
-def key_metrics(activity: DataFrame, keys: list[str], params: Params) -> DataFrame:
-    """Everything the current tables need from the log, in one pass over it."""
+def text_sums(activity: DataFrame, params: Params) -> DataFrame:
+    """Everything the current tables need from the log, in one pass over it, per owner, article and text.
+
+    The base of both grains: all of its columns can be merged further. A frame that is such a base already is returned.
+    """
+    if "lineas_pi_ytd" in activity.columns:
+        return activity
     ytd = outbound() & (F.col("primera") >= day_start(params.year_start))
     rolling = outbound() & (F.col("primera") >= day_start(params.rolling_start))
 
     def only(condition: Column, name: str) -> Column:
         return F.when(condition, F.col(name))
 
-    moved = known_owner(activity, keys).where(outbound() | inbound())
-    by_text = moved.groupBy(*keys, "texto").agg(
+    return activity.where(outbound() | inbound()).groupBy(*OWNER_ARTICLE, "texto").agg(
         F.sum(only(ytd, "lineas")).alias("lineas_pi_ytd"),
         F.sum(only(ytd, "cantidad")).alias("cantidad_pi_ytd"),
         F.max(only(ytd, "ultima")).alias("ultima_pi_ytd"),
@@ -86,6 +90,10 @@ def key_metrics(activity: DataFrame, keys: list[str], params: Params) -> DataFra
         F.sum(only(inbound(), "cantidad")).alias("cantidad_cr_historico"),
         F.max(only(inbound(), "ultima")).alias("ultima_cr"),
     )
+
+
+def key_metrics(by_text: DataFrame, keys: list[str]) -> DataFrame:
+    """``text_sums`` added up for the keys of one grain."""
     sums = [
         "lineas_pi_ytd",
         "cantidad_pi_ytd",
@@ -95,7 +103,7 @@ def key_metrics(activity: DataFrame, keys: list[str], params: Params) -> DataFra
         "cantidad_cr_historico",
     ]
     dates = ["ultima_pi_ytd", "ultima_pi_30d", "ultima_pi_historica", "ultima_cr"]
-    return by_text.groupBy(*keys).agg(
+    return known_owner(by_text, keys).groupBy(*keys).agg(
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums],
         *[F.max(name).alias(name) for name in dates],
         first_text("fila_ytd").alias("descripcion_pi_ytd"),
@@ -127,29 +135,36 @@ def _with_texts(occupied: DataFrame) -> DataFrame:
     )
 
 
-def stock_by_owner_article(occupied: DataFrame) -> DataFrame:
+def stock_places(occupied: DataFrame) -> DataFrame:
+    """Stock per owner, article, location and texts: the base of both grains.
+
+    All that a row is summed into is of fixed width, so the rows of the snapshot are hashed, not sorted. A frame that
+    is such a base already is returned.
+    """
+    if "_descripcion" in occupied.columns:
+        return occupied
     return (
         _with_texts(occupied)
-        .groupBy(*OWNER_ARTICLE)
-        .agg(
-            _first_filled("propietario").alias("propietario"),
-            _first_filled("descripcion").alias("descripcion_stock"),
-            F.sum("stock_actual").alias("stock_actual"),
-            F.count_distinct("ubicacion").alias("ubicaciones_con_stock"),
-        )
+        .groupBy(*OWNER_ARTICLE, "ubicacion", "_propietario", "_descripcion")
+        .agg(F.sum("stock_actual").alias("stock_actual"), F.min("row_no").alias("row_no"))
+    )
+
+
+def stock_by_owner_article(occupied: DataFrame) -> DataFrame:
+    return stock_places(occupied).groupBy(*OWNER_ARTICLE).agg(
+        _first_filled("propietario").alias("propietario"),
+        _first_filled("descripcion").alias("descripcion_stock"),
+        F.sum("stock_actual").alias("stock_actual"),
+        F.count_distinct("ubicacion").alias("ubicaciones_con_stock"),
     )
 
 
 def stock_by_article(occupied: DataFrame) -> DataFrame:
-    return (
-        _with_texts(occupied)
-        .groupBy(*ARTICLE)
-        .agg(
-            _first_filled("descripcion").alias("descripcion_stock"),
-            F.sum("stock_actual").alias("stock_actual_total"),
-            F.count_distinct("ubicacion").alias("ubicaciones_con_stock"),
-            F.count_distinct("owner_key").alias("propietarios_distintos"),
-        )
+    return stock_places(occupied).groupBy(*ARTICLE).agg(
+        _first_filled("descripcion").alias("descripcion_stock"),
+        F.sum("stock_actual").alias("stock_actual_total"),
+        F.count_distinct("ubicacion").alias("ubicaciones_con_stock"),
+        F.count_distinct("owner_key").alias("propietarios_distintos"),
     )
 
 

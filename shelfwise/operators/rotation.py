@@ -67,10 +67,10 @@ def stock_thresholds(stock: DataFrame, amount: str, params: Params) -> DataFrame
 def with_flags(frame: DataFrame, thresholds: DataFrame, amount: str, params: Params) -> DataFrame:
     """Overstock and relocation flags.
 
-    The thresholds are one row of three numbers. They are fetched once and become literals:
-    as a subquery they would be planned again at every use.
+    The thresholds are one row of three numbers, a subquery that runs with the table.
     """
-    limits = {name: F.lit(value) for name, value in thresholds.first().asDict().items()}
+    frame = frame.withColumn("_limits", thresholds.select(F.struct(*thresholds.columns)).scalar())
+    limits = F.col("_limits")
     rotation = F.col("rotacion_final_ytd")
     overstock = (
         (F.col(amount) >= limits["umbral_stock"])
@@ -89,4 +89,4 @@ def with_flags(frame: DataFrame, thresholds: DataFrame, amount: str, params: Par
             "flag_stock_alto_vs_uso_reciente": yes_no(overstock),
             "flag_reubicar": yes_no(relocate),
         }
-    )
+    ).drop("_limits")

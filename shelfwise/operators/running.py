@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.operators.staging import stage
+from shelfwise.operators.reuse import keep
 
 BUCKET = "_bucket"
 
@@ -22,8 +22,8 @@ def running_total(
 
     The rows are range-partitioned by the full order, so every task holds one contiguous,
     equally large stretch of it, however many rows share a partition value or a leading sort
-    value. The stretch number is staged with the rows. One total per stretch then gives each
-    stretch its starting sum, and the window only runs inside a stretch.
+    value. The stretches are kept, so that both branches see the same borders. One total per
+    stretch then gives each stretch its starting sum, and the window only runs inside a stretch.
 
     ``order`` must be unique within a partition value.
     """
@@ -31,7 +31,7 @@ def running_total(
     # An explicit count keeps the stretches as they were cut.
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stretches = frame.repartitionByRange(count, *[F.col(name) for name in partition], *order)
-    rows = stage(stretches.withColumn(BUCKET, F.spark_partition_id()), "stretches")
+    rows = keep(stretches.withColumn(BUCKET, F.spark_partition_id()))
 
     key = [*partition, BUCKET]
     sums = rows.groupBy(*key).agg(F.sum(weight).alias("_sum"))

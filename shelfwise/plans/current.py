@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.time import days_since
-from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE, key_metrics
-from shelfwise.operators.pareto import pareto
+from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE, key_metrics, text_sums
+from shelfwise.operators.pareto import Measure, ranked
 from shelfwise.operators.rotation import (
     criteria,
     final_class,
@@ -54,46 +54,31 @@ BY_ARTICLE = Grain(
 HORIZONS = {"ytd": RECENT_YTD, "30d": RECENT_30D}
 
 
-def classified_metrics(activity: DataFrame, keys: list[str], params: Params) -> DataFrame:
+def classified_metrics(activity: DataFrame, keys: list[str], params: Params, shares: bool) -> DataFrame:
     """Log metrics of every key ever moved, ranked by year-to-date and by rolling lines.
 
-    Both rankings are over all keys with outbound lines, whether in stock or not, and run as
-    two partitions of one pass. A key has one row per horizon it moved in; the first carries
-    the other metrics along, so nothing has to be computed twice or joined back.
+    Both rankings are over all keys with outbound lines, whether in stock or not. Without ``shares``
+    the cumulative ones are left out, and with them the order of all keys.
     """
-    measured = key_metrics(activity, keys, params)
-    metrics = [name for name in measured.columns if name not in keys]
-    horizons = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("horizonte"),
-                F.col(f"lineas_pi_{name}").alias("lineas"),
-                F.col(f"cantidad_pi_{name}").alias("cantidad"),
-            )
-            for name in HORIZONS
-        ]
-    )
-    carrier = F.col("horizonte") == "ytd"
-    rows = (
-        measured.select(*keys, *metrics, F.inline(horizons))
-        .where(carrier | (F.col("lineas") > 0))
-        .withColumns({name: F.when(carrier, F.col(name)) for name in metrics})
-    )
-    rank = ["rotacion_abc", "porcentaje_lineas_pi", "porcentaje_acumulado_pi"]
-    ranked = pareto(rows, params, keys, "lineas", "cantidad", *rank, partition=["horizonte"])
-    return ranked.groupBy(*keys).agg(
-        *[F.max(name).alias(name) for name in metrics],
-        *[
-            F.max(F.when(F.col("horizonte") == horizon, F.col(name))).alias(f"{name}_{horizon}")
-            for horizon in HORIZONS
-            for name in rank
-        ],
-    )
-
-
-def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params) -> DataFrame:
-    """Stock keys with their log metrics, final classes and criteria for both horizons."""
-    found = stock.join(classified_metrics(activity, grain.keys, params), grain.keys, "left")
+    measures = [
+        Measure(
+            f"lineas_pi_{name}",
+            f"cantidad_pi_{name}",
+            f"rotacion_abc_{name}",
+            f"porcentaje_lineas_pi_{name}",
+            f"porcentaje_acumulado_pi_{name}" if shares else None,
+        )
+        for name in HORIZONS
+    ]
+    return ranked(key_metrics(text_sums(activity, params), keys), params, keys, measures)
+
+
+def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params, shares: bool = True) -> DataFrame:
+    """Stock keys with their log metrics, final classes and criteria for both horizons.
+
+    ``activity`` may be the log's ``text_sums``, from which both grains are made.
+    """
+    found = stock.join(classified_metrics(activity, grain.keys, params, shares), grain.keys, "left")
     zeros = {"lineas_cr_historico": 0, "cantidad_cr_historico": 0.0}
     for horizon in HORIZONS:
         zeros |= {
@@ -103,7 +88,7 @@ def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params
             f"porcentaje_lineas_pi_{horizon}": 0.0,
             f"porcentaje_acumulado_pi_{horizon}": 0.0,
         }
-    found = found.fillna(zeros)
+    found = found.fillna({name: value for name, value in zeros.items() if name in found.columns})
 
     day = F.lit(params.snapshot)
     new = {"dias_desde_ultima_cr": days_since(day, F.col("ultima_cr"))}
@@ -122,7 +107,7 @@ def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params
 
 
 def current(rotated: DataFrame, stock: DataFrame, grain: Grain, params: Params) -> DataFrame:
-    """The published current table of one grain, from its rotation."""
+    """The published current table of one grain, from its rotation; without the shares that a rotation leaves out."""
     short, long = params.inactive_days
     detail = rotated.withColumns(
         {
@@ -133,20 +118,21 @@ def current(rotated: DataFrame, stock: DataFrame, grain: Grain, params: Params)
     )
     detail = with_usage(detail, grain.stock)
     detail = with_flags(detail, stock_thresholds(stock, grain.stock, params), grain.stock, params)
-    return stamped(with_ids(detail), params).select(*grain.layout)
+    detail = stamped(with_ids(detail), params)
+    return detail.select(*[name for name in grain.layout if name in detail.columns])
 
 
-def current_owner_article(activity: DataFrame, stock: DataFrame, params: Params) -> DataFrame:
-    return current(rotation(activity, stock, BY_OWNER, params), stock, BY_OWNER, params)
+def current_owner_article(activity: DataFrame, stock: DataFrame, params: Params, shares: bool = True) -> DataFrame:
+    return current(rotation(activity, stock, BY_OWNER, params, shares), stock, BY_OWNER, params)
 
 
-def current_article(activity: DataFrame, stock: DataFrame, params: Params) -> DataFrame:
-    return current(rotation(activity, stock, BY_ARTICLE, params), stock, BY_ARTICLE, params)
+def current_article(activity: DataFrame, stock: DataFrame, params: Params, shares: bool = True) -> DataFrame:
+    return current(rotation(activity, stock, BY_ARTICLE, params, shares), stock, BY_ARTICLE, params)
 
 
 def inactivity(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params) -> DataFrame:
     """Keys in stock and whether they have rested for each number of days; no ranking is needed."""
-    last = key_metrics(activity, grain.keys, params).select(*grain.keys, "ultima_pi_historica")
+    last = key_metrics(text_sums(activity, params), grain.keys).select(*grain.keys, "ultima_pi_historica")
     flags = {f"inactivo_{days}d": inactive(F.col("ultima_pi_historica"), params, days) for days in params.inactive_days}
     return stock.select(*grain.keys).join(last, grain.keys, "left").withColumns(flags)
 

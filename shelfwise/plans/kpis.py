@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StructType
 
 from shelfwise.functions.labels import class_order
 from shelfwise.params import (
@@ -27,13 +28,14 @@ from shelfwise.params import (
 DECIMALS = 10
 
 
-def report_order() -> list[Column]:
-    """Order of the current article table; it settles ties in the top lists."""
+def report_order(stock: str = "stock_actual_total", *more: str) -> list[Column]:
+    """Order of a current table; that of the article table settles ties in the top lists."""
     return [
         class_order(F.col("rotacion_final_ytd")).asc(),
         F.col("lineas_pi_ytd").desc(),
-        F.col("stock_actual_total").desc(),
+        F.col(stock).desc(),
         F.col("articulo").asc(),
+        *[F.col(name).asc() for name in more],
     ]
 
 
@@ -199,6 +201,28 @@ def kpi_temporality(detail: DataFrame, params: Params) -> DataFrame:
     )
 
 
+def _leaves(value: Column, kind: DataType, path: Column) -> Column:
+    """The scalars below a value, as an array of (ruta, texto, numero)."""
+    if isinstance(kind, StructType):
+        dot = lambda f: F.concat(path, F.when(path != "", ".").otherwise(""), F.lit(f.name))
+        return F.flatten(F.array(*[_leaves(value[f.name], f.dataType, dot(f)) for f in kind.fields]))
+    if isinstance(kind, ArrayType):
+        at = lambda i: F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+        return F.flatten(F.transform(F.coalesce(value, F.array()), lambda x, i: _leaves(x, kind.elementType, at(i))))
+    if isinstance(kind, MapType):
+        entries = F.map_entries(F.coalesce(value, F.create_map().cast(kind)))
+        return F.flatten(F.transform(entries, lambda e: _leaves(e["value"], kind.valueType, F.concat(path, F.lit("."), e["key"]))))
+    number = isinstance(kind, NumericType)
+    text, size = (F.lit(None), value) if number else (value, F.lit(None))
+    return F.array(F.struct(path.alias("ruta"), text.cast("string").alias("texto"), size.cast("double").alias("numero")))
+
+
+def shredded(texts: DataFrame, kind: StructType) -> DataFrame:
+    """JSON documents as rows of path and text or number: one a value, nulls included; empty lists have none."""
+    parsed = texts.select(F.from_json("value", kind).alias("documento"))
+    return parsed.select(F.inline(_leaves(F.col("documento"), kind, F.lit(""))))
+
+
 def as_json(document: DataFrame) -> DataFrame:
     """The document as one line of JSON text; nulls are written."""
     return document.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.activity import daily_activity
@@ -13,11 +13,15 @@ from shelfwise.operators.metrics import (
     owner_dimension,
     stock_by_article,
     stock_by_owner_article,
+    stock_places,
+    text_sums,
 )
+from shelfwise.operators.reuse import release
 from shelfwise.operators.staging import stage
 from shelfwise.params import Params
 from shelfwise.plans import current, decision, kpis, quarterly, summaries, temporality
 from shelfwise.plans.common import stamped
+from shelfwise.plans.snapshots import in_report_order, recover, replace_snapshot
 from shelfwise.sources.movements import prepare_movements
 from shelfwise.sources.stock import occupied_stock
 
@@ -51,44 +55,53 @@ class Target:
         return f"{self.root}/json/{name}"
 
 
-def write_snapshot(frame: DataFrame, path: str, params: Params) -> None:
-    """Replace this snapshot's folder, also by no rows, and leave other snapshots alone.
+def write_snapshot(frame: DataFrame, path: str, params: Params, order: list[Column] | None = None) -> None:
+    """Replace this snapshot's folder, also by no rows, and leave other snapshots alone; stored in ``order``, if given.
 
     The folder's name holds the snapshot; ``read_table`` puts the column back in its place.
     """
-    frame.drop("snapshot_date").write.mode("overwrite").parquet(f"{path}/snapshot_date={params.snapshot_text}")
+    rows = in_report_order(frame, order) if order else frame
+    replace_snapshot(frame.sparkSession, path, params, rows.drop("snapshot_date").write.parquet)
 
 
 def read_table(like: DataFrame, path: str, params: Params) -> DataFrame:
     """This snapshot of a published table, in its published column order and types."""
+    recover(like.sparkSession, path, params)
     whole = like.sparkSession.read.schema(like.schema).parquet(path)
     return whole.where(F.col("snapshot_date") == params.snapshot_text).select(*like.columns)
 
 
 def write_document(document: DataFrame, path: str, params: Params) -> None:
     """One line of JSON per snapshot."""
-    kpis.as_json(document).coalesce(1).write.mode("overwrite").text(f"{path}/snapshot_date={params.snapshot_text}")
+    replace_snapshot(document.sparkSession, path, params, kpis.as_json(document).coalesce(1).write.text)
 
 
 def publish(movements: DataFrame, stock: DataFrame, params: Params, target: Target) -> None:
-    """Write everything a run publishes.
+    """Write everything a run publishes. The log is scanned once, into daily sums."""
+    publish_from(daily_activity(prepare_movements(movements, params)), stock, params, target)
 
-    The log is scanned once, into daily sums. Each published table is written once and read
-    back by the tables built on it.
-    """
-    activity = stage(daily_activity(prepare_movements(movements, params)), "activity")
-    occupied = occupied_stock(stock)
-    by_owner = stage(stock_by_owner_article(occupied), "stock_owner")
-    by_article = stage(stock_by_article(occupied), "stock_article")
 
-    def put(name: str, frame: DataFrame) -> DataFrame:
-        write_snapshot(frame, target.table(name), params)
+def publish_from(daily: DataFrame, stock: DataFrame, params: Params, target: Target) -> None:
+    """The same from daily sums, of a log or of a base that grows with it (``incremental``).
+
+    Each published table is written once and read back by the tables built on it.
+    """
+    activity = stage(daily, "activity")
+    by_text = stage(text_sums(activity, params), "texts")
+    places = stage(stock_places(occupied_stock(stock)), "places")
+    by_owner = stage(stock_by_owner_article(places), "stock_owner")
+    by_article = stage(stock_by_article(places), "stock_article")
+
+    def put(name: str, frame: DataFrame, *order: Column) -> DataFrame:
+        write_snapshot(frame, target.table(name), params, [*order])
         return read_table(frame, target.table(name), params)
 
-    turned_owner = stage(current.rotation(activity, by_owner, current.BY_OWNER, params), "turned_owner")
-    turned_article = stage(current.rotation(activity, by_article, current.BY_ARTICLE, params), "turned_article")
-    owners = put(OWNER_CURRENT, current.current(turned_owner, by_owner, current.BY_OWNER, params))
-    articles = put(ARTICLE_CURRENT, current.current(turned_article, by_article, current.BY_ARTICLE, params))
+    turned_owner = stage(current.rotation(by_text, by_owner, current.BY_OWNER, params), "turned_owner")
+    turned_article = stage(current.rotation(by_text, by_article, current.BY_ARTICLE, params), "turned_article")
+    owners = put(
+        OWNER_CURRENT, current.current(turned_owner, by_owner, current.BY_OWNER, params), *kpis.report_order("stock_actual", "owner_key")
+    )
+    articles = put(ARTICLE_CURRENT, current.current(turned_article, by_article, current.BY_ARTICLE, params), *kpis.report_order())
 
     owner_quarters = put(
         OWNER_HISTORY,
@@ -124,3 +137,4 @@ def publish(movements: DataFrame, stock: DataFrame, params: Params, target: Targ
 
     write_document(kpis.kpi_abc(owners, articles, article_quarters, params), target.document(KPI_ABC), params)
     write_document(kpis.kpi_temporality(detail, params), target.document(KPI_TEMPORALITY), params)
+    release(daily.sparkSession)

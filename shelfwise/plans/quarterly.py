@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.labels import class_rank
 from shelfwise.functions.time import quarter_label, quarter_start
 from shelfwise.operators.activity import inbound, outbound
-from shelfwise.operators.gaps import fill_gaps
+from shelfwise.operators.gaps import expand, with_spans
 from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE
 from shelfwise.operators.pareto import pareto
 from shelfwise.operators.rotation import criteria, final_class, recent_arrival
@@ -96,7 +96,13 @@ def period_columns() -> dict:
     }
 
 
-def ranked_quarters(quarters: DataFrame, keys: list[str], params: Params) -> DataFrame:
+def latest_quarter(activity: DataFrame, stock: DataFrame, params: Params) -> DataFrame:
+    """The last quarter of the universe, if there is any: every key reaches the current one."""
+    some = activity.select(F.lit(params.quarter_start).alias(QUARTER)).limit(1)
+    return some.union(stock.select(F.lit(params.quarter_start)).limit(1)).withColumns(period_columns())
+
+
+def ranked_quarters(quarters: DataFrame, keys: list[str], params: Params, shares: bool = True) -> DataFrame:
     return pareto(
         quarters,
         params,
@@ -105,32 +111,33 @@ def ranked_quarters(quarters: DataFrame, keys: list[str], params: Params) -> Dat
         "cantidad_pi_trimestre",
         "rotacion_abc_trimestre",
         "porcentaje_lineas_pi_trimestre",
-        "porcentaje_acumulado_pi_trimestre",
+        "porcentaje_acumulado_pi_trimestre" if shares else None,
         partition=[QUARTER],
     )
 
 
-def quarterly_rotation(activity: DataFrame, stock: DataFrame, keys: list[str], params: Params) -> DataFrame:
+def quarterly_rotation(
+    activity: DataFrame, stock: DataFrame, keys: list[str], params: Params, dimension: DataFrame | None = None, shares: bool = True
+) -> DataFrame:
     """All quarters in one query: sums per key and quarter, ranking, running inbound, gaps.
 
-    The windows and the gap filling work on one key, so they share one shuffle.
+    A key has a row for each quarter with a line and the span of quarters that it stands for. Ranking, windows and the
+    join with ``dimension`` see only those; the quarters between are made at the very end. Without ``shares`` the
+    cumulative share, and with it the order of all keys, is left out.
     """
-    ranked = ranked_quarters(quarter_activity(activity, stock, keys, params), keys, params)
-    full = fill_gaps(
-        inbound_so_far(ranked, keys),
-        keys,
-        QUARTER,
-        F.lit(params.quarter_start),
-        3,
-        {
-            "lineas_pi_trimestre": F.lit(0).cast("bigint"),
-            "cantidad_pi_trimestre": F.lit(0.0),
-            "porcentaje_lineas_pi_trimestre": F.lit(0.0),
-            "porcentaje_acumulado_pi_trimestre": F.lit(0.0),
-            "rotacion_abc_trimestre": F.lit("D"),
-            "ultima_pi_trimestre": F.lit(None).cast("timestamp_ntz"),
-        },
-    ).withColumns(period_columns())
+    ranked = ranked_quarters(quarter_activity(activity, stock, keys, params), keys, params, shares)
+    spans = with_spans(inbound_so_far(ranked, keys), keys, QUARTER, F.lit(params.quarter_start), 3)
+    if dimension is not None:
+        spans = spans.join(dimension, keys, "left")
+    blank = {
+        "lineas_pi_trimestre": F.lit(0).cast("bigint"),
+        "cantidad_pi_trimestre": F.lit(0.0),
+        "porcentaje_lineas_pi_trimestre": F.lit(0.0),
+        "porcentaje_acumulado_pi_trimestre": F.lit(0.0),
+        "rotacion_abc_trimestre": F.lit("D"),
+        "ultima_pi_trimestre": F.lit(None).cast("timestamp_ntz"),
+    }
+    full = expand(spans, QUARTER, 3, {name: value for name, value in blank.items() if name in spans.columns}).withColumns(period_columns())
 
     reference = F.least(F.date_add(F.add_months(QUARTER, 3), -1), F.lit(params.snapshot))
     lines = F.col("lineas_pi_trimestre")
@@ -151,23 +158,25 @@ def quarterly_rotation(activity: DataFrame, stock: DataFrame, keys: list[str], p
     ).withColumnRenamed("ultima_cr", "ultima_cr_hasta_fin_trimestre")
 
 
-def _published(rotation: DataFrame, dimension: DataFrame, keys: list[str], amount: str, params: Params) -> DataFrame:
+def _published(
+    activity: DataFrame, stock: DataFrame, dimension: DataFrame, keys: list[str], amount: str, layout: list[str], params: Params, shares: bool
+) -> DataFrame:
     # The dimension holds no key without an owner: such rows find no match and keep null
     # descriptions and stock, which is what they should show.
     named = dimension.drop("articulo").withColumnsRenamed(
         {amount: f"{amount}_foto", "ubicaciones_con_stock": "ubicaciones_con_stock_foto"}
     )
-    return stamped(with_ids(rotation.join(named, keys, "left")), params)
+    rotation = quarterly_rotation(activity, stock, keys, params, named, shares)
+    table = stamped(with_ids(rotation), params)
+    return table.select(*[name for name in layout if name in table.columns])
 
 
-def owner_quarterly(activity: DataFrame, stock: DataFrame, dimension: DataFrame, params: Params) -> DataFrame:
-    rotation = quarterly_rotation(activity, stock, OWNER_ARTICLE, params)
-    return _published(rotation, dimension, OWNER_ARTICLE, "stock_actual", params).select(*OWNER_QUARTERLY)
+def owner_quarterly(activity: DataFrame, stock: DataFrame, dimension: DataFrame, params: Params, shares: bool = True) -> DataFrame:
+    return _published(activity, stock, dimension, OWNER_ARTICLE, "stock_actual", OWNER_QUARTERLY, params, shares)
 
 
-def article_quarterly(activity: DataFrame, stock: DataFrame, dimension: DataFrame, params: Params) -> DataFrame:
-    rotation = quarterly_rotation(activity, stock, ARTICLE, params)
-    return _published(rotation, dimension, ARTICLE, "stock_actual_total", params).select(*ARTICLE_QUARTERLY)
+def article_quarterly(activity: DataFrame, stock: DataFrame, dimension: DataFrame, params: Params, shares: bool = True) -> DataFrame:
+    return _published(activity, stock, dimension, ARTICLE, "stock_actual_total", ARTICLE_QUARTERLY, params, shares)
 
 
 def quarterly_changes(quarterly: DataFrame) -> DataFrame:

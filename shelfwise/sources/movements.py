@@ -9,6 +9,7 @@ from shelfwise.functions.text import bare_key, is_filled, normalize_key, number_
 from shelfwise.functions.time import day_start, parse_stamp, quarter_label
 from shelfwise.params import Params
 from shelfwise.sources.columns import MOVEMENT_HEADERS, from_headers, require_columns
+from shelfwise.sources.file_order import with_file_order
 
 
 def read_movements(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -16,11 +17,11 @@ def read_movements(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return from_headers(reader.options(**options).load(path), MOVEMENT_HEADERS)
+    return from_headers(with_file_order(reader.options(**options).load(path), fmt), MOVEMENT_HEADERS)
 
 
 def with_row_no(frame: DataFrame) -> DataFrame:
-    """Keep the ingestion order where the log does not carry one."""
+    """Some order for tables that carry none and do not come from ``read_movements`` or ``read_stock``."""
     if "row_no" in frame.columns:
         return frame
     return frame.withColumn("row_no", F.monotonically_increasing_id())

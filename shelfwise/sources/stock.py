@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.text import bare_key, is_filled, normalize_key, number_or_zero
 from shelfwise.params import OCCUPIED
 from shelfwise.sources.columns import STOCK_HEADERS, from_headers, require_columns
+from shelfwise.sources.file_order import with_file_order
 from shelfwise.sources.movements import with_row_no
 
 # Fixed value: a day-first date anywhere in a file name.
@@ -20,7 +21,7 @@ def read_stock(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return from_headers(reader.options(**options).load(path), STOCK_HEADERS)
+    return from_headers(with_file_order(reader.options(**options).load(path), fmt), STOCK_HEADERS)
 
 
 def snapshot_date_from_name(name: Column) -> Column:

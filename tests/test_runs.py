@@ -13,20 +13,16 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from shelfwise.catalog import oracle
 from shelfwise.catalog.queries import QUERIES
+from shelfwise.operators.reuse import release
 from shelfwise.plans import layouts, publish
+from shelfwise.plans.kpis import report_order
 from shelfwise.plans.publish import Target
+from shelfwise.plans.snapshots import read_in_order
 from shelfwise.sources.columns import require_columns
 from shelfwise.sources.movements import prepare_movements, read_movements
 from shelfwise.sources.sample import SAMPLE, sample_movements, sample_stock
 from shelfwise.sources.stock import latest_stock_file, occupied_stock, open_stock, read_stock
 
-# Queries compared in every test run; SHELFWISE_ALL=1 compares all of them.
-COMPARED = """
-movements_clean stock_occupied snapshot_date_from_name normalize_keys parse_dates coerce_quantities month_labels
-current_article current_owner_article owner_quarterly quarterly_changes temporality_monthly decision_article
-summary_quarterly top10_risk kpi_abc_scalars
-""".split()
-
 
 def test_missing_columns(spark):
     with pytest.raises(ValueError, match="log: cantidad; other: amount"):
@@ -181,17 +177,28 @@ def test_same_run_twice_replaces_its_snapshot(spark, run):
     assert spark.read.parquet(run.table(publish.ARTICLE_CURRENT)).count() == before > one
 
 
-@pytest.mark.parametrize("name", list(driver.queries()) if os.environ.get("SHELFWISE_ALL") else COMPARED)
-def test_sql_check(spark, name):
-    checks = driver.oracle_sql()
+@pytest.fixture(scope="module")
+def checks():
+    return oracle.statements(), connect(SMALL)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_sql_check(spark, checks, name):
+    statements, base = checks
     rows = driver.queries()[name](spark, SMALL).toPandas()
-    if name in checks:
-        assert differences(rows, connect(SMALL).execute(checks[name]).df()) is None
+    assert differences(rows, base.execute(statements[name]).df()) is None
+    release(spark)
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-def test_every_query_but_the_documents_has_a_check():
-    assert set(QUERIES) - set(oracle.statements()) == {"kpi_abc", "kpi_temporality"}
+def test_every_query_has_a_check():
+    assert set(QUERIES) == set(oracle.statements())
+
+
+def test_the_article_table_lies_in_report_order(spark, run):
+    rows = read_in_order(spark, run.table(publish.ARTICLE_CURRENT), SAMPLE)
+    stored = [r.articulo for r in rows.orderBy("orden").collect()]
+    assert len(stored) > 10 and stored == [r.articulo for r in rows.orderBy(*report_order()).collect()]
