@@ -17,8 +17,8 @@ from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, mix, pieces, prefix,
 WORDS, PERCENT = 5, 80
 #: Documents up to which a column of the incidence is multiplied with itself outright.
 NARROW = 32
-#: Pivots of each wider column, and the side of the blocks that it is multiplied in after them.
-PIVOTS, SIDE = 16, 512
+#: Rounds, at most, in which every class meets one pivot, and the side of the blocks of all products.
+ROUNDS, SIDE = 4, 512
 
 
 def ngram_sets(texts: pa.Array | pa.ChunkedArray, n: int = WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -104,12 +104,59 @@ def incidence(docs: DataFrame, doc_id: str, text: str, scratch: Scratch, percent
     return scratch.put(joined.applyInArrow(mark, schema))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of `pairs` (a, b), those whose sets are similar: both sets are joined on, and their product taken."""
-    of = lambda x: sets.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("grams").alias(f"g{x}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    common = F.size(F.array_intersect("ga", "gb"))
-    return both.where(F.lit(100) * common >= F.lit(percent) * (F.col("na") + F.col("nb") - common)).select("a", "b")
+def _overlaps(lists: pa.Table, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(overlap, size of a, size of b) of pairs of classes: rows of their n-grams (rep, n, grams), multiplied.
+
+    The incidence of the block is held as sorted cells of class and n-gram. For each pair the smaller class's cells
+    are looked up among the other's, and what is found is added up, some million cells at a time.
+    """
+    rep, n = lists.column("rep").to_numpy(), lists.column("n").to_numpy()
+    grams = lists.column("grams").combine_chunks()
+    grams = grams if isinstance(grams, pa.Array) else pa.concat_arrays(grams.chunks)
+    size = np.diff(grams.offsets.to_numpy())
+    order = np.argsort(rep)
+    a, b = order[np.searchsorted(rep[order], a)], order[np.searchsorted(rep[order], b)]
+    _, token = np.unique(grams.flatten().to_numpy(), return_inverse=True)
+    width = int(token.max()) + 1 if len(token) else 1
+    cells = np.sort(np.repeat(np.arange(len(rep)), size) * width + token)
+    start = np.cumsum(size) - size
+    small, other = np.where(size[a] <= size[b], a, b), np.where(size[a] <= size[b], b, a)
+    over, ends, at = np.zeros(len(a), dtype=np.int64), np.cumsum(size[small]), 0
+    while at < len(a):
+        to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 2_000_000, "right")), at + 1)
+        each = size[small[at:to]]
+        pair = np.repeat(np.arange(at, to), each)
+        place = start[small[pair]] + np.arange(len(pair)) - np.repeat(np.cumsum(each) - each, each)
+        wanted = cells[place] % width + other[pair] * width
+        found = np.searchsorted(cells, wanted)
+        over += np.bincount(pair[cells[np.minimum(found, len(cells) - 1)] == wanted], minlength=len(a))
+        at = to
+    return over, n[a], n[b]
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, by: str = "a") -> DataFrame:
+    """Of `pairs` (a, b), those whose sets are similar: the product of the incidence with itself at those places.
+
+    Pairs are dealt to blocks of about SIDE by the class in column `by`, which is cut where it has more partners; a
+    block gets each of its classes' n-grams once and adds up all overlaps.
+    """
+    other = "b" if by == "a" else "a"
+    degree = pairs.groupBy(by).agg(F.count("*").alias("degree"))
+    total = F.lit(max(1, -(-pairs.count() // SIDE)))
+    salt = F.pmod(F.xxhash64(other), F.ceil(F.col("degree") / SIDE))
+    dealt = scratch.put(pairs.join(degree, by).select("a", "b", F.xxhash64(F.pmod(F.xxhash64(by), total), salt).alias("block")))
+    ends = dealt.select(F.col("block").alias("lot"), F.explode(F.array("a", "b")).alias("rep")).distinct()
+    lists = ends.join(sets.select("rep", "n", "grams"), "rep")
+
+    def multiply(pairs: pa.Table, lists: pa.Table) -> pa.Table:
+        a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
+        if not len(a):
+            return pa.table({"a": a, "b": b})
+        over, n, m = _overlaps(lists, a, b)
+        link = 100 * over >= percent * (n + m - over)
+        return pa.table({"a": a[link], "b": b[link]})
+
+    return dealt.groupBy("block").cogroup(lists.groupBy("lot")).applyInArrow(multiply, "a long, b long")
 
 
 def _mixed(cells: DataFrame, found: DataFrame) -> DataFrame:
@@ -183,10 +230,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     Null and empty texts, and those of white space, have no n-grams and link with nothing. Rows of one id count as
     one document; a row without id links with nothing and has no component. Other columns are ignored.
 
-    Columns of the incidence (n-grams) with up to NARROW classes are multiplied outright. In a wider one, such as a
-    large group of near copies has, PIVOTS classes are compared with all others that are not yet in their component;
-    classes that stay outside the column's largest component are then multiplied with all of it, in blocks. Pairs
-    within that component need no comparison, so a group that its pivots join costs in proportion to its size.
+    Columns of the incidence (n-grams) with up to NARROW classes are multiplied outright: their pairs of like size open
+    a place in the product, where overlaps are added up in blocks. In wider ones, such as a large group of near copies
+    has, each class first meets one pivot a round; classes that stay outside the column's largest component are then
+    multiplied with all of it, in blocks. Pairs within that component need no comparison, so a group that its pivots
+    join costs in proportion to its size.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")
@@ -204,21 +252,26 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     left = narrow.select("gram", F.col("rep").alias("a"), "n")
     right = narrow.select("gram", F.col("rep").alias("b"), F.col("n").alias("m"))
     # NARROW bounds what a column makes of each of its classes.
-    pairs = left.join(right, "gram").where(near & (F.col("a") < F.col("b"))).select("a", "b").distinct()
-    links = scratch.put(_verified(pairs, sets, percent))
+    pairs = scratch.put(left.join(right, "gram").where(near & (F.col("a") < F.col("b"))).select("a", "b").distinct())
+    links = scratch.put(_verified(pairs, sets, percent, scratch))
 
-    wide = scratch.put(cells.where(F.col("width") > NARROW).select("gram", "rep", "n", "centre"))
+    wide = scratch.put(cells.where(F.col("width") > NARROW).select("gram", "rep", "n", "centre", "width"))
     found = scratch.put(components(links, scratch))
-    if not wide.isEmpty():
-        # The classes of the commonest n-grams, closest to what a group was copied from, are compared with all others.
-        salt = F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)).alias("salt")
-        pivots = _mixed(wide, found).groupBy("gram", salt).agg(F.max(F.struct("centre", "rep", "n", "c")).alias("p"))
+    for turn in range(ROUNDS):
+        # Each class meets the middle of one column that it shares with another component: the class whose n-grams are
+        # the commonest, which is closest to what a group was copied from. A round has as many rows as classes, at most.
+        mixed = scratch.put(_mixed(wide, found))
+        pivots = mixed.groupBy("gram").agg(F.max(F.struct("centre", "rep", "n", "c")).alias("p"))
         pivots = pivots.select("gram", F.col("p.rep").alias("b"), F.col("p.n").alias("m"), F.col("p.c").alias("cb"))
-        star = _mixed(wide, found).withColumnRenamed("rep", "a").join(pivots, "gram").where(near & (F.col("c") != F.col("cb")))
-        ordered = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).alias("p")
-        new = scratch.put(_verified(star.select(ordered).distinct().select("p.*"), sets, percent))
+        order = F.struct("width" if turn % 2 == 0 else -F.col("width"), F.xxhash64("gram", F.lit(turn)), "gram", "n", "c")
+        one = mixed.groupBy(F.col("rep").alias("a")).agg(F.min(order).alias("x")).select("a", "x.gram", "x.n", "x.c")
+        star = scratch.put(one.join(pivots, "gram").where(near & (F.col("c") != F.col("cb"))).select("a", "b").distinct())
+        new = scratch.put(_verified(star, sets, percent, scratch, "b"))
+        if new.isEmpty():
+            break
         found = _merged(found, new, scratch)
-        # What they left apart is multiplied with its whole columns, block by block.
+    if not wide.isEmpty():
+        # What the pivots left apart is multiplied with its whole columns, block by block.
         found = _merged(found, scratch.put(_products(scratch.put(_mixed(wide, found)), sets, percent)), scratch)
 
     member = known.join(classes, ["n", "s1", "s2"]).select("doc", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")

@@ -164,7 +164,7 @@ def plain_join(docs):
 @pytest.mark.parametrize("narrow", [32, 1])
 def test_ngram_join(spark, small_docs, monkeypatch, narrow):
     monkeypatch.setattr(ngram_join, "NARROW", narrow)
-    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_join, "SIDE", 8)
     random.seed(5)
     base = [f"w{random.randrange(10**6)}" for _ in range(120)]
     copies = [(10_000 + i, " ".join(w if random.random() > 0.004 * (i % 9) else "edit" for w in base)) for i in range(40)]
