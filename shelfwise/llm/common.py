@@ -60,6 +60,11 @@ class Scratch:
         _delete(self.spark, df._scratch_path)
 
 
+def few(frame: DataFrame, rows: int = 1 << 20) -> DataFrame:
+    """A written table of a few numbers a row: broadcast if it has at most `rows` rows, else joined as Spark sees fit."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import repeats
-from shelfwise.llm.common import Scratch, components, table
+from shelfwise.llm.common import Scratch, components, few, table
 from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, mix, pieces, prefix, span_hash, word_spans
 
 #: Words of an n-gram; similarity in hundredths.
@@ -241,8 +241,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     rows = incidence(docs, doc_id, text, scratch, percent)
     known = rows.where("grams IS NOT NULL AND doc IS NOT NULL")
     classes = scratch.put(known.groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep")))
-    sets = known.join(classes, ["n", "s1", "s2"]).where("doc = rep").select("rep", "n", "centre", "probe", "grams")
-    sets = scratch.put(sets.dropDuplicates(["rep", "n"]))
+    # Lists of n-grams stay where they are, as long as the ids that stand for classes are few enough to be sent to them.
+    reps = few(classes.select(F.col("rep").alias("doc"), "n", "s1", "s2"))
+    sets = scratch.put(known.join(reps, ["doc", "n", "s1", "s2"]).select(F.col("doc").alias("rep"), "n", "centre", "probe", "grams"))
+    if sets.count() > classes.count():  # rows of one id
+        sets = scratch.put(sets.dropDuplicates(["rep", "n"]))
     cells = sets.select(F.explode("probe").alias("gram"), "rep", "n", "centre")
     width = cells.groupBy("gram").agg(F.count("*").alias("width")).where("width > 1")
     cells = scratch.put(cells.join(width, "gram"))
