@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Scratch, lower_ascii, table
+from shelfwise.llm.common import Scratch, few, lower_ascii, table
 
 #: Words of a window, of a fingerprint's gram. A winnowing window has WINDOW - GRAM + 1 grams, so every shared span of
 #: WINDOW words holds a chosen one.
@@ -67,8 +67,9 @@ def find_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     hit = scratch.put(hit).select(F.col("doc").alias("d"), F.col("key").alias("k"), "fps")
 
     # Around each common fingerprint, every window of the document that holds it is compared word by word.
-    near = docs.select(F.col(doc_id).alias("doc"), key, F.col(text).alias("body")).dropDuplicates(["doc", "key"])
-    near = near.join(hit, F.expr("doc <=> d AND key = k")).withColumn("w", words(F.col("body"))).drop("body", "d", "k")
+    same = F.expr("doc <=> d AND key = k")
+    near = docs.select(F.col(doc_id).alias("doc"), key, F.col(text).alias("body")).join(few(hit.select("d", "k")), same, "left_semi")
+    near = near.dropDuplicates(["doc", "key"]).join(hit, same).withColumn("w", words(F.col("body"))).drop("body", "d", "k")
     near = near.withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("g", _grams("h", GRAM))
 
     def marked(grams: str, back: int, n: int) -> Column:
@@ -92,6 +93,7 @@ def find_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
 def with_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """`docs` (doc_id, text and others) with n_words, n_hit, n_items, items_sha256 and contaminated, one row a row."""
+    scratch = Scratch(docs.sparkSession, "hits")
     found = find_items(docs, items)
     covered = F.aggregate(
         "spans",
@@ -102,13 +104,17 @@ def with_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     )["n"]
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     found = found.select(F.col("doc").alias("__d"), F.col("key").alias("__k"), covered.alias("__hit"), F.size("items").alias("__n"), listed.alias("__l"))
+    found = scratch.put(found)
     n_words = F.size(words(F.col("text"))).cast("long")
     own = docs.drop("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     own = own.withColumn("__key", F.xxhash64(F.col("doc_id"), F.col("text")))
-    out = own.join(found, F.expr("doc_id <=> __d AND __key = __k"), "left")
+    # Texts stay where they are, as long as the ids of documents with hits are few enough to be sent to them.
+    same, ids = F.expr("doc_id <=> __d AND __key = __k"), few(found.select("__d", "__k"))
+    clean, hit = own.join(ids, same, "left_anti"), own.join(ids, same, "left_semi").join(found, same)
     none = F.lit(0).cast("long")
     return (
-        out.withColumn("n_words", n_words)
+        hit.unionByName(clean, allowMissingColumns=True)
+        .withColumn("n_words", n_words)
         .withColumn("n_hit", F.coalesce(F.col("__hit").cast("long"), none))
         .withColumn("n_items", F.coalesce(F.col("__n").cast("long"), none))
         .withColumn("items_sha256", F.sha2(F.coalesce("__l", F.lit("")), 256))
