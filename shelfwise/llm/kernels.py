@@ -63,6 +63,11 @@ def span_hash(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return mix((run[end] - run[start]) * powers(_INVERSE, len(run))[start])
 
 
+def every_hash(run: np.ndarray, n: int) -> np.ndarray:
+    """`span_hash` of all spans of n bytes, in order."""
+    return mix((run[n:] - run[:-n]) * powers(_INVERSE, len(run))[: len(run) - n])
+
+
 def chained(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n consecutive elements, in order."""
     out = np.zeros(max(len(h) - n + 1, 0), dtype=np.uint64)

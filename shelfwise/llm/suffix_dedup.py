@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import repeats
 from shelfwise.llm.common import Scratch, table
-from shelfwise.llm.kernels import pieces, prefix, span_hash
+from shelfwise.llm.kernels import every_hash, pieces, prefix, span_hash
 
 #: Bytes of a repeated string; of the gram that anchors its suffix.
 LENGTH, GRAM = 50, 20
@@ -20,8 +20,10 @@ LENGTH, GRAM = 50, 20
 SPREAD = LENGTH - GRAM + 1
 #: Logarithm (base 2) of the occurrences beyond which a gram is frequent.
 FREQUENT = 11
-#: Sampled leads for each range of suffixes, and the share of texts they come from.
-LEADS, SAMPLED = 100, 50
+#: One text in so many gives leads for the splitters.
+SAMPLED = 50
+#: Bytes of text that are hashed at once: few enough for what comes of them to stay in a core's cache.
+PIECE = 1 << 18
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -46,16 +48,15 @@ def anchored(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return none, none, none, none.astype(np.uint64)
     run = prefix(data)
     at = np.arange(n - GRAM + 1)
-    h = span_hash(run, at, at + GRAM)
+    h = every_hash(run, GRAM)
     low = (h & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
     width = 1
     while width * 2 <= SPREAD:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
     low = np.minimum(low[: len(low) - (SPREAD - width)], low[SPREAD - width :])
-    start = np.arange(len(low))
     ends = np.repeat(off[1:], np.diff(off))
-    start = start[start + LENGTH <= ends[: len(low)]]
+    start = np.flatnonzero(at[: len(low)] + LENGTH <= ends[: len(low)])
     anchor = (low[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     if not len(start):
         return none, none, none, none.astype(np.uint64)
@@ -65,7 +66,7 @@ def anchored(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _hashes(texts: pa.ChunkedArray) -> Iterator[np.ndarray]:
-    for _, _, data, off in pieces(texts):
+    for _, _, data, off in pieces(texts, PIECE):
         yield anchored(data, off)[3]
 
 
@@ -79,7 +80,7 @@ class Units:
         again, often = level > 0, level > frequent
         doc = group.column("doc").to_numpy().astype(np.int64)
         self.data, lo, hi, anchor, row, base = [], [], [], [], [], 0
-        for a, b, data, off in pieces(texts):
+        for a, b, data, off in pieces(texts, PIECE):
             first, last, at, h = anchored(data, off)
             k = np.searchsorted(u, h)
             # Strings of a frequent anchor go one by one, led by their own bytes: those alike are one in each block.
@@ -251,8 +252,7 @@ def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequen
         got = known.filter(pa.array(is_mask))
         got = sorted(zip(got.column("n").to_pylist(), got.column("data").to_pylist(), strict=True))
         mask = np.frombuffer(b"".join(zstandard.decompress(d) for _, d in got), np.uint32)
-        total = len(units.data)
-        edge = np.zeros(total + 1, dtype=np.int32)
+        starting = np.zeros(len(units.data), dtype=bool)
         if len(units.unit):
             size = units.hi - units.lo + 1
             first = units.doc[units.head][units.unit]
@@ -260,10 +260,11 @@ def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequen
             full = ((np.uint64(1) << size.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
             starts = np.where(units.doc > first, full, mask[units.unit])
             for k in range(SPREAD):
-                at = units.lo[(starts >> np.uint32(k)) & np.uint32(1) == 1] + k
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + LENGTH, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+                starting[units.lo[(starts >> np.uint32(k)) & np.uint32(1) == 1] + k] = True
+        # A byte goes if a string that goes starts there or up to LENGTH - 1 bytes before; none leaves its document.
+        begun = np.cumsum(starting, dtype=np.int32)
+        gone = begun > 0
+        gone[LENGTH:] = begun[LENGTH:] > begun[:-LENGTH]
         size = np.concatenate([np.diff(off) for *_, off in pieces(group.column("text"))])
         off = np.concatenate([[0], np.cumsum(size)])
         run = np.concatenate([[0], np.cumsum(gone)])
@@ -292,21 +293,23 @@ def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequen
 
 
 def _splitters(docs: DataFrame, ranges: int) -> np.ndarray:
-    """Leads that cut the suffixes of a sample of texts into ranges of equal size."""
+    """Leads that cut the suffixes of a sample of texts into ranges of about equal size: quantiles of a sketch that tasks
+    merge, so that the driver gets one number a range."""
+    if ranges < 2:
+        return np.zeros(0, np.uint64)
+    top = np.uint64(1 << 63)  # signed numbers in the order of unsigned ones
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, off in pieces(batch.column(0)):
+            for _, _, data, off in pieces(batch.column(0), PIECE):
                 at = anchored(data, off)[2]
-                lead = _lead(data, at)[:: max(1, SAMPLED // 2)]
+                lead = _lead(data, at)[:: max(1, SAMPLED // 2)] ^ top
                 yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64))], names=["lead"])
 
     picked = docs.where((F.octet_length("text") >= LENGTH) & (F.pmod(F.xxhash64("doc", "text"), F.lit(SAMPLED)) == 0)).select("text")
-    leads = picked.mapInArrow(sample, "lead long").orderBy(F.xxhash64("lead")).limit(LEADS * ranges).toPandas()["lead"].to_numpy().astype(np.int64)
-    leads = np.sort(leads.view(np.uint64))
-    if not len(leads) or ranges < 2:
-        return np.zeros(0, np.uint64)
-    return np.unique(leads[(np.arange(1, ranges) * len(leads)) // ranges])
+    places = [k / ranges for k in range(1, ranges)]
+    leads = picked.mapInArrow(sample, "lead long").agg(F.percentile_approx("lead", places, max(10_000, 20 * ranges))).first()[0]
+    return np.unique(np.array(leads or [], dtype=np.int64).view(np.uint64) ^ top)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
