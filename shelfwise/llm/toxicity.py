@@ -24,6 +24,8 @@ MARKS = (1.5, 4.0, 8.0)
 #: Rows that the last step, a few weights, is fitted on at most.
 FIT_ROWS = 6_000
 THRESHOLD = 0.7
+#: Bits of a pair of bytes, ends of words included.
+PAIR_BITS = 18
 _END = np.uint64(0xA0761D6478BD642F)
 
 
@@ -63,12 +65,20 @@ class Counts:
     """By slot: steps of either class and fold, the slot of what they look back on, and the last two bytes."""
 
     words: np.ndarray
-    parent: np.ndarray
-    bytes: np.ndarray
+    #: Slot looked back on and bytes, in one number. Of steps that share a slot the largest counts, whatever their order.
+    link: np.ndarray
 
     @classmethod
     def none(cls, slots: int = SLOTS) -> Counts:
-        return cls(np.zeros((4, slots), np.int64), np.full(slots, -1, np.int32), np.zeros(slots, np.int32))
+        return cls(np.zeros((4, slots), np.int64), np.full(slots, -1, np.int64))
+
+    @property
+    def parent(self) -> np.ndarray:
+        return (self.link >> PAIR_BITS).astype(np.int32)
+
+    @property
+    def bytes(self) -> np.ndarray:
+        return (self.link & ((1 << PAIR_BITS) - 1)).astype(np.int32)
 
     def add(self, texts: pa.Array, group: np.ndarray) -> None:
         """group: 2 x fold + class of each text."""
@@ -80,13 +90,12 @@ class Counts:
             for at, slot, before, last in _beginnings(run, start, end):
                 for g in range(4):
                     self.words[g] += np.bincount(slot[own[at] == g], minlength=SLOTS)
-                self.parent[slot] = before
                 ends = last < 0
                 pair = np.where(ends, code[end[at] - 1].astype(np.int32) * 512 + 256, 0)
                 k = last[~ends]
                 first = k == start[at[~ends]]
                 pair[~ends] = np.where(first, 256, code[np.maximum(k - 1, 0)]).astype(np.int32) * 512 + code[k]
-                self.bytes[slot] = pair
+                np.maximum.at(self.link, slot, before << PAIR_BITS | pair)
 
     def pack(self, part: int) -> bytes:
         cut = slice(part * SLOTS // PARTS, (part + 1) * SLOTS // PARTS)
@@ -94,11 +103,15 @@ class Counts:
         raw = np.diff(used, prepend=np.int32(0)).tobytes() + self.words[:, cut][:, used].astype(np.int32).tobytes() + self.parent[cut][used].tobytes() + self.bytes[cut][used].tobytes()
         return zstandard.compress(raw, 3)
 
+    @staticmethod
+    def joined(parent: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        return np.where(parent < 0, -1, parent.astype(np.int64) << PAIR_BITS | pair)
+
     def merge(self, data: bytes, at: int = 0) -> None:
         raw = np.frombuffer(zstandard.decompress(data), np.int32).reshape(7, -1)
         slot = np.cumsum(raw[0]) + at
         self.words[:, slot] += raw[1:5]
-        self.parent[slot], self.bytes[slot] = raw[5], raw[6]
+        self.link[slot] = np.maximum(self.link[slot], self.joined(raw[5], raw[6]))
 
 
 @dataclass
@@ -176,7 +189,10 @@ class Scorer:
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         # Even odds, as the rows were fitted, come out as the threshold.
-        z = np.log(THRESHOLD / (1 - THRESHOLD)) + np.clip(((x - self.mean) / self.scale) @ self.weight[1:] + self.weight[0], -30, 30)
+        z = np.full(len(x), self.weight[0])
+        for column, weight in zip(((x - self.mean) / self.scale).T, self.weight[1:], strict=True):
+            z += column * weight  # one after another: a product of matrices rounds by the number of rows
+        z = np.log(THRESHOLD / (1 - THRESHOLD)) + np.clip(z, -30, 30)
         return 1 / (1 + np.exp(-z))
 
 
@@ -225,7 +241,7 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
     for part, data in sums:
         at = slice(part * SLOTS // PARTS, (part + 1) * SLOTS // PARTS)
         raw = np.frombuffer(zstandard.decompress(data), np.int32).reshape(6, -1)
-        counts.words[:, at], counts.parent[at], counts.bytes[at] = raw[:4], raw[4], raw[5]
+        counts.words[:, at], counts.link[at] = raw[:4], Counts.joined(raw[4], raw[5])
     model = Model.of(counts, (0, 1))
     other = spark.sparkContext.broadcast([Model.of(counts, (1,)), Model.of(counts, (0,))])
     n = rows.count()

@@ -390,6 +390,16 @@ def test_toxicity(spark, odd):
     assert {r.predicted for r in toxicity.score(odd, toxicity.fit(small.limit(0))).collect()} == {0}
 
 
+def test_toxicity_does_not_depend_on_partitions(spark):
+    """Slots that several steps share included: with few of them, nearly all are."""
+    rows = table(spark, SMALL, "documents").join(table(spark, SMALL, "labels"), "doc_id").select("doc_id", "text", "toxic")
+    scores = []
+    for n in (3, 13):
+        frame = rows.repartition(n)
+        scores.append({r.doc_id: r.score for r in toxicity.score(frame, toxicity.fit(frame)).collect()})
+    assert len(scores[0]) > 50 and scores[0] == scores[1]
+
+
 def test_toxicity_reads_words_to_their_end(spark):
     """Classes that differ only after the tenth byte of a word, and texts of a script without spaces."""
     tails = (("grund", "boden", "stein"), ("feind", "hasser", "luder"))
