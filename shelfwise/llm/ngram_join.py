@@ -26,7 +26,7 @@ def ngram_sets(texts: pa.Array | pa.ChunkedArray, n: int = WORDS) -> Iterator[tu
 
     A text of fewer words is one n-gram of all of them; without words it has none.
     """
-    for a, b, data, off in pieces(texts, 1 << 21, 30_000):
+    for a, b, data, off in pieces(texts, 1 << 19, 30_000):
         code = FOLD[data]
         start, end, row = word_spans(code, off, NOT_SPACE)
         h = span_hash(prefix(code), start, end)
