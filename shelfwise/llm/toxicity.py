@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from shelfwise.llm.common import table
+from shelfwise.llm.common import Scratch, few, table
 from shelfwise.llm.kernels import ALNUM, FOLD, mix, pieces, prefix, span_hash, word_spans
 
-#: Slots that beginnings of words hash into, and parts that they are summed in: the size of the model, whatever the input.
-SLOT_BITS, PARTS = 21, 32
-SLOTS = 1 << SLOT_BITS
 #: Bytes of a word that a step looks back on.
 DEPTH = 10
 #: Words that stand out: log-likelihood ratios beyond these.
@@ -24,160 +23,240 @@ MARKS = (1.5, 4.0, 8.0)
 #: Rows that the last step, a few weights, is fitted on at most.
 FIT_ROWS = 6_000
 THRESHOLD = 0.7
-#: Bits of a pair of bytes, ends of words included.
-PAIR_BITS = 18
+#: Bytes of text that share a dictionary; log-likelihood ratios are summed as whole numbers of 1 / UNIT.
+PIECE, UNIT = 1 << 22, 1 << 20
+#: Discount of the lower order; weight of byte pairs never seen.
+LOW_DISCOUNT, RARE = 0.75, 0.1
+#: Stands for a byte beyond either end of a word.
+EDGE = 256
+#: Models by the folds they count: both, and each alone.
+MODELS = {"r": (0, 1), "r0": (0,), "r1": (1,)}
 _END = np.uint64(0xA0761D6478BD642F)
+_ROOT = 0
+
+
+def _dictionaries(texts: pa.Array) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
+    """(first row, end row, distinct words, row and word of each that occurs in a row, once, in order)."""
+    for a, b, data, off in pieces(texts, PIECE):
+        code = FOLD[data]
+        start, end, row = word_spans(code, off, ALNUM)
+        _, first, back = np.unique(span_hash(prefix(code), start, end), return_index=True, return_inverse=True)
+        size = end[first] - start[first]
+        stop = np.cumsum(size)
+        flat = code[np.repeat(start[first] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+        offsets = np.concatenate([[0], stop]).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+        # A text's words count once each, so that one repeated a thousand times is no thousand witnesses.
+        cell = np.unique(row * max(len(first), 1) + back)
+        yield a, b, words, cell // max(len(first), 1), cell % max(len(first), 1)
 
 
 def _beginnings(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(words concerned, slot of the step, slot of what it looks back on, place of its byte or -1 for an end).
+    """(words concerned, step, what it looks back on, place of its byte or -1 for an end); the first looks back on _ROOT.
 
     Up to DEPTH bytes a step is told apart by all of the word before it, further on by the last DEPTH bytes. The bytes
     beyond DEPTH of all words come together, so there a word may occur several times, and so do the ends of longer words.
     """
-    shift = np.uint64(64 - SLOT_BITS)
     size = end - start
-    before = np.zeros(len(start), dtype=np.int64)
+    before = np.full(len(start), _ROOT, dtype=np.uint64)
     for k in range(1, DEPTH + 1):
         longer = np.flatnonzero(size >= k)
         stop = np.flatnonzero(size == k - 1)
-        own = (span_hash(run, start[longer], start[longer] + k) >> shift).astype(np.int64)
+        own = span_hash(run, start[longer], start[longer] + k)
         if len(stop):
-            whole = mix(span_hash(run, start[stop], end[stop]) ^ _END)
-            yield stop, (whole >> shift).astype(np.int64), before[stop], np.full(len(stop), -1)
+            yield stop, mix(span_hash(run, start[stop], end[stop]) ^ _END), before[stop], np.full(len(stop), -1)
         if len(longer):
             yield longer, own, before[longer], start[longer] + k - 1
         before[longer] = own
     long = np.flatnonzero(size >= DEPTH)
     if len(long):
         back = span_hash(run, end[long] - DEPTH, end[long])
-        yield long, (mix(back ^ _END) >> shift).astype(np.int64), (back >> shift).astype(np.int64), np.full(len(long), -1)
+        yield long, mix(back ^ _END), back, np.full(len(long), -1)
         more = size[long] - DEPTH
         at = np.repeat(long, more)
         place = start[at] + DEPTH + np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more)
         if len(at):
-            own, back = span_hash(run, place - DEPTH, place + 1), span_hash(run, place - DEPTH, place)
-            yield at, (own >> shift).astype(np.int64), (back >> shift).astype(np.int64), place
+            yield at, span_hash(run, place - DEPTH, place + 1), span_hash(run, place - DEPTH, place), place
 
 
-@dataclass
-class Counts:
-    """By slot: steps of either class and fold, the slot of what they look back on, and the last two bytes."""
+def _steps(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word, step, what it looks back on, its byte after the two before) of all steps of some words."""
+    off = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    code = np.frombuffer(words.buffers()[2], np.uint8)[off[0] : off[-1]]
+    start, end = off[:-1] - off[0], off[1:] - off[0]
+    out = [[np.zeros(0, np.int64)] * 4]
+    for at, own, back, last in _beginnings(prefix(code), start, end):
+        place = np.where(last < 0, end[at], last)
+        tail = np.where(last < 0, EDGE, code[np.maximum(last, 0)])
+        for k in (1, 2):
+            tail = tail + (np.where(place - k >= start[at], code[np.maximum(place - k, 0)], EDGE).astype(np.int64) << 9 * k)
+        out.append([at, own.view(np.int64), back.view(np.int64), tail])
+    return tuple(np.concatenate(column) for column in zip(*out, strict=True))
 
-    words: np.ndarray
-    #: Slot looked back on and bytes, in one number. Of steps that share a slot the largest counts, whatever their order.
-    link: np.ndarray
 
-    @classmethod
-    def none(cls, slots: int = SLOTS) -> Counts:
-        return cls(np.zeros((4, slots), np.int64), np.full(slots, -1, np.int64))
-
-    @property
-    def parent(self) -> np.ndarray:
-        return (self.link >> PAIR_BITS).astype(np.int32)
-
-    @property
-    def bytes(self) -> np.ndarray:
-        return (self.link & ((1 << PAIR_BITS) - 1)).astype(np.int32)
-
-    def add(self, texts: pa.Array, group: np.ndarray) -> None:
-        """group: 2 x fold + class of each text."""
-        for a, b, data, off in pieces(texts):
-            code = FOLD[data]
-            start, end, row = word_spans(code, off, ALNUM)
-            run = prefix(code)
-            own = group[a:b][row]
-            for at, slot, before, last in _beginnings(run, start, end):
-                for g in range(4):
-                    self.words[g] += np.bincount(slot[own[at] == g], minlength=SLOTS)
-                ends = last < 0
-                pair = np.where(ends, code[end[at] - 1].astype(np.int32) * 512 + 256, 0)
-                k = last[~ends]
-                first = k == start[at[~ends]]
-                pair[~ends] = np.where(first, 256, code[np.maximum(k - 1, 0)]).astype(np.int32) * 512 + code[k]
-                np.maximum.at(self.link, slot, before << PAIR_BITS | pair)
-
-    def pack(self, part: int) -> bytes:
-        cut = slice(part * SLOTS // PARTS, (part + 1) * SLOTS // PARTS)
-        used = np.flatnonzero(self.words[:, cut].any(axis=0)).astype(np.int32)
-        raw = np.diff(used, prepend=np.int32(0)).tobytes() + self.words[:, cut][:, used].astype(np.int32).tobytes() + self.parent[cut][used].tobytes() + self.bytes[cut][used].tobytes()
-        return zstandard.compress(raw, 3)
-
-    @staticmethod
-    def joined(parent: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        return np.where(parent < 0, -1, parent.astype(np.int64) << PAIR_BITS | pair)
-
-    def merge(self, data: bytes, at: int = 0) -> None:
-        raw = np.frombuffer(zstandard.decompress(data), np.int32).reshape(7, -1)
-        slot = np.cumsum(raw[0]) + at
-        self.words[:, slot] += raw[1:5]
-        self.link[slot] = np.maximum(self.link[slot], self.joined(raw[5], raw[6]))
+def _counted(rows: DataFrame) -> DataFrame:
+    """(word, c0 .. c3): texts that hold a word, by 2 x fold + class; `rows` has text, label, fold."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = 2 * batch.column(2).to_numpy() + batch.column(1).to_numpy()
+            for a, b, words, row, word in _dictionaries(batch.column(0)):
+                n = np.bincount(word * 4 + group[a:b][row], minlength=4 * len(words)).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([words, *(pa.array(c) for c in n.T.copy())], names=["word", "c0", "c1", "c2", "c3"])
+
+    counted = rows.select("text", "label", "fold").mapInArrow(count, "word binary, c0 long, c1 long, c2 long, c3 long")
+    return counted.groupBy("word").agg(*(F.sum(f"c{g}").alias(f"c{g}") for g in range(4)))
+
+
+def _step_counts(counted: DataFrame) -> DataFrame:
+    """(h, back, tail, c0 .. c3): the counts of words summed by step."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, own, back, tail = _steps(batch.column(0))
+            _, first, same = np.unique(own, return_index=True, return_inverse=True)
+            n = []
+            for g in range(4):
+                total = np.zeros(len(first), np.int64)
+                np.add.at(total, same, batch.column(1 + g).to_numpy()[at])
+                n.append(pa.array(total))
+            yield pa.RecordBatch.from_arrays([pa.array(own[first]), pa.array(back[first]), pa.array(tail[first]), *n], names=["h", "back", "tail", "c0", "c1", "c2", "c3"])
+
+    some = counted.mapInArrow(spread, "h long, back long, tail long, c0 long, c1 long, c2 long, c3 long")
+    return some.groupBy("h").agg(F.max("back").alias("back"), F.max("tail").alias("tail"), *(F.sum(f"c{g}").alias(f"c{g}") for g in range(4)))
+
+
+def _lower(steps: DataFrame) -> DataFrame:
+    """(tail, low): the lower order, shared by both classes. A byte after the two before it, interpolated with the
+    byte after one; both count in how many different steps it stands, not how often."""
+    kinds = steps.groupBy("tail").agg(F.count("*").alias("n"))
+    two, one, own = F.shiftright("tail", 9), F.shiftright("tail", 9).bitwiseAND(511), F.col("tail").bitwiseAND(511)
+    kinds = kinds.select("tail", "n", two.alias("two"), one.alias("one"), own.alias("own"))
+    total = lambda value, *by: value.over(Window.partitionBy(*by))
+    pair = (total(F.sum("n"), "one", "own") + RARE) / (total(F.sum("n"), "one") + RARE * (EDGE + 1))
+    held = total(F.sum("n"), "two")
+    low = (F.col("n") - LOW_DISCOUNT) / held + LOW_DISCOUNT * total(F.count("*"), "two") / held * pair
+    return kinds.select("tail", low.alias("low"))
 
 
 @dataclass
 class Model:
-    """Log-likelihood ratio of toxic to ordinary of a step to a slot, and of a step from it to one never seen."""
+    """Log-likelihood ratios of toxic to ordinary, in 1 / UNIT: of steps (h, r, r0, r1), and, by what a step looks back
+    on, of one never seen (back, r, r0, r1). Tables in shared storage, as long as what was counted."""
 
-    seen: np.ndarray
-    unseen: np.ndarray
+    steps: DataFrame
+    unseen: DataFrame
 
     @classmethod
-    def of(cls, counts: Counts, folds: tuple[int, ...]) -> Model:
-        """Interpolated Kneser-Ney. The lower order, the last byte after the one before, is shared by both classes:
-        it counts in how many different beginnings that pair stands, not how often."""
-        toxic = sum(counts.words[2 * f + 1] for f in folds)
-        plain = sum(counts.words[2 * f] for f in folds)
-        used = np.flatnonzero(toxic + plain)
-        pair, parent = counts.bytes[used], counts.parent[used]
-        types = np.bincount(pair, minlength=257 * 512).reshape(257, 512)
-        low = ((types + 0.1) / (types + 0.1).sum(axis=1, keepdims=True)).ravel()[pair]
-        first = (pair >> 9) == 256
-        logs, backs = [], []
-        for c in (toxic, plain):
-            one, two = (c == 1).sum(), (c == 2).sum()
-            discount = one / (one + 2 * two) if one else 0.5
-            n = c[used].astype(float)
-            # A slot without shorter one begins a word: its context is all words.
-            onward = np.bincount(parent[~first], weights=n[~first], minlength=SLOTS)
-            total = np.where(first, max(c[used[first]].sum(), 1), onward[parent])
-            kinds = np.bincount(parent[(n > 0) & ~first], minlength=SLOTS)
-            kind = np.where(first, max((n[first] > 0).sum(), 1), kinds[parent])
-            known = total > 0
-            back = np.where(known, discount * kind / np.maximum(total, 1), 1.0)
-            back = np.clip(back, 1e-6, 1.0)
-            logs.append(np.log(np.where(known, np.maximum(n - discount, 0) / np.maximum(total, 1), 0) + back * low))
-            of = np.ones(SLOTS)
-            deep = np.flatnonzero(onward > 0)
-            of[deep] = np.clip(discount * kinds[deep] / onward[deep], 1e-6, 1.0)
-            backs.append(np.log(of))
-        seen = np.full(SLOTS, np.nan, dtype=np.float32)
-        seen[used] = logs[0] - logs[1]
-        return cls(seen, (backs[0] - backs[1]).astype(np.float32))
-
-    def features(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(first row, end row, features): what the weights apply to, from the distinct words of whole texts."""
-        for a, b, data, off in pieces(texts):
-            code = FOLD[data]
-            start, end, row = word_spans(code, off, ALNUM)
-            run = prefix(code)
-            _, first, back = np.unique(span_hash(run, start, end), return_index=True, return_inverse=True)
-            # A text's words count once each, so that one repeated a thousand times is no thousand witnesses.
-            cell = np.unique(row * len(first) + back)
-            row, back = cell // max(len(first), 1), cell % max(len(first), 1)
-            ratio = np.zeros(len(first))
-            for at, slot, before, last in _beginnings(run, start[first], end[first]):
-                step = self.seen[slot]
-                begins = last == start[first][at]
-                away = np.where(begins, 0, self.unseen[before])
-                ratio += np.bincount(at, weights=np.where(np.isnan(step), away, step), minlength=len(first))
-            word = ratio[back]
-            n = np.bincount(row, minlength=b - a)
-            total = np.bincount(row, weights=word, minlength=b - a)
-            out = [np.clip(total / np.maximum(n, 1), -2, 2), np.log1p(n)]
-            for mark in MARKS:
-                k = np.bincount(row[word > mark], minlength=b - a)
-                out += [np.log((k + 0.05) / (n + 10)), np.log1p(k)]
-            yield a, b, np.stack(out, axis=1)
+    def of(cls, steps: DataFrame, scratch: Scratch) -> Model:
+        """Interpolated Kneser-Ney; both classes share the lower order."""
+        n = {(m, c): sum((F.col(f"c{2 * f + c}") for f in folds), F.lit(0)) for m, folds in MODELS.items() for c in (0, 1)}
+        rare = steps.agg(*(F.count(F.when(n[key] == k, 1)).alias(f"{key[0]}{key[1]}_{k}") for key in n for k in (1, 2))).first()
+        discount = {}
+        for m, c in n:
+            one, two = rare[f"{m}{c}_1"], rare[f"{m}{c}_2"]
+            discount[m, c] = one / (one + 2 * two) if one else 0.5
+        sums = [F.sum(n[m, c]).alias(f"{m}{c}_all") for m, c in n]
+        kinds = [F.count(F.when(n[m, c] > 0, 1)).alias(f"{m}{c}_kinds") for m, c in n]
+        context = scratch.put(steps.groupBy("back").agg(*sums, *kinds))
+
+        def backs(m: str, c: int) -> Column:
+            weight = discount[m, c] * F.col(f"{m}{c}_kinds") / F.col(f"{m}{c}_all")
+            return F.when(F.col(f"{m}{c}_all") > 0, F.greatest(F.least(weight, F.lit(1.0)), F.lit(1e-6))).otherwise(1.0)
+
+        def likely(m: str, c: int) -> Column:
+            own = F.when(F.col(f"{m}{c}_all") > 0, F.greatest(n[m, c] - discount[m, c], F.lit(0.0)) / F.col(f"{m}{c}_all")).otherwise(0.0)
+            return own + backs(m, c) * F.col("low")
+
+        def ratio(p, m: str) -> Column:
+            return F.round((F.log(p(m, 1)) - F.log(p(m, 0))) * UNIT).cast("long").alias(m)
+
+        low = few(scratch.put(_lower(steps)))
+        seen = steps.join(context, "back").join(low, "tail").select("h", *(ratio(likely, m) for m in MODELS))
+        return cls(scratch.put(seen), scratch.put(context.select("back", *(ratio(backs, m) for m in MODELS))))
+
+    def ratios(self, words: DataFrame, names: list[str], scratch: Scratch) -> DataFrame:
+        """(w, *names): the sum over a word's steps. `words` (w, word) are distinct; w, a hash, tells them apart."""
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at, own, back, _ = _steps(batch.column(1))
+                yield pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_numpy()[at]), pa.array(own), pa.array(back)], names=["w", "h", "back"])
+
+        steps = words.select("w", "word").mapInArrow(spread, "w long, h long, back long").join(self.steps.select("h", *names), "h", "left")
+        sums = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in names]
+        # Of a word that was counted every step is known; of others those beyond their first new one have no context.
+        known = scratch.put(steps.groupBy("w").agg(*sums, F.collect_list(F.when(F.col(names[0]).isNull(), F.col("back"))).alias("open")))
+        new = known.select("w", F.explode("open").alias("back")).join(self.unseen.select("back", *names), "back").select("w", *names)
+        return known.select("w", *names).unionByName(new).groupBy("w").agg(*sums)
+
+    def apply(self, docs: DataFrame, text: str, names: list[str], finish: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str, scratch: Scratch) -> DataFrame:
+        """The columns of `docs` but the text, and those that `finish` makes of the features by each of `names`.
+
+        Documents are cut into pieces with a dictionary each. Distinct words of all dictionaries get their ratios once,
+        and each piece gets those of its own words. No text is shuffled, only which words of its dictionary it has.
+        """
+        fields = [f for f in docs.schema.fields if f.name != text]
+        rest = [f"c{i}" for i in range(len(fields))]
+
+        def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            piece = TaskContext.get().partitionId() << 32
+            for batch in batches:
+                for a, b, words, row, word in _dictionaries(batch.column(0)):
+                    gap = np.diff(word, prepend=0)
+                    starts = np.flatnonzero(np.diff(row, prepend=-1))
+                    gap[starts] = word[starts]
+                    n = np.bincount(row, minlength=b - a).astype(np.int32)
+                    held = zstandard.compress(n.tobytes() + gap.astype(_width(len(words))).tobytes(), 3)
+                    own, sink = batch.slice(a, b - a).select(rest), pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, own.schema) as out:
+                        out.write_batch(own)
+                    listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+                    row_of = [pa.array([piece]), pa.array([b - a]), pa.array([held]), pa.array([zstandard.compress(sink.getvalue().to_pybytes(), 3)]), listed]
+                    yield pa.RecordBatch.from_arrays(row_of, names=["piece", "size", "held", "rest", "words"])
+                    piece += 1
+
+        given = docs.select(F.col(f"`{text}`").alias("text"), *(F.col(f"`{f.name}`").alias(c) for f, c in zip(fields, rest, strict=True)))
+        indexed = scratch.put(given.mapInArrow(index, "piece long, size long, held binary, rest binary, words array<binary>"))
+        listed = indexed.select("piece", F.posexplode("words").alias("place", "word")).withColumn("w", F.xxhash64("word"))
+        ratios = scratch.put(self.ratios(listed.select("w", "word").distinct(), names, scratch))
+        valued = listed.select(F.col("piece").alias("of"), "place", "w").join(ratios, "w").select("of", "place", *names)
+
+        def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
+            size, raw = left.column("size")[0].as_py(), zstandard.decompress(left.column("held")[0].as_py())
+            n = np.frombuffer(raw, np.int32, size).astype(np.int64)
+            gap = np.frombuffer(raw, _width(right.num_rows), offset=4 * size).astype(np.int64)
+            row, word = np.repeat(np.arange(size), n), np.cumsum(gap)
+            first = (np.cumsum(n) - n)[n > 0]
+            word -= np.repeat(word[first] - gap[first], n[n > 0])
+            place, x = right.column("place").to_numpy(), []
+            for m in names:
+                ratio = np.zeros(right.num_rows, np.int64)
+                ratio[place] = right.column(m).to_numpy()
+                x += _features(n, row, ratio[word])
+            own = pa.ipc.open_stream(zstandard.decompress(left.column("rest")[0].as_py())).read_all()
+            for name, values in finish(np.stack(x, axis=1)).items():
+                own = own.append_column(name, pa.array(values))
+            return own
+
+        sides = indexed.select("piece", "size", "held", "rest").groupBy("piece").cogroup(valued.groupBy("of"))
+        ddl = ", ".join([*(f"{c} {f.dataType.simpleString()}" for f, c in zip(fields, rest, strict=True)), schema])
+        out = sides.applyInArrow(put_together, ddl)
+        return out.select(*(F.col(c).alias(f.name) for f, c in zip(fields, rest, strict=True)), *out.columns[len(rest):])
+
+
+def _width(words: int) -> type:
+    return np.uint16 if words < 1 << 16 else np.int32
+
+
+def _features(n: np.ndarray, row: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
+    """What the weights apply to, from the number of a text's distinct words and their ratios."""
+    total = np.bincount(row, weights=word, minlength=len(n)) / UNIT
+    out = [np.clip(total / np.maximum(n, 1), -2, 2), np.log1p(n)]
+    for mark in MARKS:
+        k = np.bincount(row[word > mark * UNIT], minlength=len(n))
+        out += [np.log((k + 0.05) / (n + 10)), np.log1p(k)]
+    return out
 
 
 @dataclass
@@ -188,12 +267,16 @@ class Scorer:
     weight: np.ndarray
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        # Even odds, as the rows were fitted, come out as the threshold.
-        z = np.full(len(x), self.weight[0])
-        for column, weight in zip(((x - self.mean) / self.scale).T, self.weight[1:], strict=True):
-            z += column * weight  # one after another: a product of matrices rounds by the number of rows
-        z = np.log(THRESHOLD / (1 - THRESHOLD)) + np.clip(z, -30, 30)
-        return 1 / (1 + np.exp(-z))
+        return _weighted(x, self.mean, self.scale, self.weight)
+
+
+def _weighted(x: np.ndarray, mean: np.ndarray, scale: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    # Even odds, as the rows were fitted, come out as the threshold.
+    z = np.full(len(x), weight[0])
+    for column, own in zip(((x - mean) / scale).T, weight[1:], strict=True):
+        z += column * own  # one after another: a product of matrices rounds by the number of rows
+    z = np.log(THRESHOLD / (1 - THRESHOLD)) + np.clip(z, -30, 30)
+    return 1 / (1 + np.exp(-z))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -213,52 +296,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Scorer:
     """From rows with text and label 0 or 1; others are left out.
 
-    All words of all rows are counted, in two folds. Each task sends its counts by part of the slots, and the driver
-    gets the sums: SLOTS numbers of each kind. A few weights turn a text's mean log-likelihood ratio and its outstanding
-    words into a score; they are fitted on up to about FIT_ROWS rows, each scored by the other fold's models.
+    All words of all rows are counted, in two folds, and their steps in turn; the counts are tables in shared storage that
+    grow with the input, and the driver gets none of them. A few weights turn a text's mean log-likelihood ratio and its
+    outstanding words into a score; they are fitted on up to about FIT_ROWS rows, each scored by the other fold's model.
     """
-    spark = labelled.sparkSession
+    scratch = Scratch(labelled.sparkSession, "toxicity")
     rows = labelled.where(F.col(text).isNotNull() & F.col(label).isin(0, 1))
     fold = F.pmod(F.xxhash64(F.col(doc_id), F.lit("fold")), F.lit(2)).cast("int").alias("fold")
     rows = rows.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), fold, F.xxhash64(F.col(doc_id), F.col(text)).alias("key"))
+    words = scratch.put(_counted(rows))
+    model = Model.of(scratch.put(_step_counts(words)), scratch)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Counts.none()
-        for batch in batches:
-            own.add(batch.column(0), 2 * batch.column(2).to_numpy() + batch.column(1).to_numpy())
-        data = [own.pack(p) for p in range(PARTS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(data, pa.binary())], names=["part", "data"])
-
-    def add(group: pa.Table) -> pa.Table:
-        total = Counts.none(SLOTS // PARTS)
-        for data in group.column("data"):
-            total.merge(data.as_py())
-        raw = np.concatenate([total.words.astype(np.int32), total.parent[None], total.bytes[None]])
-        return pa.table({"part": group.column("part")[:1], "data": pa.array([zstandard.compress(raw.tobytes(), 3)], pa.binary())})
-
-    sums = rows.mapInArrow(count, "part int, data binary").groupBy("part").applyInArrow(add, "part int, data binary").collect()
-    counts = Counts.none()
-    for part, data in sums:
-        at = slice(part * SLOTS // PARTS, (part + 1) * SLOTS // PARTS)
-        raw = np.frombuffer(zstandard.decompress(data), np.int32).reshape(6, -1)
-        counts.words[:, at], counts.link[at] = raw[:4], Counts.joined(raw[4], raw[5])
-    model = Model.of(counts, (0, 1))
-    other = spark.sparkContext.broadcast([Model.of(counts, (1,)), Model.of(counts, (0,))])
-    n = rows.count()
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for f in range(2):
-                some = batch.filter(pa.array(batch.column(2).to_numpy() == f))
-                for a, b, x in other.value[f].features(some.column(0)):
-                    yield pa.RecordBatch.from_arrays([some.column(1).slice(a, b - a), pa.array([v.tobytes() for v in x], pa.binary())], names=["label", "x"])
-
-    rate = min(1.0, FIT_ROWS / max(n, 1))
-    picked = rows.where(F.xxhash64("key") / F.lit(2.0**64) + 0.5 < rate)
-    got = sorted((r["label"], bytes(r["x"])) for r in picked.mapInArrow(look, "label int, x binary").collect())
-    other.unpersist()
     size = 2 + 2 * len(MARKS)
-    x = np.array([np.frombuffer(b) for _, b in got]).reshape(-1, size)
+    rate = min(1.0, FIT_ROWS / max(rows.count(), 1))
+    picked = rows.where(F.xxhash64("key") / F.lit(2.0**64) + 0.5 < rate).select("text", "label", "fold")
+    pack = lambda x: {"x": [v.tobytes() for v in x]}
+    got = [(r["label"], np.frombuffer(r["x"]).reshape(2, size)[1 - r["fold"]]) for r in model.apply(picked, "text", ["r0", "r1"], pack, "x binary", scratch).collect()]
+    got.sort(key=lambda r: (r[0], r[1].tobytes()))
+    x = np.array([v for _, v in got]).reshape(-1, size)
     y = np.array([k for k, _ in got], dtype=float)
     if not len(y):
         return Scorer(model, np.zeros(size), np.ones(size), np.array([-1.0, *np.zeros(size)]))
@@ -267,26 +322,19 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
 
 
 def score(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
-    """`docs` with score (0 to 1) and predicted (1 from THRESHOLD on).
+    """The columns of `docs` but the text, with score (0 to 1) and predicted (1 from THRESHOLD on).
 
-    Null and empty texts have no words and get the score of such. Without training rows all scores are the same, below the threshold. Repeated
-    rows score alike; extra columns stay, columns of the two names are replaced. There is no shuffle; the model is
-    16 MB whatever the input.
+    Null and empty texts have no words and get the score of such. Without training rows all scores are the same, below
+    the threshold. Repeated rows score alike; extra columns stay, columns of the two names are replaced.
     """
-    kept = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
-    names = [f.name for f in kept]
-    sent = docs.sparkSession.sparkContext.broadcast(scorer)
+    mean, scale, weight = scorer.mean, scorer.scale, scorer.weight
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        for batch in batches:
-            for a, b, x in own.model.features(batch.column(names.index(text))):
-                p = own(x)
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], names=[*names, "score", "predicted"])
+    def finish(x: np.ndarray) -> dict[str, np.ndarray]:
+        p = _weighted(x, mean, scale, weight)
+        return {"score": p, "predicted": (p >= THRESHOLD).astype(np.int32)}
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "score double, predicted int"])
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted")))
+    return scorer.model.apply(docs, text, ["r"], finish, "score double, predicted int", Scratch(docs.sparkSession, "toxicity"))
 
 
 def held_out() -> Column:
