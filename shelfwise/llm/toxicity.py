@@ -105,7 +105,12 @@ def _counted(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([words, *(pa.array(c) for c in n.T.copy())], names=["word", "c0", "c1", "c2", "c3"])
 
     counted = rows.select("text", "label", "fold").mapInArrow(count, "word binary, c0 long, c1 long, c2 long, c3 long")
-    return counted.groupBy("word").agg(*(F.sum(f"c{g}").alias(f"c{g}") for g in range(4)))
+    return _in_order(counted.groupBy("word").agg(*(F.sum(f"c{g}").alias(f"c{g}") for g in range(4))))
+
+
+def _in_order(words: DataFrame) -> DataFrame:
+    """Neighbours begin alike, so that a batch of them has few different steps. Words are distinct: ranges can be even."""
+    return words.repartitionByRange("word").sortWithinPartitions("word")
 
 
 def _step_counts(counted: DataFrame) -> DataFrame:
@@ -141,11 +146,10 @@ def _lower(steps: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Log-likelihood ratios of toxic to ordinary, in 1 / UNIT: of steps (h, r, r0, r1), and, by what a step looks back
-    on, of one never seen (back, r, r0, r1). Tables in shared storage, as long as what was counted."""
+    """(h, r, r0, r1, u, u0, u1), a table in shared storage, as long as what was counted: log-likelihood ratios of toxic to
+    ordinary, in 1 / UNIT, of a step, and of one never seen that looks back on h. Null where h was not seen as such."""
 
-    steps: DataFrame
-    unseen: DataFrame
+    table: DataFrame
 
     @classmethod
     def of(cls, steps: DataFrame, scratch: Scratch) -> Model:
@@ -168,27 +172,57 @@ class Model:
             own = F.when(F.col(f"{m}{c}_all") > 0, F.greatest(n[m, c] - discount[m, c], F.lit(0.0)) / F.col(f"{m}{c}_all")).otherwise(0.0)
             return own + backs(m, c) * F.col("low")
 
-        def ratio(p, m: str) -> Column:
-            return F.round((F.log(p(m, 1)) - F.log(p(m, 0))) * UNIT).cast("long").alias(m)
+        def ratio(p, m: str, name: str) -> Column:
+            return F.round((F.log(p(m, 1)) - F.log(p(m, 0))) * UNIT).cast("long").alias(name)
 
         low = few(scratch.put(_lower(steps)))
-        seen = steps.join(context, "back").join(low, "tail").select("h", *(ratio(likely, m) for m in MODELS))
-        return cls(scratch.put(seen), scratch.put(context.select("back", *(ratio(backs, m) for m in MODELS))))
+        seen = steps.join(context, "back").join(low, "tail").select("h", *(ratio(likely, m, m) for m in MODELS))
+        unseen = context.select(F.col("back").alias("h"), *(ratio(backs, m, _away(m)) for m in MODELS))
+        return cls(scratch.put(seen.join(unseen, "h", "full")))
 
     def ratios(self, words: DataFrame, names: list[str], scratch: Scratch) -> DataFrame:
-        """(w, *names): the sum over a word's steps. `words` (w, word) are distinct; w, a hash, tells them apart."""
+        """(w, *names): the sum over a word's steps. `words` (w, word) are distinct; w, a hash, tells them apart.
 
-        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at, own, back, _ = _steps(batch.column(1))
-                yield pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_numpy()[at]), pa.array(own), pa.array(back)], names=["w", "h", "back"])
+        Words in order are cut into blocks; a block looks up each of its steps once.
+        """
+        away = [_away(m) for m in names]
 
-        steps = words.select("w", "word").mapInArrow(spread, "w long, h long, back long").join(self.steps.select("h", *names), "h", "left")
-        sums = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in names]
-        # Of a word that was counted every step is known; of others those beyond their first new one have no context.
-        known = scratch.put(steps.groupBy("w").agg(*sums, F.collect_list(F.when(F.col(names[0]).isNull(), F.col("back"))).alias("open")))
-        new = known.select("w", F.explode("open").alias("back")).join(self.unseen.select("back", *names), "back").select("w", *names)
-        return known.select("w", *names).unionByName(new).groupBy("w").agg(*sums)
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = TaskContext.get().partitionId() << 32
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                _, own, back, _ = _steps(batch.column(1))
+                keys = np.unique(np.concatenate([own, back]))
+                one = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (pa.array(keys), batch.column(0), batch.column(1))]
+                yield pa.RecordBatch.from_arrays([pa.array([block]), *one], names=["block", "keys", "w", "words"])
+                block += 1
+
+        blocks = _in_order(words.select("w", "word")).mapInArrow(cut, "block long, keys array<long>, w array<long>, words array<binary>")
+        blocks = scratch.put(blocks)
+        asked = blocks.select(F.col("block").alias("of"), F.posexplode("keys").alias("place", "h"))
+        told = asked.join(self.table.select("h", *names, *away), "h").select("of", "place", *names, *away)
+
+        def add(left: pa.Table, right: pa.Table) -> pa.Table:
+            words = left.column("words").combine_chunks().flatten()
+            at, own, back, _ = _steps(words)
+            keys = np.unique(np.concatenate([own, back]))
+            own, back, place = np.searchsorted(keys, own), np.searchsorted(keys, back), right.column("place").to_numpy()
+            out = {"w": left.column("w").combine_chunks().flatten()}
+            for m in names:
+                step, new, known = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+                values = right.column(m)
+                known[place] = values.is_valid().to_numpy()
+                step[place] = values.fill_null(0).to_numpy()
+                new[place] = right.column(_away(m)).fill_null(0).to_numpy()
+                total = np.zeros(len(words), np.int64)
+                np.add.at(total, at, np.where(known[own], step[own], new[back]))
+                out[m] = pa.array(total)
+            return pa.table(out)
+
+        ddl = ", ".join(["w long", *(f"{m} long" for m in names)])
+        summed = blocks.select("block", "w", "words").groupBy("block").cogroup(told.groupBy("of")).applyInArrow(add, ddl)
+        return summed.groupBy("w").agg(*(F.max(m).alias(m) for m in names))
 
     def apply(self, docs: DataFrame, text: str, names: list[str], finish: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str, scratch: Scratch) -> DataFrame:
         """The columns of `docs` but the text, and those that `finish` makes of the features by each of `names`.
@@ -245,6 +279,10 @@ class Model:
         return out.select(*(F.col(c).alias(f.name) for f, c in zip(fields, rest, strict=True)), *out.columns[len(rest):])
 
 
+def _away(model: str) -> str:
+    return "u" + model[1:]
+
+
 def _width(words: int) -> type:
     return np.uint16 if words < 1 << 16 else np.int32
 
@@ -305,7 +343,10 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
     fold = F.pmod(F.xxhash64(F.col(doc_id), F.lit("fold")), F.lit(2)).cast("int").alias("fold")
     rows = rows.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), fold, F.xxhash64(F.col(doc_id), F.col(text)).alias("key"))
     words = scratch.put(_counted(rows))
-    model = Model.of(scratch.put(_step_counts(words)), scratch)
+    steps = scratch.put(_step_counts(words))
+    scratch.drop(words)
+    model = Model.of(steps, scratch)
+    scratch.drop(steps)
 
     size = 2 + 2 * len(MARKS)
     rate = min(1.0, FIT_ROWS / max(rows.count(), 1))
