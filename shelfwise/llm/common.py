@@ -59,6 +59,10 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         _delete(self.spark, df._scratch_path)
 
+    def clear(self) -> None:
+        """Deletes all of its tables, once what was made of them is written or collected."""
+        _delete(self.spark, self.root)
+
 
 def few(frame: DataFrame, rows: int = 1 << 20) -> DataFrame:
     """A written table of a few numbers a row: broadcast if it has at most `rows` rows, else joined as Spark sees fit."""

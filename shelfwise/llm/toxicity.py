@@ -41,13 +41,20 @@ def _dictionaries(texts: pa.Array) -> Iterator[tuple[int, int, pa.Array, np.ndar
         code = FOLD[data]
         start, end, row = word_spans(code, off, ALNUM)
         _, first, back = np.unique(span_hash(prefix(code), start, end), return_index=True, return_inverse=True)
+        # A text's words count once each, so that one repeated a thousand times is no thousand witnesses.
+        cell = np.unique(row * max(len(first), 1) + back)
+        row, back = cell // max(len(first), 1), cell % max(len(first), 1)
+        # Words of many rows come first: the words of a row are then near to each other, and packed in few bytes.
+        order = np.argsort(-np.bincount(back, minlength=len(first)), kind="stable")
+        place = np.empty(len(first), np.int64)
+        place[order] = np.arange(len(first))
+        cell = np.sort(row * max(len(first), 1) + place[back])
+        first = first[order]
         size = end[first] - start[first]
         stop = np.cumsum(size)
         flat = code[np.repeat(start[first] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
         offsets = np.concatenate([[0], stop]).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
-        # A text's words count once each, so that one repeated a thousand times is no thousand witnesses.
-        cell = np.unique(row * max(len(first), 1) + back)
         yield a, b, words, cell // max(len(first), 1), cell % max(len(first), 1)
 
 
@@ -175,10 +182,13 @@ class Model:
         def ratio(p, m: str, name: str) -> Column:
             return F.round((F.log(p(m, 1)) - F.log(p(m, 0))) * UNIT).cast("long").alias(name)
 
-        low = few(scratch.put(_lower(steps)))
-        seen = steps.join(context, "back").join(low, "tail").select("h", *(ratio(likely, m, m) for m in MODELS))
+        low = scratch.put(_lower(steps))
+        seen = scratch.put(steps.join(context, "back").join(few(low), "tail").select("h", *(ratio(likely, m, m) for m in MODELS)))
         unseen = context.select(F.col("back").alias("h"), *(ratio(backs, m, _away(m)) for m in MODELS))
-        return cls(scratch.put(seen.join(unseen, "h", "full")))
+        joined = scratch.put(seen.join(unseen, "h", "full"))
+        for done in (context, low, seen):
+            scratch.drop(done)
+        return cls(joined)
 
     def ratios(self, words: DataFrame, names: list[str], scratch: Scratch) -> DataFrame:
         """(w, *names): the sum over a word's steps. `words` (w, word) are distinct; w, a hash, tells them apart.
@@ -192,21 +202,24 @@ class Model:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                _, own, back, _ = _steps(batch.column(1))
-                keys = np.unique(np.concatenate([own, back]))
-                one = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (pa.array(keys), batch.column(0), batch.column(1))]
-                yield pa.RecordBatch.from_arrays([pa.array([block]), *one], names=["block", "keys", "w", "words"])
+                one = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (batch.column(0), batch.column(1))]
+                yield pa.RecordBatch.from_arrays([pa.array([block]), *one], names=["block", "w", "words"])
                 block += 1
 
-        blocks = _in_order(words.select("w", "word")).mapInArrow(cut, "block long, keys array<long>, w array<long>, words array<binary>")
-        blocks = scratch.put(blocks)
-        asked = blocks.select(F.col("block").alias("of"), F.posexplode("keys").alias("place", "h"))
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for block, words in zip(batch.column(0), batch.column(1), strict=True):
+                    keys = _keys(*_steps(words.values)[1:3])
+                    yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(keys), pa.int64()), pa.array(np.arange(len(keys))), pa.array(keys)], names=["of", "place", "h"])
+
+        blocks = scratch.put(_in_order(words.select("w", "word")).mapInArrow(cut, "block long, w array<long>, words array<binary>"))
+        asked = blocks.select("block", "words").mapInArrow(ask, "of long, place long, h long")
         told = asked.join(self.table.select("h", *names, *away), "h").select("of", "place", *names, *away)
 
         def add(left: pa.Table, right: pa.Table) -> pa.Table:
             words = left.column("words").combine_chunks().flatten()
             at, own, back, _ = _steps(words)
-            keys = np.unique(np.concatenate([own, back]))
+            keys = _keys(own, back)
             own, back, place = np.searchsorted(keys, own), np.searchsorted(keys, back), right.column("place").to_numpy()
             out = {"w": left.column("w").combine_chunks().flatten()}
             for m in names:
@@ -222,7 +235,9 @@ class Model:
 
         ddl = ", ".join(["w long", *(f"{m} long" for m in names)])
         summed = blocks.select("block", "w", "words").groupBy("block").cogroup(told.groupBy("of")).applyInArrow(add, ddl)
-        return summed.groupBy("w").agg(*(F.max(m).alias(m) for m in names))
+        out = scratch.put(summed)
+        scratch.drop(blocks)
+        return out.groupBy("w").agg(*(F.max(m).alias(m) for m in names))
 
     def apply(self, docs: DataFrame, text: str, names: list[str], finish: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str, scratch: Scratch) -> DataFrame:
         """The columns of `docs` but the text, and those that `finish` makes of the features by each of `names`.
@@ -253,7 +268,7 @@ class Model:
         given = docs.select(F.col(f"`{text}`").alias("text"), *(F.col(f"`{f.name}`").alias(c) for f, c in zip(fields, rest, strict=True)))
         indexed = scratch.put(given.mapInArrow(index, "piece long, size long, held binary, rest binary, words array<binary>"))
         listed = indexed.select("piece", F.posexplode("words").alias("place", "word")).withColumn("w", F.xxhash64("word"))
-        ratios = scratch.put(self.ratios(listed.select("w", "word").distinct(), names, scratch))
+        ratios = self.ratios(listed.select("w", "word").distinct(), names, scratch)
         valued = listed.select(F.col("piece").alias("of"), "place", "w").join(ratios, "w").select("of", "place", *names)
 
         def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -279,6 +294,10 @@ class Model:
         return out.select(*(F.col(c).alias(f.name) for f, c in zip(fields, rest, strict=True)), *out.columns[len(rest):])
 
 
+def _keys(own: np.ndarray, back: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([own, back]))
+
+
 def _away(model: str) -> str:
     return "u" + model[1:]
 
@@ -352,7 +371,9 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
     rate = min(1.0, FIT_ROWS / max(rows.count(), 1))
     picked = rows.where(F.xxhash64("key") / F.lit(2.0**64) + 0.5 < rate).select("text", "label", "fold")
     pack = lambda x: {"x": [v.tobytes() for v in x]}
-    got = [(r["label"], np.frombuffer(r["x"]).reshape(2, size)[1 - r["fold"]]) for r in model.apply(picked, "text", ["r0", "r1"], pack, "x binary", scratch).collect()]
+    looked = Scratch(labelled.sparkSession, "toxicity-fit")
+    got = [(r["label"], np.frombuffer(r["x"]).reshape(2, size)[1 - r["fold"]]) for r in model.apply(picked, "text", ["r0", "r1"], pack, "x binary", looked).collect()]
+    looked.clear()
     got.sort(key=lambda r: (r[0], r[1].tobytes()))
     x = np.array([v for _, v in got]).reshape(-1, size)
     y = np.array([k for k, _ in got], dtype=float)
