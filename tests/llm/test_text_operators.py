@@ -391,7 +391,7 @@ def test_toxicity(spark, odd):
 
 
 def test_toxicity_does_not_depend_on_partitions(spark):
-    """Slots that several steps share included: with few of them, nearly all are."""
+    """Sums are of whole numbers, so the order in which rows and words come is of no matter."""
     rows = table(spark, SMALL, "documents").join(table(spark, SMALL, "labels"), "doc_id").select("doc_id", "text", "toxic")
     scores = []
     for n in (3, 13):
