@@ -26,6 +26,20 @@ NEVER = np.int64(1) << 40
 NEWER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B}
 NEWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)} | {ord("Σ"): ord("σ")}
 _NEWER = re.compile("[" + "".join(map(chr, NEWER)) + "]")
+#: Ranges (first, last) of letters and numbers of the regex module's tables that the vocabulary's library
+#: takes for neither. It knows Unicode 15; these were assigned later, or are kept free within blocks of letters.
+LATER = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1),
+    (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+    (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686),
+    (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x16FF4, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA),
+    (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
+    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F),
+    (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+]
+_LATER = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER) + "]"
 
 
 def _byte_letters() -> list[str]:
@@ -54,6 +68,10 @@ class WordBpe:
             self.text[i] = t
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        #: The same for words with characters of LATER, which are rare.
+        self.later = re.compile(_LATER)
+        letter, number = rf"(?:(?!{_LATER})\p{{L}})", rf"(?:(?!{_LATER})\p{{N}})"
+        self.later_piece = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|(?:{_LATER}|[^\s\p{{L}}\p{{N}}])+")
         letters = _byte_letters()
         self.letter = letters
         #: Symbols 0 to 255: bytes; 256 more: bytes that end a word.
@@ -271,7 +289,8 @@ class WordBpe:
         """Remember ids and tokens of chunks, which hold no white space; no piece crosses white space."""
         if len(self.words) > REMEMBERED:
             self.words = {}
-        found = {c: [p.encode() for p in self.piece.findall(c)] for c in chunks if c not in self.words}
+        new = [c for c in chunks if c not in self.words]
+        found = {c: [p.encode() for p in (self.later_piece if not c.isascii() and self.later.search(c) else self.piece).findall(c)] for c in new}
         distinct = list({p for ps in found.values() for p in ps})
         ids = dict(zip(distinct, self.encode_words(distinct), strict=True))
         for c, ps in found.items():

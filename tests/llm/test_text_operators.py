@@ -347,6 +347,17 @@ def test_bpe_equals_the_library(spark, odd, small_docs):
     assert one.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
 
 
+def test_bpe_knows_the_library_s_letters():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.vocabulary())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{chr(c)}b{chr(c)}{chr(c)}" for c in points[a : a + 2000]) for a in range(0, len(points), 2000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids, _ in bpe.load(bpe.vocabulary()).encode(texts)]
+    assert got == want
+
+
 def test_bpe_merges_side_by_side_and_one_by_one_alike():
     model = bpe.load(bpe.vocabulary())
     random.seed(6)
