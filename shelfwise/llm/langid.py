@@ -77,11 +77,28 @@ class Model:
             yield a, b, names, score, ~lettered | (1 - score > self.reach[self.owner[best]])
 
 
+def _holding(rows: DataFrame) -> np.ndarray:
+    """For each dimension, the number of `rows` whose text holds a gram of it. A task gives one row a dimension."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(DIMENSIONS, dtype=np.int64)
+        for batch in batches:
+            for _, _, counts in grams(batch.column(0)):
+                n += np.count_nonzero(counts, axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMENSIONS, dtype=np.int32)), pa.array(n)], names=["d", "n"])
+
+    out = np.zeros(DIMENSIONS, dtype=np.int64)
+    for r in rows.select("text").mapInArrow(count, "d int, n long").groupBy("d").agg(F.sum("n").alias("n")).collect():
+        out[r["d"]] = r["n"]
+    return out
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
     """Centroids from a sample of the rows with text and language, of at most about SAMPLE_ROWS rows.
 
     Rows are picked by a hash of `key` and text, at a rate set by the language's number of rows. Grams are counted in
-    tasks; the driver gets one vector a sampled row and clusters each language's by spherical k-means.
+    tasks; the driver gets one vector a sampled row and clusters each language's by spherical k-means. How many texts
+    hold a gram is counted over all rows with text and language, and reaches the driver as one number a dimension.
     """
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_ROWS).collect()}
@@ -100,7 +117,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
     found = sorted((r["lang"], bytes(r["vector"])) for r in picked.mapInArrow(count, "lang string, vector binary").collect())
     x = np.stack([np.frombuffer(v, dtype=np.float16).astype(np.float32) for _, v in found])
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
+    idf = np.log((1 + sum(sizes.values())) / (1 + _holding(rows))).astype(np.float32) + 1
     x = _unit(x * idf)
     languages = sorted({k for k, _ in found})
     label = np.array([languages.index(k) for k, _ in found])
