@@ -15,8 +15,12 @@ from shelfwise.llm.common import Scratch, components, table
 THRESHOLD = 0.93
 #: Length of a neighbour list; rows of a starting block, and of a block of vectors with full lists.
 LIST, BLOCK, SIDE = 8, 256, 512
-#: Rounds of refinement; share of changed entries below which it ends; descents; vectors of each half of the audit.
-ROUNDS, STILL, ATTEMPTS, AUDIT = 5, 0.002, 2, 300
+#: Rounds of refinement; share of changed entries below which it ends; descents.
+ROUNDS, STILL, ATTEMPTS = 5, 0.002, 2
+#: The audit of a label draws about so many vectors with links, and as many without, and at least this share of either.
+AUDIT, SHARE = 300, 1 / 16
+#: Rows that meet in one task's call, about; meetings that are multiplied at a time.
+MET, AT_ONCE = 16_384, 512
 
 
 def _unit(group: pa.Table, column: str = "vec") -> np.ndarray:
@@ -26,8 +30,8 @@ def _unit(group: pa.Table, column: str = "vec") -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _best(ids: np.ndarray, near: np.ndarray, k: int, worst: np.ndarray | None = None) -> pa.Table:
-    """Of each row's others the k nearest, if nearer than its worst so far."""
+def _best(ids: np.ndarray, near: np.ndarray, k: int) -> pa.Table:
+    """Of each row's others the k nearest."""
     near = near.copy()
     np.fill_diagonal(near, -2)
     k = min(k, len(ids) - 1)
@@ -35,11 +39,33 @@ def _best(ids: np.ndarray, near: np.ndarray, k: int, worst: np.ndarray | None =
         return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "s": pa.array([], pa.float64())})
     top = np.argpartition(-near, k - 1, axis=1)[:, :k]
     s = np.take_along_axis(near, top, axis=1)
-    use = s > (worst[:, None] if worst is not None else -2)
-    i, j = np.nonzero(use)
+    i, j = np.nonzero(s > -2)
     return pa.table({"a": ids[i], "b": ids[top[i, j]], "s": s[i, j]})
 
 
+def _best_of_meetings(group: pa.Table) -> pa.Table:
+    """The same for every meeting `a` of the group, padded to the largest, which has no more than 2 * LIST rows."""
+    order = np.argsort(group.column("a").to_numpy(), kind="stable")
+    a, ids, worst = (group.column(c).to_numpy()[order] for c in ("a", "id", "worst"))
+    x = _unit(group)[order]
+    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+    size = np.diff(np.append(first, len(a)))
+    meeting, place, wide = np.repeat(np.arange(len(first)), size), np.arange(len(a)) - np.repeat(first, size), int(size.max())
+    k, out = min(LIST, wide - 1), []
+    for f in range(0, len(first) if k > 0 else 0, AT_ONCE):
+        use = slice(*np.searchsorted(meeting, [f, f + AT_ONCE]))
+        at, shape = (meeting[use] - f, place[use]), (min(AT_ONCE, len(first) - f), wide)
+        vec, own, limit, there = np.zeros((*shape, x.shape[1])), np.zeros(shape, np.int64), np.zeros(shape), np.zeros(shape, bool)
+        vec[at], own[at], limit[at], there[at] = x[use], ids[use], worst[use], True
+        near = np.where(there[:, None, :] & ~np.eye(wide, dtype=bool), vec @ vec.transpose(0, 2, 1), -2)
+        top = np.argpartition(-near, k - 1, axis=2)[:, :, :k]
+        s = np.take_along_axis(near, top, axis=2)
+        m, i, j = np.nonzero((s > limit[:, :, None]) & there[:, :, None])
+        out.append((own[m, i], own[m, top[m, i, j]], s[m, i, j]))
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    return pa.table(dict(zip("abs", (np.concatenate(c) for c in zip(none, *out, strict=True)), strict=True)))
+
+
 def _kept(edges: DataFrame) -> DataFrame:
     """The LIST nearest of each vector; ties go to the smaller id."""
     ordered = Window.partitionBy("a").orderBy(F.desc("s"), "b")
@@ -50,6 +76,7 @@ class Graph:
     def __init__(self, vectors: DataFrame, scratch: Scratch, seed: int, threshold: float):
         """vectors: id, space (those compared with each other), vec."""
         self.vectors, self.scratch, self.threshold, self.round = vectors, scratch, threshold, 0
+        self.total = vectors.count()
         self.edges = scratch.put(self._start(seed))
 
     def _start(self, seed: int) -> DataFrame:
@@ -102,12 +129,10 @@ class Graph:
         worst = self.edges.groupBy("a").agg(F.when(F.count("*") >= LIST, F.min("s")).otherwise(F.lit(-2.0)).alias("worst"))
         meeting = few.join(stirred, "a").select("a", F.col("b").alias("id")).join(self.vectors.select("id", "vec"), "id")
         meeting = meeting.join(worst.withColumnRenamed("a", "id"), "id")
-
-        def meet(group: pa.Table) -> pa.Table:
-            x = _unit(group)
-            return _best(group.column("id").to_numpy(), x @ x.T, LIST, group.column("worst").to_numpy())
-
-        found = meeting.select("a", "id", "vec", "worst").groupBy("a").applyInArrow(meet, "a long, b long, s double")
+        # Meetings go to tasks many at a time: a call for each would cost more than its products.
+        buckets = F.pmod(F.xxhash64("a", F.lit("meeting")), F.lit(self.total * 2 * LIST // MET + 1))
+        meeting = meeting.select("a", "id", "vec", "worst", buckets.alias("bucket"), F.size("vec").alias("dim"))
+        found = meeting.groupBy("bucket", "dim").applyInArrow(_best_of_meetings, "a long, b long, s double")
         old = self.edges.select("a", "b", "s", F.lit(False).alias("fresh"))
         new = self.scratch.put(_kept(old.unionByName(found.withColumn("fresh", F.lit(True)))))
         self.scratch.drop(self.edges)
@@ -159,12 +184,14 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
 
     Vectors of equal label and length link from a cosine of `threshold` on, in double precision. Null, empty and zero
     vectors, those with a null or non-finite component, rows without label and rows without id link with nothing.
-    Equal vectors of a label are one node, which stands for all of them. Other columns are ignored.
+    Equal vectors of a label are one node, which stands for all of them. Rows of one id are one vector, which does not
+    link with itself; if they differ, the one with the smallest hash counts, for all of them. Other columns are ignored.
 
     Lists of the LIST nearest start from random blocks and are refined through neighbours of neighbours until few
-    change. A vector whose list is full of links is compared with all of its space, in blocks. An audit compares
-    samples of the others with all: if one of them lacks a link, the descent starts again from other blocks and adds its
-    links, and after ATTEMPTS of them all vectors are compared with all of their space.
+    change. A vector whose list is full of links is compared with all of its label, in blocks. Each label has its own
+    audit, which compares a sample of the others with all: if one of them lacks a link, the descent starts again for that
+    label, from other blocks, and adds its links, and after ATTEMPTS all of the label's vectors are compared with all.
+    The sample is SHARE of the label at least: of m vectors that lack a link, none is drawn with (1 - SHARE) ** m.
     """
     spark = rows.sparkSession
     scratch = Scratch(spark, "vectors")
@@ -173,26 +200,28 @@ def link(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     fit = given.where("id IS NOT NULL AND label IS NOT NULL AND vec IS NOT NULL").where(finite & F.exists("vec", lambda x: x != 0))
     clean = F.transform("vec", lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x))
     fit = fit.select("id", F.xxhash64("label", F.size("vec")).alias("space"), clean.alias("vec"))
-    named = scratch.put(fit.withColumn("h", F.xxhash64("vec")))
+    fit = fit.withColumn("h", F.xxhash64("vec")).groupBy("id").agg(F.min(F.struct("space", "h", "vec")).alias("v"))
+    named = scratch.put(fit.select("id", "v.space", "v.vec", "v.h"))
     vectors = scratch.put(named.groupBy("space", "h", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("weight")))
     member = named.join(vectors.withColumnRenamed("vec", "v"), ["space", "h"]).where(F.col("vec") == F.col("v")).select("id", "rep", "weight")
     vectors = vectors.select(F.col("rep").alias("id"), "space", "vec", "weight")
-    total = vectors.count()
-
-    near, result, found = None, None, None
+    near, result, found, left = None, None, None, vectors
     for attempt in range(ATTEMPTS):
-        graph = Graph(vectors, scratch, attempt, threshold)
+        graph = Graph(left, scratch, attempt, threshold)
         for _ in range(ROUNDS):
-            if graph.refine() <= STILL * total * LIST:
+            if graph.refine() <= STILL * graph.total * LIST:
                 break
         listed = graph.edges.where(F.col("s") >= threshold).select("a", "b")
         near = scratch.put(listed if near is None else listed.unionByName(near).distinct())
         full = scratch.put(near.groupBy(F.col("a").alias("id")).count().where(F.col("count") >= LIST).select("id"))
         result, found = _joined(near, full, vectors, threshold, scratch)
-        if not _missed(result, full, vectors, threshold):
+        lossy = scratch.put(_lossy(result, full, left, threshold, attempt))
+        if lossy.isEmpty():
             break
+        left = scratch.put(left.join(lossy, "space", "left_semi").select("id", "space", "vec", "weight"))
     else:
-        result, found = _joined(near, vectors.select("id"), vectors, threshold, scratch)
+        full = scratch.put(full.unionByName(left.select("id")).distinct())
+        result, found = _joined(near, full, vectors, threshold, scratch)
 
     of = member.join(result, member["rep"] == result["rid"], "left")
     of = of.join(found, of["rep"] == found["id"], "left").select(member["id"].alias("of"), (F.coalesce("n", F.lit(0)) + F.when(F.col("n").isNull(), F.col("weight") - 1).otherwise(0)).alias("n"), F.coalesce("component", "rep").alias("c"))
@@ -220,36 +249,17 @@ def _joined(near: DataFrame, full: DataFrame, vectors: DataFrame, threshold: flo
     return scratch.put(n), scratch.put(components(links, scratch))
 
 
-def _missed(result: DataFrame, full: DataFrame, vectors: DataFrame, threshold: float) -> int:
-    """Audited vectors that lack a link. Not in `full`, whose links are all known, AUDIT with links and AUDIT without are
-    compared with all, each counting as one whatever its copies and links; the sample is broadcast, as long as that."""
-    spark = vectors.sparkSession
+def _lossy(result: DataFrame, full: DataFrame, vectors: DataFrame, threshold: float, attempt: int) -> DataFrame:
+    """(space) of audited vectors that lack a link. Those in `full` have all of theirs; of the others of a space a sample
+    with links and one without are compared with the whole space, each vector counting as one whatever its links."""
     rest = vectors.join(full, "id", "left_anti").join(result.withColumnRenamed("rid", "id"), "id", "left")
-    rest = rest.select("id", "space", "vec", (F.coalesce("n", "weight") - F.when(F.col("n").isNull(), F.col("weight")).otherwise(F.col("weight") - 1)).alias("found"))
-    draw = lambda half: rest.where(half).orderBy(F.xxhash64("id", F.lit("audit"))).limit(AUDIT)
-    sample = draw("found > 0").unionByName(draw("found = 0")).toPandas()
-    if not len(sample):
-        return 0
-    sent = spark.sparkContext.broadcast({d: s for d, s in sample.groupby(sample["vec"].map(len))})
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = np.array([len(v) for v in batch.column(2)], dtype=int)
-            for d in sorted(set(dims.tolist())):
-                own = sent.value.get(d)
-                if own is None:
-                    continue
-                some = batch.filter(pa.array(dims == d))
-                q = np.array(own["vec"].tolist(), dtype=np.float64)
-                near = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ _unit(pa.Table.from_batches([some])).T >= threshold
-                near &= own["space"].to_numpy()[:, None] == some.column(1).to_numpy()
-                near &= own["id"].to_numpy()[:, None] != some.column(0).to_numpy()
-                n = near @ some.column(3).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(own["id"].to_numpy()), pa.array(n.astype(np.int64))], names=["id", "true"])
-
-    true = vectors.select("id", "space", "vec", "weight").mapInArrow(count, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    found = dict(zip(sample["id"], sample["found"], strict=True))
-    return sum(r["true"] > found[r["id"]] for r in true.collect())
+    rest = rest.select("id", "space", F.coalesce(F.col("n") - F.col("weight") + 1, F.lit(0)).alias("found"))
+    rest = rest.withColumn("linked", F.col("found") > 0)
+    rate = rest.groupBy("space", "linked").agg(F.greatest(F.lit(AUDIT) / F.count("*"), F.lit(SHARE)).alias("rate"))
+    draw = F.xxhash64("id", F.lit("audit"), F.lit(attempt)) / F.lit(2.0**64) + 0.5
+    sample = rest.join(rate, ["space", "linked"]).where(draw < F.col("rate")).select("id", "space", "found")
+    whole = _compared(sample.select("id"), vectors, threshold).groupBy("id").agg(F.sum("n").alias("whole"))
+    return sample.join(whole, "id").where("whole > found").select("space").distinct()
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, differences
 from conftest import SMALL
@@ -305,6 +306,62 @@ def test_vectors_that_the_descent_loses(spark, monkeypatch):
     assert all(got[10_000 + k] == (1, 10_000 + k - k % 2) for k in range(2, 22))
 
 
+def test_vectors_are_audited_by_label(spark, monkeypatch):
+    """Only the label whose descent lost its links is descended again and then compared whole."""
+    start, compared, descended, met = near_vectors.Graph._start, near_vectors._compared, [], []
+
+    def lossy_start(self, seed):
+        descended.append(self.total)
+        return start(self, seed).where("a < 10000 AND b < 10000")
+
+    def seen(rows, vectors, threshold):
+        met.append(rows.count())
+        return compared(rows, vectors, threshold)
+
+    monkeypatch.setattr(near_vectors.Graph, "_start", lossy_start)
+    monkeypatch.setattr(near_vectors.Graph, "refine", lambda self: 0)
+    monkeypatch.setattr(near_vectors, "_compared", seen)
+    r = np.random.default_rng(14)
+    x = np.repeat(r.standard_normal((30, 64)), 2, axis=0) + 0.05 * r.standard_normal((60, 64))
+    ids, label = np.array([*range(40), *range(10_000, 10_020)]), np.array([0] * 40 + [1] * 20)
+    link = brute_links(x, label)
+    assert link.sum() == 60
+    frame = spark.createDataFrame([(int(i), v.tolist(), int(k)) for i, v, k in zip(ids, x, label, strict=True)], "vec_id long, embedding array<float>, label int")
+    got = {g.vec_id: (g.n_links, g.component_id) for g in near_vectors.link(frame).collect()}
+    assert got == {int(i): (1, int(i) - int(i) % 2) for i in ids}
+    # All vectors, then those of label 1; nothing is full at first, both are audited, then label 1, which is whole at last.
+    assert descended == [60, 20] and met == [0, 60, 0, 20, 20]
+
+
+def test_meetings_of_many_at_once():
+    r = np.random.default_rng(15)
+    sizes = [1, 2, 16, 9, *r.integers(1, 17, 1200)]
+    a = np.repeat(np.arange(len(sizes)) * 3 - 50, sizes)
+    ids, x, worst = r.permutation(len(a)) - 40, r.standard_normal((len(a), 8)), r.choice([-2.0, 0.1], len(a))
+    mixed = r.permutation(len(a))
+    table = pa.table({"a": a[mixed], "id": ids[mixed], "vec": pa.array(list(x[mixed])), "worst": worst[mixed]})
+    got = near_vectors._best_of_meetings(table).to_pylist()
+    unit, want = x / np.linalg.norm(x, axis=1, keepdims=True), set()
+    for m in np.unique(a):
+        own = np.flatnonzero(a == m)
+        for i in own:
+            nearest = sorted((j for j in own if j != i), key=lambda j: -(unit[i] @ unit[j]))[: near_vectors.LIST]
+            want |= {(ids[i], ids[j]) for j in nearest if unit[i] @ unit[j] > worst[i]}
+    assert {(g["a"], g["b"]) for g in got} == want and len(got) == len(want)
+    assert near_vectors._best_of_meetings(table.filter(pa.array(a[mixed] == -50))).num_rows == 0
+
+
+def test_vectors_of_one_id(spark):
+    """Rows of one id are one vector: repeated, it does not link with itself; of different ones one counts, for all rows."""
+    one, near, other = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 0.0, 1.0]
+    rows = [(1, one, 0), (1, one, 0), (2, near, 0), (3, other, 0), (3, other, 0), (4, one, 0), (4, other, 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(tuple(g) for parts in (1, 5) for g in near_vectors.link(frame.repartition(parts)).collect())
+    with_one = [(1, 2, 1, True)] * 2 + [(2, 2, 1, False)] + [(3, 0, 3, True)] * 2 + [(4, 2, 1, False)] * 2
+    with_other = [(1, 1, 1, True)] * 2 + [(2, 1, 1, False)] + [(3, 1, 3, True)] * 2 + [(4, 1, 3, False)] * 2
+    assert got in (sorted(2 * with_one), sorted(2 * with_other))
+
+
 # --- sharding -----------------------------------------------------------------------------------------
 
 
