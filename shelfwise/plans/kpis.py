@@ -39,9 +39,18 @@ def report_order(stock: str = "stock_actual_total", *more: str) -> list[Column]:
     ]
 
 
-def _top(frame: DataFrame, count: int, order: list[Column], columns: list[str]) -> DataFrame:
-    """The first rows, numbered. The numbering window sees only those few rows."""
-    best = frame.orderBy(*order).limit(count)
+def _top(
+    frame: DataFrame, count: int, order: list[Column], columns: list[str], wanted: Column | None = None
+) -> DataFrame:
+    """The first rows, numbered. The numbering window sees only those few rows.
+
+    Rows that are ``wanted`` sort first, and the others are dropped from the first rows: a filter below the limit would
+    be pushed down to the frame's input, with all the columns it reads worked out once more for every time they are named.
+    """
+    if wanted is None:
+        best = frame.orderBy(*order).limit(count)
+    else:
+        best = frame.orderBy(F.coalesce(wanted, F.lit(False)).desc(), *order).limit(count).where(wanted)
     return best.withColumn("puesto", F.row_number().over(Window.orderBy(*order))).select("puesto", *columns)
 
 
@@ -60,22 +69,22 @@ def top_30d(article_table: DataFrame, params: Params) -> DataFrame:
 def top_seasonal(detail: DataFrame, params: Params) -> DataFrame:
     order = [F.col("recurrencia_estacional").desc(), F.col("seasonality_index_quarterly").desc()]
     columns = "articulo descripcion recurrencia_estacional seasonality_index_quarterly peak_period_upcoming"
-    seasonal = detail.where(F.col("temporalidad_clase") == PATTERN_SEASONAL)
-    return _top(seasonal, params.top_n, [*order, *report_order()], columns.split())
+    seasonal = F.col("temporalidad_clase") == PATTERN_SEASONAL
+    return _top(detail, params.top_n, [*order, *report_order()], columns.split(), seasonal)
 
 
 def top_dormant(detail: DataFrame, params: Params) -> DataFrame:
     order = [F.col("stock_actual_total").desc(), F.col("lineas_pi_historico").asc()]
     columns = "articulo descripcion stock_actual_total accion_recomendada warning_stock_dormido_real"
-    sleeping = detail.where(F.col("warning_stock_dormido_real"))
-    return _top(sleeping, params.top_n, [*order, *report_order()], columns.split())
+    sleeping = F.col("warning_stock_dormido_real")
+    return _top(detail, params.top_n, [*order, *report_order()], columns.split(), sleeping)
 
 
 def top_risk(detail: DataFrame, params: Params) -> DataFrame:
     order = [F.col("months_to_next_peak").asc_nulls_last(), F.col("stock_actual_total").desc()]
     columns = "articulo descripcion riesgo_mover_almacen accion_recomendada peak_period_upcoming months_to_next_peak"
-    risky = detail.where(F.col("riesgo_mover_almacen") == RISK_HIGH)
-    return _top(risky, params.top_n, [*order, *report_order()], columns.split())
+    risky = F.col("riesgo_mover_almacen") == RISK_HIGH
+    return _top(detail, params.top_n, [*order, *report_order()], columns.split(), risky)
 
 
 def kpi_abc_scalars(

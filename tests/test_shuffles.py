@@ -1,0 +1,42 @@
+"""What the plans of large tables must not do: sum up more rows than are read, work rules out twice, join rows to themselves."""
+
+from datetime import date
+
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from shelfwise.catalog.contract import shaped
+from shelfwise.catalog.queries import Inputs
+from shelfwise.operators.activity import windowed_activity
+from shelfwise.operators.metrics import ARTICLE, text_sums
+from shelfwise.operators.pareto import pareto
+from shelfwise.params import RISK_HIGH
+from shelfwise.plans import current, kpis, temporality
+
+
+def optimized(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_top_lists_work_a_rule_out_once(spark, params):
+    rows = [(f"a{n}", n, RISK_HIGH if n % 2 else None if n % 4 else "Bajo") for n in range(8)]
+    base = spark.createDataFrame(rows, "articulo string, n int, risk string")
+    rule = F.when(F.sha2("articulo", 256) != "", F.col("risk"))
+    detail = base.withColumn("riesgo_mover_almacen", rule).select(
+        "articulo",
+        F.lit("t").alias("descripcion"),
+        "riesgo_mover_almacen",
+        F.lit("").alias("accion_recomendada"),
+        F.lit("").alias("peak_period_upcoming"),
+        F.col("n").cast("double").alias("months_to_next_peak"),
+        F.lit(1.0).alias("stock_actual_total"),
+        F.lit("A").alias("rotacion_final_ytd"),
+        F.lit(1).alias("lineas_pi_ytd"),
+    )
+    top = kpis.top_risk(detail, params)
+    assert [(r.puesto, r.articulo) for r in top.orderBy("puesto").collect()] == [(1, "a1"), (2, "a3"), (3, "a5"), (4, "a7")]
+    spark.conf.set("spark.sql.optimizer.excludedRules", "org.apache.spark.sql.catalyst.optimizer.ConvertToLocalRelation")
+    try:
+        assert optimized(kpis.top_risk(detail, params)).count("sha2(") == 1
+    finally:
+        spark.conf.unset("spark.sql.optimizer.excludedRules")
