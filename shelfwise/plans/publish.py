@@ -115,7 +115,7 @@ def publish_from(daily: DataFrame, stock: DataFrame, params: Params, target: Tar
 
     monthly = stage(temporality.monthly_actual(activity), "monthly")
     detail = stage(
-        decision.with_decision(temporality.temporality_detail(articles, monthly, params), params), "detail"
+        decision.with_decision(temporality.temporality_detail(articles, monthly.repartition("article_key"), params), params), "detail"
     )
     put(TEMPORALITY, temporality.temporality_article(detail, params))
     put(TEMPORALITY_MONTHS, temporality.temporality_monthly(detail, monthly, params))

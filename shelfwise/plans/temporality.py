@@ -68,55 +68,49 @@ def calendar_start(monthly: DataFrame) -> Column:
     return monthly.agg(F.min("mes")).scalar()
 
 
-def _profile(
-    actual: DataFrame, period: str, number: Column, lines: str, quantity: str, name: str
-) -> DataFrame:
-    """Per article, sums by month of the year (or quarter): at most 12 entries.
+def _profile(actual: DataFrame, cycle: int, number: Column, lines: str, quantity: str, name: str) -> DataFrame:
+    """Per article, sums by month of the year (or quarter): an array with an entry for each of the ``cycle``.
 
-    The input is partitioned by article, so both aggregations stay where they are.
+    One aggregate of fixed width, which hashes; the entry of a period without lines holds no sums.
     """
-    return (
-        actual.groupBy("article_key", number.alias("n"))
-        .agg(
-            F.sum(lines).alias("lineas"),
-            F.sum(quantity).alias("cantidad"),
-            F.count("*").alias("activos"),
-            F.max(lines).alias("max_lineas"),
-            F.max(quantity).alias("max_cantidad"),
-            F.sum(F.col(lines).cast("double") * F.col(lines)).alias("cuadrados"),
-        )
-        .groupBy("article_key")
-        .agg(
-            F.collect_list(F.struct("n", "lineas", "cantidad", "activos")).alias(f"perfil_{name}"),
-            F.sum("lineas").alias(f"lineas_{name}"),
-            F.sum("cantidad").alias(f"cantidad_{name}"),
-            F.sum("activos").alias(f"activos_{name}"),
-            F.max("max_lineas").alias(f"max_lineas_{name}"),
-            F.max("max_cantidad").alias(f"max_cantidad_{name}"),
-            F.sum("cuadrados").alias(f"cuadrados_{name}"),
-        )
+    entries = {}
+    for n in range(1, cycle + 1):
+        here = number == n
+        entries[n] = {
+            "lineas": F.sum(F.when(here, F.col(lines))),
+            "cantidad": F.sum(F.when(here, F.col(quantity))),
+            "activos": F.count(F.when(here, 1)),
+        }
+    sums = actual.groupBy("article_key").agg(
+        *[value.alias(f"_{kind}_{n}") for n, entry in entries.items() for kind, value in entry.items()],
+        F.sum(lines).alias(f"lineas_{name}"),
+        F.sum(quantity).alias(f"cantidad_{name}"),
+        F.count("*").alias(f"activos_{name}"),
+        F.max(lines).alias(f"max_lineas_{name}"),
+        F.max(quantity).alias(f"max_cantidad_{name}"),
+        F.sum(F.col(lines).cast("double") * F.col(lines)).alias(f"cuadrados_{name}"),
     )
+    structs = [F.struct(*[F.col(f"_{kind}_{n}").alias(kind) for kind in entry]) for n, entry in entries.items()]
+    kept = [column for column in sums.columns if not column.startswith("_")]
+    return sums.select(*kept, F.array(*structs).alias(f"perfil_{name}"))
 
 
 def article_history(monthly: DataFrame) -> DataFrame:
     """One row per article ever moved outbound: history, activity and both profiles.
 
-    One shuffle by article; no article has more rows than the calendar has months.
+    Of months that are partitioned by article nothing is shuffled; no article has more rows than the calendar has months.
     """
-    by_article = monthly.repartition("article_key")
-    history = by_article.groupBy("article_key").agg(
+    yearly = monthly.groupBy("article_key", F.year("mes").alias("year")).agg(
+        F.min("primera").alias("primera"), F.max("ultima").alias("ultima")
+    )
+    history = yearly.groupBy("article_key").agg(
         F.min("primera").alias("first_pi_date"),
         F.max("ultima").alias("last_pi_date"),
-        F.size(F.collect_set(F.year("mes"))).cast("bigint").alias("years_with_activity"),
+        F.count("year").alias("years_with_activity"),
     )
-    months = _profile(by_article, "mes", F.month("mes"), "lineas_pi_mes", "cantidad_pi_mes", "mes")
+    months = _profile(monthly, 12, F.month("mes"), "lineas_pi_mes", "cantidad_pi_mes", "mes")
     quarters = _profile(
-        quarterly_actual(by_article),
-        "trimestre",
-        F.quarter("trimestre"),
-        "lineas_pi_trimestre",
-        "cantidad_pi_trimestre",
-        "trimestre",
+        quarterly_actual(monthly), 4, F.quarter("trimestre"), "lineas_pi_trimestre", "cantidad_pi_trimestre", "trimestre"
     )
     return history.join(months, "article_key").join(quarters, "article_key")
 
@@ -125,43 +119,30 @@ def _dense_profile(entries: Column, first: Column, last: Column, cycle: int, yea
     """All periods of the year that the calendar holds, with means over their occurrences.
 
     ``first`` and ``last`` are the calendar's ends as running period numbers, so the number
-    of occurrences of a period is a difference of two floors.
+    of occurrences of a period is a difference of two floors. The entries are written out, without
+    lambdas: whatever they share is computed once a row.
     """
-    known = F.map_from_entries(
-        F.transform(
-            entries,
-            lambda e: F.struct(
-                e["n"].alias("key"),
-                F.struct(
-                    e["lineas"].alias("lineas"), e["cantidad"].alias("cantidad"), e["activos"].alias("activos")
-                ).alias("value"),
-            ),
-        )
-    )
-
-    def occurrences(n: Column) -> Column:
-        upto = F.floor((last - n + 1) / cycle)
-        before = F.floor((first - n) / cycle)
-        return upto - before
 
-    present = F.filter(F.sequence(F.lit(1), F.lit(cycle)), lambda n: occurrences(n) > 0)
-
-    def entry(n: Column) -> Column:
-        found = F.try_element_at(known, n)
+    def entry(n: int) -> Column:
+        occurrences = F.floor((last - n + 1) / cycle) - F.floor((first - n) / cycle)
+        found = entries[n - 1]
         lines = F.coalesce(found["lineas"], F.lit(0))
         quantity = F.coalesce(found["cantidad"], F.lit(0.0))
         active = F.coalesce(found["activos"], F.lit(0))
-        return F.struct(
-            n.alias("n"),
-            (lines / occurrences(n)).alias("lineas_media"),
-            (quantity / occurrences(n)).alias("cantidad_media"),
-            lines.alias("lineas_total"),
-            quantity.alias("cantidad_total"),
-            active.alias("activos"),
-            F.coalesce(safe_divide(active, years), F.lit(0.0)).alias("recurrencia"),
+        return F.when(
+            occurrences > 0,
+            F.struct(
+                F.lit(n).alias("n"),
+                safe_divide(lines, occurrences).alias("lineas_media"),
+                safe_divide(quantity, occurrences).alias("cantidad_media"),
+                lines.alias("lineas_total"),
+                quantity.alias("cantidad_total"),
+                active.alias("activos"),
+                F.coalesce(safe_divide(active, years), F.lit(0.0)).alias("recurrencia"),
+            ),
         )
 
-    return F.transform(present, entry)
+    return F.array_compact(F.array(*[entry(n) for n in range(1, cycle + 1)]))
 
 
 def _top(profile: Column, *order: str) -> Column:

@@ -40,3 +40,19 @@ def test_top_lists_work_a_rule_out_once(spark, params):
         assert optimized(kpis.top_risk(detail, params)).count("sha2(") == 1
     finally:
         spark.conf.unset("spark.sql.optimizer.excludedRules")
+
+
+def test_profiles_are_hashed_and_written_out(spark, params):
+    month = "article_key string, mes date, lineas_pi_mes bigint, cantidad_pi_mes double, primera timestamp_ntz, ultima timestamp_ntz"
+    days = [date(2024, 5, 1), date(2025, 5, 1), date(2025, 6, 1)]
+    monthly = spark.createDataFrame([("x", d, n + 1, 2.0, None, None) for n, d in enumerate(days)], month)
+    articles = spark.createDataFrame([("x",), ("y",)], "article_key string")
+    found = temporality.with_profiles(articles, monthly, params)
+    plan = optimized(found)
+    assert "collect_" not in plan and "map_from_entries" not in plan
+    rows = {r.article_key: r for r in found.collect()}
+    may = next(e for e in rows["x"].perfil_mes if e.n == 5)
+    assert (may.lineas_total, may.lineas_media, may.activos, may.recurrencia) == (3, 1.5, 2, 1.0)
+    assert [e.lineas_total for e in rows["x"].perfil_trimestre] == [0, 6, 0, 0]
+    assert (rows["x"].years_with_activity, rows["x"].activos_trimestre, rows["x"].max_lineas_trimestre) == (2, 2, 5)
+    assert [e.lineas_total for e in rows["y"].perfil_mes] == [0] * 12 and rows["y"].years_with_activity == 0
