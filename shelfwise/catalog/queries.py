@@ -17,7 +17,7 @@ from shelfwise.operators import metrics
 from shelfwise.operators.activity import daily_activity, inbound, line_activity, outbound, quarterly_activity, windowed_activity
 from shelfwise.operators.metrics import ARTICLE, OWNER_ARTICLE
 from shelfwise.operators.pareto import pareto
-from shelfwise.operators.reuse import keep
+from shelfwise.operators.reuse import by_article, keep
 from shelfwise.operators.rotation import stock_thresholds
 from shelfwise.plans import current, decision, kpis, layouts, quarterly, summaries, temporality
 from shelfwise.sources.movements import prepare_movements
@@ -79,7 +79,8 @@ class Inputs:
 
     @cached_property
     def windows(self) -> DataFrame:
-        return keep(windowed_activity(self.movements, self.params))
+        """Of articles alone, partitioned by them: what is made of it is not shuffled again."""
+        return keep(by_article(windowed_activity(self.movements, self.params, ARTICLE)))
 
     def current_owner(self, shares: bool = False) -> DataFrame:
         return current.current_owner_article(self.by_text, self.owner_held, self.params, shares)
@@ -98,7 +99,7 @@ class Inputs:
     @cached_property
     def monthly(self) -> DataFrame:
         # Read twice by every consumer: for the start of the calendar and for the sums.
-        return keep(temporality.monthly_actual(self.activity))
+        return keep(by_article(temporality.monthly_actual(self.activity)))
 
     @cached_property
     def profiles(self) -> DataFrame:

@@ -15,6 +15,9 @@ from shelfwise.functions.time import day_start, month_start, quarter_start
 from shelfwise.params import INBOUND, OUTBOUND, Params
 
 
+KEYS = ["owner_key", "article_key"]
+
+
 def outbound() -> Column:
     return F.col("tipo") == OUTBOUND
 
@@ -39,15 +42,14 @@ def line_activity(movements: DataFrame) -> DataFrame:
     )
 
 
-def _summed(movements: DataFrame, period: Column) -> DataFrame:
+def _summed(activity: DataFrame, period: Column, keys: list[str] = KEYS) -> DataFrame:
     """One row per key, type, period and text.
 
     The text is a grouping key, not an aggregate: all buffers stay fixed-width, so both sides
     of the shuffle hash instead of sort.
     """
     return (
-        line_activity(movements)
-        .groupBy("owner_key", "article_key", "tipo", period.alias("periodo"), "texto")
+        activity.groupBy(*keys, "tipo", period.alias("periodo"), "texto")
         .agg(
             F.sum("lineas").alias("lineas"),
             F.sum("cantidad").alias("cantidad"),
@@ -61,20 +63,27 @@ def _summed(movements: DataFrame, period: Column) -> DataFrame:
 
 def daily_activity(movements: DataFrame) -> DataFrame:
     """Daily sums: the compact base for a run that writes all tables."""
-    return _summed(movements, F.to_date("primera"))
+    return _summed(line_activity(movements), F.to_date("primera"))
+
+
+def window_text(params: Params) -> Column:
+    """The text of outbound lines in a window of the current tables. Nothing reads that of others: without it they add up."""
+    first = min(params.year_start, params.rolling_start)
+    return F.when(outbound() & (F.col("primera") >= day_start(first)), F.col("texto"))
 
 
-def windowed_activity(movements: DataFrame, params: Params) -> DataFrame:
-    """Sums per month, the month of the rolling window's first day cut in two: enough for the current tables of both
-    grains, whose windows begin with a year or that day, and for all of temporality."""
+def windowed_activity(movements: DataFrame, params: Params, keys: list[str] = KEYS) -> DataFrame:
+    """Outbound and inbound sums per month, the month of the rolling window's first day cut in two: enough for the current
+    tables of the grain of ``keys`` and above, whose windows begin with a year or that day, and for all of temporality."""
     rolling = F.col("primera") >= day_start(params.rolling_start)
-    return _summed(movements, F.struct(month_start(F.col("primera")).alias("mes"), rolling.alias("reciente")))
+    lines = line_activity(movements).where(outbound() | inbound()).withColumn("texto", window_text(params))
+    return _summed(lines, F.struct(month_start(F.col("primera")).alias("mes"), rolling.alias("reciente")), keys)
 
 
 def quarterly_activity(movements: DataFrame) -> DataFrame:
     """Sums per quarter: enough for the quarterly tables, whose windows are quarters, and for
     the dimensions, which have none."""
-    return _summed(movements, quarter_start(F.col("primera")))
+    return _summed(line_activity(movements), quarter_start(F.col("primera")))
 
 
 def first_text(row: str = "fila", text: str = "texto") -> Column:

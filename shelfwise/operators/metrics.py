@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import filled_text, strip
 from shelfwise.functions.time import day_start, within
-from shelfwise.operators.activity import first_text, inbound, outbound
+from shelfwise.operators.activity import KEYS, first_text, inbound, outbound, window_text
 from shelfwise.params import Params
 
-OWNER_ARTICLE = ["owner_key", "article_key"]
+OWNER_ARTICLE = KEYS
 ARTICLE = ["article_key"]
 
 
@@ -66,7 +66,8 @@ def last_pi(activity: DataFrame, keys: list[str], past: date) -> DataFrame:
 def text_sums(activity: DataFrame, params: Params) -> DataFrame:
     """Everything the current tables need from the log, in one pass over it, per owner, article and text.
 
-    The base of both grains: all of its columns can be merged further. A frame that is such a base already is returned.
+    The base of both grains, or of the article's if ``activity`` has no owners: all of its columns can be merged further.
+    A frame that is such a base already is returned.
     """
     if "lineas_pi_ytd" in activity.columns:
         return activity
@@ -76,7 +77,8 @@ def text_sums(activity: DataFrame, params: Params) -> DataFrame:
     def only(condition: Column, name: str) -> Column:
         return F.when(condition, F.col(name))
 
-    return activity.where(outbound() | inbound()).groupBy(*OWNER_ARTICLE, "texto").agg(
+    keys = [key for key in OWNER_ARTICLE if key in activity.columns]
+    return activity.where(outbound() | inbound()).groupBy(*keys, window_text(params).alias("texto")).agg(
         F.sum(only(ytd, "lineas")).alias("lineas_pi_ytd"),
         F.sum(only(ytd, "cantidad")).alias("cantidad_pi_ytd"),
         F.max(only(ytd, "ultima")).alias("ultima_pi_ytd"),

@@ -19,6 +19,12 @@ def keep(frame: DataFrame) -> DataFrame:
     return kept
 
 
+def by_article(frame: DataFrame) -> DataFrame:
+    """The frame, partitioned by article. With an explicit count the partitions stay as they are cut also when kept."""
+    count = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(count, "article_key")
+
+
 def release(spark: SparkSession) -> None:
     """Let go of everything that was kept in this session."""
     for frame in [f for f in _kept if f.sparkSession is spark]:

@@ -18,6 +18,30 @@ def optimized(frame):
     return frame._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_texts_that_no_table_reads_do_not_cut_the_sums(world, params):
+    """Two old texts, two of inbound lines and a line of another type: two rows, and one for each text of this year."""
+    moves = [
+        ("PI", "2024-05-02", "x", "a", 1.0, "1"),
+        ("PI", "2024-05-03", "x", "b", 2.0, "2"),
+        ("CR", "2026-03-01", "x", "a", 3.0, "1"),
+        ("CR", "2026-03-02", "x", "b", 4.0, "1"),
+        ("XX", "2026-03-02", "x", "b", 5.0, "1"),
+        ("PI", "2026-02-01", "x", "c", 6.0, "1"),
+        ("PI", "2026-02-01", "x", "b", 7.0, "2"),
+    ]
+    w = world(moves, [("One", "1", "x", None, 1.0, "L1")])
+    sums = windowed_activity(w.movements, params, ARTICLE)
+    assert sorted((r.tipo, r.texto, r.lineas, r.cantidad) for r in sums.where("texto IS NOT NULL").collect()) == [
+        ("PI", "b", 1, 7.0),
+        ("PI", "c", 1, 6.0),
+    ]
+    assert sorted((r.tipo, r.lineas, r.cantidad) for r in sums.where("texto IS NULL").collect()) == [("CR", 2, 7.0), ("PI", 2, 3.0)]
+    assert text_sums(w.activity, params).where("texto IS NOT NULL").count() == 2
+    for base in (sums, w.activity):
+        row = current.current_article(base, w.by_article, params).first()
+        assert (row.descripcion, row.lineas_pi_ytd, row.lineas_cr_historico) == ("c", 2, 2)
+
+
 def test_top_lists_work_a_rule_out_once(spark, params):
     rows = [(f"a{n}", n, RISK_HIGH if n % 2 else None if n % 4 else "Bajo") for n in range(8)]
     base = spark.createDataFrame(rows, "articulo string, n int, risk string")
