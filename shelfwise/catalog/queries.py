@@ -488,12 +488,14 @@ def _(i):
 
 @query("detail_30d_article", " ".join(layouts.ROLLING_ARTICLE))
 def _(i):
-    return current.rolling_detail(current.rotation(i.activity, i.article_stock, current.BY_ARTICLE, i.params), current.BY_ARTICLE)
+    rolling = current.rotation(i.activity, i.article_stock, current.BY_ARTICLE, i.params, horizons=("30d",))
+    return current.rolling_detail(rolling, current.BY_ARTICLE)
 
 
 @query("detail_30d_owner_article", " ".join(layouts.ROLLING_OWNER_ARTICLE))
 def _(i):
-    return current.rolling_detail(current.rotation(i.activity, i.owner_stock, current.BY_OWNER, i.params), current.BY_OWNER)
+    rolling = current.rotation(i.activity, i.owner_stock, current.BY_OWNER, i.params, horizons=("30d",))
+    return current.rolling_detail(rolling, current.BY_OWNER)
 
 
 # --- quarterly ---------------------------------------------------------------------------------

@@ -67,18 +67,55 @@ def _pivoted(placed: DataFrame, measures: list[Measure], by: list[str], columns:
     return placed.groupBy(*by).agg(*picked)
 
 
+def _ranked_by_one(rows: DataFrame, params: Params, order: list[Column], measure: Measure, partition: list[str]) -> DataFrame:
+    """The ranking by one measure: rows that need a place are put in order whole, so nothing is joined back to them."""
+    rows, lines = keep(rows), F.col(measure.lines)
+    cells = rows.withColumns({"_lines": lines, "_quantity": F.col(measure.quantity)})
+    moved = F.coalesce(lines > 0, F.lit(False))
+    nowhere = {name: F.lit(None).cast("bigint") for name in ("_before", "_total")}
+    if measure.cumulative:
+        by_lines = [F.col("_lines").desc(), *order]
+        placed = running_total(cells.where(moved), "_lines", by_lines, partition, "_before", "_total")
+        found = placed.unionByName(cells.where(~moved).withColumns(nowhere))
+    else:
+        counted = cells.where(moved).withColumn("_measure", F.lit(0))
+        last = F.col("_from") + (F.col("_n") - 1) * F.col("_lines")
+        split = _class(F.col("_from"), F.col("_total"), params) != _class(last, F.col("_total"), params)
+        histogram = _histogram(counted, partition).drop("_measure").withColumn("_split", split)
+        known = cells.join(F.broadcast(histogram), [*partition, "_lines"], "left").drop("_n")
+        cut = F.coalesce("_split", F.lit(False))
+        inner = running_total(known.where(cut), "_lines", order, [*partition, "_lines"], "_inside", "_held").drop("_held")
+        rest = known.where(~cut).withColumn("_inside", F.lit(0).cast("bigint"))
+        found = inner.unionByName(rest).withColumn("_before", F.col("_from") + F.col("_inside"))
+    return _with_classes(found, rows.columns, params, [(measure, F.col("_before"), F.col("_total"))])
+
+
+def _with_classes(found: DataFrame, kept: list[str], params: Params, places: list[tuple[Measure, Column, Column]]) -> DataFrame:
+    """The columns of every measure, from the lines before a row and the lines of all."""
+    columns = {}
+    for m, before, total in places:
+        moved = F.col(m.lines) > 0
+        columns[m.rotation] = F.when(~moved, "D").otherwise(_class(before, total, params))
+        columns[m.share] = F.when(moved, F.col(m.lines) / total).otherwise(0.0)
+        if m.cumulative:
+            columns[m.cumulative] = F.when(moved, (before + F.col(m.lines)) / total).otherwise(0.0)
+    return found.select(*kept, *[value.alias(name) for name, value in columns.items()])
+
+
 def ranked(rows: DataFrame, params: Params, keys: list[str], measures: list[Measure], partition: list[str] | None = None) -> DataFrame:
     """Add the columns of every measure to ``rows``, which hold each key once per partition.
 
     Classes come from a histogram of lines: rows with one number of lines are of one class, but where a limit falls
     among them. Only those are put in order, and nothing of the others is shuffled: they meet the histogram where they
     are. A cumulative share depends on every row's place; a measure that asks for it has its keys, lines and
-    quantities ordered whole, and only places come back.
+    quantities ordered whole, and only places come back. With one measure the rows themselves are ordered.
     """
     partition = partition or []
     by = list(dict.fromkeys([*keys, *partition]))
-    rows = keep(rows)
     order = [F.col("_quantity").desc(), *[F.col(key).asc() for key in keys]]
+    if len(measures) == 1:
+        return _ranked_by_one(rows, params, order, measures[0], partition)
+    rows = keep(rows)
     cells = _cells(rows, measures, keys, partition)
     placed, exact = [], [n for n, m in enumerate(measures) if m.cumulative]
     if exact:
@@ -99,7 +136,7 @@ def ranked(rows: DataFrame, params: Params, keys: list[str], measures: list[Meas
     for k, part in enumerate(placed):
         own = _pivoted(part, measures, by, ["_before", "_total"])
         found = found.join(own.select(*by, *[F.col(c).alias(f"{c}_{k}") for c in own.columns if c not in by]), by, "left")
-    columns = {}
+    places = []
     for n, m in enumerate(measures):
         names = {c: [F.col(f"_{c}_{n}_{k}") for k in range(len(placed))] for c in ("before", "total")}
         if n not in exact:
@@ -109,12 +146,8 @@ def ranked(rows: DataFrame, params: Params, keys: list[str], measures: list[Meas
             found = found.join(F.broadcast(own), [*partition, m.lines], "left")
             names["before"].append(F.col(f"_from_{n}"))
             names["total"].append(F.col(f"_all_{n}"))
-        before, total, moved = F.coalesce(*names["before"]), F.coalesce(*names["total"]), F.col(m.lines) > 0
-        columns[m.rotation] = F.when(~moved, "D").otherwise(_class(before, total, params))
-        columns[m.share] = F.when(moved, F.col(m.lines) / total).otherwise(0.0)
-        if m.cumulative:
-            columns[m.cumulative] = F.when(moved, (before + F.col(m.lines)) / total).otherwise(0.0)
-    return found.select(*rows.columns, *[value.alias(name) for name, value in columns.items()])
+        places.append((m, F.coalesce(*names["before"]), F.coalesce(*names["total"])))
+    return _with_classes(found, rows.columns, params, places)
 
 
 def pareto(

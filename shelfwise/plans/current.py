@@ -54,10 +54,12 @@ BY_ARTICLE = Grain(
 HORIZONS = {"ytd": RECENT_YTD, "30d": RECENT_30D}
 
 
-def classified_metrics(activity: DataFrame, keys: list[str], params: Params, shares: bool) -> DataFrame:
-    """Log metrics of every key ever moved, ranked by year-to-date and by rolling lines.
+def classified_metrics(
+    activity: DataFrame, keys: list[str], params: Params, shares: bool, horizons: tuple[str, ...] = tuple(HORIZONS)
+) -> DataFrame:
+    """Log metrics of every key ever moved, ranked by the lines of each horizon.
 
-    Both rankings are over all keys with outbound lines, whether in stock or not. Without ``shares``
+    The rankings are over all keys with outbound lines, whether in stock or not. Without ``shares``
     the cumulative ones are left out, and with them the order of all keys.
     """
     measures = [
@@ -68,19 +70,23 @@ def classified_metrics(activity: DataFrame, keys: list[str], params: Params, sha
             f"porcentaje_lineas_pi_{name}",
             f"porcentaje_acumulado_pi_{name}" if shares else None,
         )
-        for name in HORIZONS
+        for name in horizons
     ]
-    return ranked(key_metrics(text_sums(activity, params), keys), params, keys, measures)
+    found = key_metrics(text_sums(activity, params), keys)
+    others = [name for name in found.columns for other in HORIZONS if other not in horizons and name.endswith(f"_{other}")]
+    return ranked(found.drop(*others), params, keys, measures)
 
 
-def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params, shares: bool = True) -> DataFrame:
-    """Stock keys with their log metrics, final classes and criteria for both horizons.
+def rotation(
+    activity: DataFrame, stock: DataFrame, grain: Grain, params: Params, shares: bool = True, horizons: tuple[str, ...] = tuple(HORIZONS)
+) -> DataFrame:
+    """Stock keys with their log metrics, final classes and criteria for the horizons.
 
     ``activity`` may be the log's ``text_sums``, from which both grains are made.
     """
-    found = stock.join(classified_metrics(activity, grain.keys, params, shares), grain.keys, "left")
+    found = stock.join(classified_metrics(activity, grain.keys, params, shares, horizons), grain.keys, "left")
     zeros = {"lineas_cr_historico": 0, "cantidad_cr_historico": 0.0}
-    for horizon in HORIZONS:
+    for horizon in horizons:
         zeros |= {
             f"lineas_pi_{horizon}": 0,
             f"cantidad_pi_{horizon}": 0.0,
@@ -92,7 +98,8 @@ def rotation(activity: DataFrame, stock: DataFrame, grain: Grain, params: Params
 
     day = F.lit(params.snapshot)
     new = {"dias_desde_ultima_cr": days_since(day, F.col("ultima_cr"))}
-    for horizon, recent_text in HORIZONS.items():
+    for horizon in horizons:
+        recent_text = HORIZONS[horizon]
         lines = F.col(f"lineas_pi_{horizon}")
         recent = recent_arrival(lines, F.col("ultima_cr"), day, params)
         final = final_class(F.col(f"rotacion_abc_{horizon}"), lines, recent, recent_text)

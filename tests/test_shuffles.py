@@ -80,3 +80,24 @@ def test_profiles_are_hashed_and_written_out(spark, params):
     assert [e.lineas_total for e in rows["x"].perfil_trimestre] == [0, 6, 0, 0]
     assert (rows["x"].years_with_activity, rows["x"].activos_trimestre, rows["x"].max_lineas_trimestre) == (2, 2, 5)
     assert [e.lineas_total for e in rows["y"].perfil_mes] == [0] * 12 and rows["y"].years_with_activity == 0
+
+
+def test_one_measure_joins_no_rows_back(spark, params):
+    rows = spark.createDataFrame([(f"k{n}", 1 + n % 3 if n else 0, float(n)) for n in range(30)], "k string, l bigint, q double")
+    for cumulative in ("c", None):
+        found = pareto(rows, params, ["k"], "l", "q", "r", "s", cumulative)
+        # Only totals and histograms are joined, which are broadcast: the rows themselves are not.
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and found.count() == 30
+        assert [r.r for r in found.where("k = 'k0'").collect()] == ["D"]
+    left, right = (pareto(rows, params, ["k"], "l", "q", "r", "s", c).select("k", "r", "s") for c in ("c", None))
+    assert left.exceptAll(right).isEmpty()
+
+
+def test_thirty_days_rank_by_thirty_days_only(spark):
+    i = Inputs(spark, SMALL)
+    rolling = current.rotation(i.activity, i.owner_stock, current.BY_OWNER, i.params, horizons=("30d",))
+    whole = current.rotation(i.activity, i.owner_stock, current.BY_OWNER, i.params)
+    assert not [name for name in rolling.columns if "ytd" in name]
+    left, right = (current.rolling_detail(frame, current.BY_OWNER) for frame in (rolling, whole))
+    assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
