@@ -73,7 +73,10 @@ def shaped(frame: DataFrame, columns: list[str]) -> DataFrame:
     def cell(name: str) -> str:
         kind = kind_of(name)
         value = f"CAST({name} AS {kind})"
-        return f"round({value}, {DECIMALS}) AS {name}" if kind == "double" else f"{value} AS {name}"
+        if kind == "double":
+            # Rounding makes a decimal of every number; a whole one, as most are, needs none (and no minus before a 0).
+            value = f"CASE WHEN {value} = rint({value}) THEN {value} + 0.0D ELSE round({value}, {DECIMALS}) END"
+        return f"{value} AS {name}"
 
     return frame.selectExpr(*[cell(name) for name in columns])
 

@@ -101,3 +101,12 @@ def test_thirty_days_rank_by_thirty_days_only(spark):
     assert not [name for name in rolling.columns if "ytd" in name]
     left, right = (current.rolling_detail(frame, current.BY_OWNER) for frame in (rolling, whole))
     assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def test_whole_numbers_are_not_rounded(spark):
+    values = [0.0, -0.0, 5.0, 1e20, 0.123456789012, -2.00000000006, float("nan"), float("inf"), None]
+    frame = spark.createDataFrame([(v,) for v in values], "cantidad double")
+    found = shaped(frame, ["cantidad"])
+    assert "rint" in optimized(shaped(spark.range(3).selectExpr("id / 3 AS cantidad"), ["cantidad"]))
+    plain = frame.selectExpr("round(cantidad, 10) AS cantidad")
+    assert [str(r[0]) for r in found.collect()] == [str(r[0]) for r in plain.collect()]
