@@ -15,9 +15,9 @@ import regex
 from pyspark.sql import DataFrame
 
 from shelfwise.llm.common import table
-from shelfwise.llm.kernels import pieces
+from shelfwise.llm.kernels import lean, pieces
 
-#: Words a worker remembers; beyond that it starts anew, which costs time only.
+#: Words a task remembers; beyond that it starts anew, which costs time only.
 REMEMBERED = 400_000
 #: Bytes up to which words are merged side by side.
 SHORT = 64
@@ -297,6 +297,10 @@ class WordBpe:
             own = [i for p in ps for i in ids[p]]
             self.words[c] = (np.array(own, dtype="<u4").tobytes(), " ".join(self.text[i] for i in own))
 
+    def forget(self) -> None:
+        """Ends a task: the worker keeps the tables, but not the words, which take several times as much memory."""
+        self.words = {}
+
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and the decoded text; null is empty."""
         split = []
@@ -357,8 +361,9 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, batch_b
                     [*part.columns, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([g[1] for g in got], pa.string())],
                     names=[*names, "n_tokens", "ids", "decoded"],
                 )
+        model.forget()
 
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
+    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(lean(run), schema)
 
 
 def encoded_parts(batch: pa.RecordBatch, text: str, model: WordBpe, limit: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes, str]]]]:
@@ -384,6 +389,7 @@ def query(spark, sf_dir: str) -> DataFrame:
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        model.forget()
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.mapInArrow(lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

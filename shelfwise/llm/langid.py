@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import table
-from shelfwise.llm.kernels import FOLD, pieces
+from shelfwise.llm.kernels import FOLD, lean, pieces
 
 #: Dimensions that grams of 1 to 3 bytes hash into.
 DIMENSIONS = 4096
@@ -88,7 +88,7 @@ def _holding(rows: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMENSIONS, dtype=np.int32)), pa.array(n)], names=["d", "n"])
 
     out = np.zeros(DIMENSIONS, dtype=np.int64)
-    for r in rows.select("text").mapInArrow(count, "d int, n long").groupBy("d").agg(F.sum("n").alias("n")).collect():
+    for r in rows.select("text").mapInArrow(lean(count), "d int, n long").groupBy("d").agg(F.sum("n").alias("n")).collect():
         out[r["d"]] = r["n"]
     return out
 
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
                 vectors = [x.tobytes() for x in counts.astype(np.float16)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(vectors, pa.binary())], names=["lang", "vector"])
 
-    found = sorted((r["lang"], bytes(r["vector"])) for r in picked.mapInArrow(count, "lang string, vector binary").collect())
+    found = sorted((r["lang"], bytes(r["vector"])) for r in picked.mapInArrow(lean(count), "lang string, vector binary").collect())
     x = np.stack([np.frombuffer(v, dtype=np.float16).astype(np.float32) for _, v in found])
     idf = np.log((1 + sum(sizes.values())) / (1 + _holding(rows))).astype(np.float32) + 1
     x = _unit(x * idf)
@@ -154,7 +154,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(found, pa.string()), pa.array(score), pa.array(rejected)], names=[*names, *new])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, rejected boolean"])
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
+    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(lean(run), schema)
 
 
 def held_out() -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import repeats
 from shelfwise.llm.common import Scratch, components, few, table
-from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, mix, pieces, prefix, span_hash, word_spans
+from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, give_back, mix, pieces, prefix, span_hash, word_spans
 
 #: Words of an n-gram; similarity in hundredths.
 WORDS, PERCENT = 5, 80
@@ -72,6 +72,7 @@ def incidence(docs: DataFrame, doc_id: str, text: str, scratch: Scratch, percent
     bits = repeats.shared(of_blocks, n_blocks, lambda texts: (g for *_, g in ngram_sets(texts)))
 
     def mark(group: pa.Table, found: pa.Table) -> pa.Table:
+        give_back()
         levels = repeats.read_levels(found)
         u, _ = repeats.distinct(g for *_, g in ngram_sets(group.column("text")))
         out = []

@@ -14,6 +14,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.kernels import give_back
+
 #: Bytes of text of a block, on average; one longer text is a block's part whole.
 BLOCK_BYTES = 4 << 20
 
@@ -47,6 +49,7 @@ def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes) -> DataFrame:
     b = _bits(n_blocks)
 
     def send(group: pa.Table) -> pa.Table:
+        give_back()  # what groups and stages before have left
         u, count = distinct(hashes(group.column("text")))
         cuts = np.searchsorted(u >> np.uint64(64 - b), np.arange((1 << b) + 1).astype(np.uint64))
         value = ((u << np.uint64(b)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]

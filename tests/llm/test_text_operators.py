@@ -404,6 +404,21 @@ def test_bpe_equals_the_library(spark, odd, small_docs):
     assert one.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
 
 
+def test_bpe_workers_forget_their_words(spark):
+    """Workers are handed on to the next stage, whose tasks need the memory."""
+    texts = spark.range(4000, numPartitions=8).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 40), i -> concat('word', id * 40 + i))) AS text")
+    assert bpe.encode(texts).where("n_tokens > 40").count() == 4000
+
+    def remembered(batches):
+        from shelfwise.llm import bpe as there  # the worker's own, not a copy of this process's
+
+        list(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([len(m.words) for m in there._models.values()], pa.int64())], names=["n"])
+
+    found = [r.n for r in spark.range(8, numPartitions=8).mapInArrow(remembered, "n long").collect()]
+    assert found and not any(found)
+
+
 def test_bpe_knows_the_library_s_letters():
     from tokenizers import Tokenizer
 
