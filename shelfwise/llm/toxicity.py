@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.common import Scratch, few, table
-from shelfwise.llm.kernels import ALNUM, FOLD, mix, pieces, prefix, span_hash, word_spans
+from shelfwise.llm.kernels import ALNUM, FOLD, lean, mix, pieces, prefix, span_hash, word_spans
 
 #: Bytes of a word that a step looks back on.
 DEPTH = 10
@@ -25,6 +26,10 @@ FIT_ROWS = 6_000
 THRESHOLD = 0.7
 #: Bytes of text that share a dictionary; log-likelihood ratios are summed as whole numbers of 1 / UNIT.
 PIECE, UNIT = 1 << 22, 1 << 20
+#: Bytes of text whose words share a bucket, and rows of a model that share a range, on average.
+BUCKET, RANGE_ROWS = 1 << 24, 1 << 18
+#: Stands for a ratio that is not there.
+UNSEEN = np.iinfo(np.int32).min
 #: Discount of the lower order; weight of byte pairs never seen.
 LOW_DISCOUNT, RARE = 0.75, 0.1
 #: Stands for a byte beyond either end of a word.
@@ -50,11 +55,7 @@ def _dictionaries(texts: pa.Array) -> Iterator[tuple[int, int, pa.Array, np.ndar
         place[order] = np.arange(len(first))
         cell = np.sort(row * max(len(first), 1) + place[back])
         first = first[order]
-        size = end[first] - start[first]
-        stop = np.cumsum(size)
-        flat = code[np.repeat(start[first] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
-        offsets = np.concatenate([[0], stop]).astype(np.int32)
-        words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+        words = _cut_out(code, start[first], end[first])
         yield a, b, words, cell // max(len(first), 1), cell % max(len(first), 1)
 
 
@@ -193,9 +194,11 @@ class Model:
     def ratios(self, words: DataFrame, names: list[str], scratch: Scratch) -> DataFrame:
         """(w, *names): the sum over a word's steps. `words` (w, word) are distinct; w, a hash, tells them apart.
 
-        Words in order are cut into blocks; a block looks up each of its steps once.
+        Words in order are cut into blocks; a block looks up each of its steps once. It sends its steps, in order and
+        packed, to ranges of the table, which send packed ratios back.
         """
         away = [_away(m) for m in names]
+        bits = _bits(self.table.count() / RANGE_ROWS)
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = TaskContext.get().partitionId() << 32
@@ -210,43 +213,60 @@ class Model:
             for batch in batches:
                 for block, words in zip(batch.column(0), batch.column(1), strict=True):
                     keys = _keys(*_steps(words.values)[1:3])
-                    yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(keys), pa.int64()), pa.array(np.arange(len(keys))), pa.array(keys)], names=["of", "place", "h"])
+                    to, cuts = _cuts(keys, bits)
+                    data = [_pack(keys[a:b]) for a, b in cuts]
+                    yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(to), pa.int64()), pa.array(to, pa.int32()), pa.array(data, pa.binary())], names=["of", "range", "data"])
+
+        def tell(left: pa.Table, right: pa.Table) -> pa.Table:
+            h = right.column("h").to_numpy().view(np.uint64)
+            order, out = np.argsort(h), []
+            h = np.append(h[order], np.uint64(0))
+            values = [right.column(c).fill_null(UNSEEN if c in names else 0).to_numpy()[order] for c in (*names, *away)]
+            values = [np.append(v, 0).astype(np.int32) for v in values]
+            for data in left.column("data").to_pylist():
+                keys = _unpack(data, np.uint64)
+                at = np.searchsorted(h[:-1], keys)
+                hit = (h[at] == keys) & (at < len(order))
+                out.append(_pack(np.concatenate([np.where(hit, v[at], UNSEEN if i < len(names) else 0).astype(np.int32) for i, v in enumerate(values)])))
+            return pa.table({"of": left.column("of"), "range": left.column("range"), "data": pa.array(out, pa.binary())})
 
         blocks = scratch.put(_in_order(words.select("w", "word")).mapInArrow(cut, "block long, w array<long>, words array<binary>"))
-        asked = blocks.select("block", "words").mapInArrow(ask, "of long, place long, h long")
-        told = asked.join(self.table.select("h", *names, *away), "h").select("of", "place", *names, *away)
+        asked = blocks.select("block", "words").mapInArrow(ask, "of long, range int, data binary")
+        ranges = self.table.select(_top("h", bits).alias("range"), "h", *names, *away)
+        told = scratch.put(asked.groupBy("range").cogroup(ranges.groupBy("range")).applyInArrow(tell, "of long, range int, data binary"))
 
         def add(left: pa.Table, right: pa.Table) -> pa.Table:
             words = left.column("words").combine_chunks().flatten()
             at, own, back, _ = _steps(words)
             keys = _keys(own, back)
-            own, back, place = np.searchsorted(keys, own), np.searchsorted(keys, back), right.column("place").to_numpy()
+            own, back = np.searchsorted(keys, own.view(np.uint64)), np.searchsorted(keys, back.view(np.uint64))
+            values = [_unpack(data, np.int32).reshape(2 * len(names), -1) for _, data in _by(right, "range")]
+            values = np.concatenate([np.zeros((2 * len(names), 0), np.int32), *values], axis=1).astype(np.int64)
             out = {"w": left.column("w").combine_chunks().flatten()}
-            for m in names:
-                step, new, known = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-                values = right.column(m)
-                known[place] = values.is_valid().to_numpy()
-                step[place] = values.fill_null(0).to_numpy()
-                new[place] = right.column(_away(m)).fill_null(0).to_numpy()
+            for i, m in enumerate(names):
+                step, new = values[i], values[len(names) + i]
                 total = np.zeros(len(words), np.int64)
-                np.add.at(total, at, np.where(known[own], step[own], new[back]))
+                np.add.at(total, at, np.where(step[own] != UNSEEN, step[own], new[back]))
                 out[m] = pa.array(total)
             return pa.table(out)
 
         ddl = ", ".join(["w long", *(f"{m} long" for m in names)])
-        summed = blocks.select("block", "w", "words").groupBy("block").cogroup(told.groupBy("of")).applyInArrow(add, ddl)
-        out = scratch.put(summed)
+        out = scratch.put(blocks.groupBy("block").cogroup(told.groupBy("of")).applyInArrow(add, ddl))
         scratch.drop(blocks)
-        return out.groupBy("w").agg(*(F.max(m).alias(m) for m in names))
+        scratch.drop(told)
+        return out
 
     def apply(self, docs: DataFrame, text: str, names: list[str], finish: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str, scratch: Scratch) -> DataFrame:
         """The columns of `docs` but the text, and those that `finish` makes of the features by each of `names`.
 
-        Documents are cut into pieces with a dictionary each. Distinct words of all dictionaries get their ratios once,
-        and each piece gets those of its own words. No text is shuffled, only which words of its dictionary it has.
+        Documents are cut into pieces with a dictionary each. A piece sends the words of its dictionary, in order and
+        packed, to buckets of words; there distinct words of all pieces get their ratios once, and each piece gets those
+        of its own words back. No text is shuffled, only which words of its dictionary it has.
         """
         fields = [f for f in docs.schema.fields if f.name != text]
         rest = [f"c{i}" for i in range(len(fields))]
+        given = docs.select(F.col(f"`{text}`").alias("text"), *(F.col(f"`{f.name}`").alias(c) for f, c in zip(fields, rest, strict=True)))
+        bits = _bits((given.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) / BUCKET)
 
         def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             piece = TaskContext.get().partitionId() << 32
@@ -255,47 +275,124 @@ class Model:
                     gap = np.diff(word, prepend=0)
                     starts = np.flatnonzero(np.diff(row, prepend=-1))
                     gap[starts] = word[starts]
-                    n = np.bincount(row, minlength=b - a).astype(np.int32)
-                    held = zstandard.compress(n.tobytes() + gap.astype(_width(len(words))).tobytes(), 3)
+                    place, sent = _sent(words, bits)
+                    held = [_pack(np.bincount(row, minlength=b - a).astype(np.int32)), _pack(gap.astype(_width(len(words)))), _pack(place.astype(_width(len(words))))]
                     own, sink = batch.slice(a, b - a).select(rest), pa.BufferOutputStream()
                     with pa.ipc.new_stream(sink, own.schema) as out:
                         out.write_batch(own)
-                    listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-                    row_of = [pa.array([piece]), pa.array([b - a]), pa.array([held]), pa.array([zstandard.compress(sink.getvalue().to_pybytes(), 3)]), listed]
-                    yield pa.RecordBatch.from_arrays(row_of, names=["piece", "size", "held", "rest", "words"])
+                    row_of = [pa.array([piece]), *(pa.array([x]) for x in held), pa.array([zstandard.compress(sink.getvalue().to_pybytes(), 3)]), pa.array([sent], pa.list_(pa.binary()))]
+                    yield pa.RecordBatch.from_arrays(row_of, names=["piece", "n", "gap", "place", "rest", "sent"])
                     piece += 1
 
-        given = docs.select(F.col(f"`{text}`").alias("text"), *(F.col(f"`{f.name}`").alias(c) for f, c in zip(fields, rest, strict=True)))
-        indexed = scratch.put(given.mapInArrow(index, "piece long, size long, held binary, rest binary, words array<binary>"))
-        listed = indexed.select("piece", F.posexplode("words").alias("place", "word")).withColumn("w", F.xxhash64("word"))
-        ratios = self.ratios(listed.select("w", "word").distinct(), names, scratch)
-        valued = listed.select(F.col("piece").alias("of"), "place", "w").join(ratios, "w").select("of", "place", *names)
+        indexed = scratch.put(given.mapInArrow(lean(index), "piece long, n binary, gap binary, place binary, rest binary, sent array<binary>"))
+        sent = indexed.select("piece", F.posexplode("sent").alias("bucket", "data")).where("length(data) > 0")
+
+        def unite(group: pa.Table) -> pa.Table:
+            code, start, end, w, _ = _received(group.column("data").to_pylist())
+            w, first = np.unique(w, return_index=True)
+            return pa.table({"w": pa.array(w.view(np.int64)), "word": _cut_out(code, start[first], end[first])})
+
+        def reply(left: pa.Table, right: pa.Table) -> pa.Table:
+            *_, w, cuts = _received(left.column("data").to_pylist())
+            order = np.argsort(right.column("w").to_numpy().view(np.uint64))
+            at = np.searchsorted(right.column("w").to_numpy().view(np.uint64)[order], w)
+            values = np.stack([right.column(m).to_numpy()[order][at] for m in names])
+            data = [_pack(values[:, a:b].ravel()) for a, b in zip(cuts, cuts[1:], strict=False)]
+            return pa.table({"of": left.column("piece"), "bucket": left.column("bucket"), "data": pa.array(data, pa.binary())})
+
+        ratios = self.ratios(sent.groupBy("bucket").applyInArrow(unite, "w long, word binary"), names, scratch)
+        valued = ratios.select(_top("w", bits).alias("bucket"), "w", *names)
+        valued = scratch.put(sent.groupBy("bucket").cogroup(valued.groupBy("bucket")).applyInArrow(reply, "of long, bucket int, data binary"))
+        scratch.drop(ratios)
 
         def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-            size, raw = left.column("size")[0].as_py(), zstandard.decompress(left.column("held")[0].as_py())
-            n = np.frombuffer(raw, np.int32, size).astype(np.int64)
-            gap = np.frombuffer(raw, _width(right.num_rows), offset=4 * size).astype(np.int64)
-            row, word = np.repeat(np.arange(size), n), np.cumsum(gap)
+            n = _unpack(left.column("n")[0].as_py(), np.int32).astype(np.int64)
+            values = [_unpack(data, np.int64).reshape(len(names), -1) for _, data in _by(right, "bucket")]
+            values = np.concatenate([np.zeros((len(names), 0), np.int64), *values], axis=1)
+            width = _width(values.shape[1])
+            gap, place = (_unpack(left.column(c)[0].as_py(), width).astype(np.int64) for c in ("gap", "place"))
+            row, word = np.repeat(np.arange(len(n)), n), np.cumsum(gap)
             first = (np.cumsum(n) - n)[n > 0]
             word -= np.repeat(word[first] - gap[first], n[n > 0])
-            place, x = right.column("place").to_numpy(), []
-            for m in names:
-                ratio = np.zeros(right.num_rows, np.int64)
-                ratio[place] = right.column(m).to_numpy()
+            x = []
+            for own in values:
+                ratio = np.zeros(len(own), np.int64)
+                ratio[place] = own
                 x += _features(n, row, ratio[word])
             own = pa.ipc.open_stream(zstandard.decompress(left.column("rest")[0].as_py())).read_all()
-            for name, values in finish(np.stack(x, axis=1)).items():
-                own = own.append_column(name, pa.array(values))
+            for name, found in finish(np.stack(x, axis=1)).items():
+                own = own.append_column(name, pa.array(found))
             return own
 
-        sides = indexed.select("piece", "size", "held", "rest").groupBy("piece").cogroup(valued.groupBy("of"))
+        sides = indexed.select("piece", "n", "gap", "place", "rest").groupBy("piece").cogroup(valued.groupBy("of"))
         ddl = ", ".join([*(f"{c} {f.dataType.simpleString()}" for f, c in zip(fields, rest, strict=True)), schema])
         out = sides.applyInArrow(put_together, ddl)
         return out.select(*(F.col(c).alias(f.name) for f, c in zip(fields, rest, strict=True)), *out.columns[len(rest):])
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """Numbers by the place of their bytes, compressed: the high bytes of what is sorted or small are alike."""
+    return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 3)
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _bits(parts: float) -> int:
+    """Of a hash, so that its ranges are at least so many; one at least."""
+    return max(1, (int(np.ceil(parts)) - 1).bit_length())
+
+
+def _top(h: str, bits: int) -> Column:
+    return F.shiftrightunsigned(h, 64 - bits).cast("int")
+
+
+def _cuts(sorted_hashes: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Ranges that have hashes, and where those of each begin and end."""
+    top = sorted_hashes >> np.uint64(64 - bits)
+    start = np.flatnonzero(np.concatenate([np.ones(min(len(top), 1), bool), top[1:] != top[:-1]]))
+    return top[start].astype(np.int32), list(zip(start.tolist(), [*start[1:].tolist(), len(top)], strict=False))
+
+
+def _by(rows: pa.Table, place: str) -> list[tuple[int, bytes]]:
+    return sorted(zip(rows.column(place).to_pylist(), rows.column("data").to_pylist(), strict=True))
+
+
+def _cut_out(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes from start to end, an element each."""
+    size = end - start
+    stop = np.cumsum(size)
+    flat = code[np.repeat(start - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+    offsets = np.concatenate([[0], stop]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+def _sent(words: pa.Array, bits: int) -> tuple[np.ndarray, list[bytes]]:
+    """(places of the words in the order they are sent in, what each bucket gets): words in order, with spaces between."""
+    bucket = (_word_hashes(words) >> np.uint64(64 - bits)).astype(np.int32)
+    place = pc.sort_indices(pa.table({"bucket": bucket, "word": words}), sort_keys=[("bucket", "ascending"), ("word", "ascending")]).to_numpy()
+    cuts = np.searchsorted(bucket[place], np.arange((1 << bits) + 1)).astype(np.int32)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), words.take(pa.array(place))), b" ")
+    return place.astype(np.int64), [zstandard.compress(x, 3) if x else b"" for x in joined.to_pylist()]
+
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    off = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    return span_hash(prefix(np.frombuffer(words.buffers()[2], np.uint8)), off[:-1], off[1:])
+
+
+def _received(sent: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, start and end of each word, its hash, where the words of each sender begin and end)."""
+    parts = [zstandard.decompress(x) for x in sent]
+    code, off = np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+    start, end, of = word_spans(code, off, ALNUM)
+    return code, start, end, span_hash(prefix(code), start, end), np.searchsorted(of, np.arange(len(parts) + 1))
+
+
 def _keys(own: np.ndarray, back: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate([own, back]))
+    return np.unique(np.concatenate([own, back]).view(np.uint64))
 
 
 def _away(model: str) -> str:

@@ -495,3 +495,22 @@ def test_toxicity_reads_words_to_their_end(spark):
     for script in (False, True):
         own = [r for r in got if (r.doc_id >= 1000) == script]
         assert min(r.score for r in own if truth[r.doc_id]) > max(r.score for r in own if not truth[r.doc_id])
+
+
+def test_toxicity_sends_packed_words(spark):
+    """What is written last needs no row a word and piece: pieces and buckets of words exchange packed lists."""
+    rows = table(spark, SMALL, "documents").join(table(spark, SMALL, "labels"), "doc_id").select("doc_id", "text", "toxic")
+    plan = toxicity.score(rows.drop("toxic"), toxicity.fit(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" in plan and "Join" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("bits", [1, 4])
+def test_toxicity_words_come_back_to_their_place(bits):
+    texts = pa.array(["b\u00fcro word word longer", None, "", "word zz " + "x" * 70_000, "a b c d e f g h"])
+    ((_, _, words, _, _),) = toxicity._dictionaries(texts)
+    place, sent = toxicity._sent(words, bits)
+    code, start, end, w, cuts = toxicity._received([x for x in sent if x])
+    assert toxicity._cut_out(code, start, end).to_pylist() == words.take(pa.array(place)).to_pylist()
+    assert len(sent) == 1 << bits and cuts[-1] == len(words) == len(set(w.tolist())) and (np.diff(w >> np.uint64(64 - bits)).view(np.int64) >= 0).all()
+    for x in (w, place.astype(np.uint16), np.zeros(0, np.int32)):
+        assert (toxicity._unpack(toxicity._pack(x), x.dtype) == x).all()
