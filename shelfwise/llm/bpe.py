@@ -8,17 +8,20 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from shelfwise.llm.common import table
 from shelfwise.llm.kernels import lean, pieces
 
-#: Words a task remembers; beyond that it starts anew, which costs time only.
-REMEMBERED = 400_000
+#: Words a task remembers: beyond that it keeps the half that most pieces of text used. Longer ones than LONG characters go
+#: with their piece. What it has forgotten is worked out again, which costs time only.
+REMEMBERED, LONG = 200_000, 64
 #: Bytes up to which words are merged side by side.
 SHORT = 64
 NEVER = np.int64(1) << 40
@@ -52,6 +55,13 @@ def _byte_letters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+def _runs(flat: np.ndarray, cuts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `flat` from cuts[r] to cuts[r + 1] for each r of `rows`, one after the other, and their own cuts."""
+    size = cuts[rows + 1] - cuts[rows]
+    own = np.concatenate([[0], np.cumsum(size)])
+    return flat[np.repeat(cuts[rows] - own[:-1], size) + np.arange(own[-1])], own
+
+
 class WordBpe:
     """Byte-level BPE with an end-of-word mark, read from a tokenizer file."""
 
@@ -66,6 +76,7 @@ class WordBpe:
         self.text = [""] * n
         for t, i in [*self.vocab.items(), *self.special.items()]:
             self.text[i] = t
+        self.texts = pa.array(self.text, pa.string())
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         #: The same for words with characters of LATER, which are rare.
@@ -80,8 +91,7 @@ class WordBpe:
         self.rank = {(self.vocab[a], self.vocab[b]): r for r, (a, b) in enumerate(merges)}
         self.made = {k: self.vocab[a + b] for k, (a, b) in zip(self.rank, merges, strict=True)}
         self._tables(n)
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.pairs: dict[int, bool] = {}
+        self.forget()
 
     # What the checks look up, as arrays.
 
@@ -285,37 +295,85 @@ class WordBpe:
             part = part.translate(NEWER) if _NEWER.search(part) else part
         return part.lower()
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Remember ids and tokens of chunks, which hold no white space; no piece crosses white space."""
-        if len(self.words) > REMEMBERED:
-            self.words = {}
-        new = [c for c in chunks if c not in self.words]
-        found = {c: [p.encode() for p in (self.later_piece if not c.isascii() and self.later.search(c) else self.piece).findall(c)] for c in new}
-        distinct = list({p for ps in found.values() for p in ps})
-        ids = dict(zip(distinct, self.encode_words(distinct), strict=True))
-        for c, ps in found.items():
-            own = [i for p in ps for i in ids[p]]
-            self.words[c] = (np.array(own, dtype="<u4").tobytes(), " ".join(self.text[i] for i in own))
-
     def forget(self) -> None:
-        """Ends a task: the worker keeps the tables, but not the words, which take several times as much memory."""
-        self.words = {}
+        """Ends a task: the worker keeps the tables, but not the words, which take several times as much memory.
 
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
-        """For each text its ids as little-endian 32-bit integers, and the decoded text; null is empty."""
-        split = []
+        Words are numbered: the ids of word r stand in `flat` from cuts[r] to cuts[r + 1], and `uses` counts the pieces
+        of text it was in. The first numbers are the special tokens'.
+        """
+        self.words: dict[str, int] = {}
+        self.flat = np.array(list(self.special.values()), dtype="<u4")
+        self.cuts = np.arange(len(self.special) + 1)
+        self.uses = np.zeros(len(self.special), dtype=np.int64)
+
+    def _learn(self, chunks: dict[str, int]) -> None:
+        """Remember ids of chunks, which hold no white space; no piece crosses white space."""
+        new = [c for c in chunks if c not in self.words]
+        if not new:
+            return
+        distinct: dict[str, int] = {}
+        parts, size = [], []
+        for c in new:
+            found = (self.later_piece if not c.isascii() and self.later.search(c) else self.piece).findall(c)
+            parts += [distinct.setdefault(p, len(distinct)) for p in found]
+            size.append(len(found))
+        ids = self.encode_words([p.encode() for p in distinct])
+        cuts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+        flat, own = _runs(np.fromiter(chain.from_iterable(ids), np.dtype("<u4"), cuts[-1]), cuts, np.array(parts, dtype=np.int64))
+        self.words.update(zip(new, range(len(self.uses), len(self.uses) + len(new)), strict=True))
+        self.cuts = np.concatenate([self.cuts, len(self.flat) + own[np.cumsum(size)]])
+        self.flat = np.concatenate([self.flat, flat])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int64)])
+
+    def _trim(self) -> None:
+        """Of too many words keeps the half that most pieces used, late ones rather than early ones; old uses count half."""
+        if len(self.uses) <= REMEMBERED and len(self.flat) <= 16 * REMEMBERED:
+            return
+        words, rows = list(self.words), np.fromiter(self.words.values(), np.int64, len(self.words))
+        best = np.sort(np.lexsort((rows, self.uses[rows]))[len(rows) - min(len(rows), REMEMBERED // 2) :])
+        kept = np.concatenate([np.arange(len(self.special)), rows[best]])
+        self.words = dict(zip([words[i] for i in best.tolist()], range(len(self.special), len(kept)), strict=True))
+        self.flat, self.cuts = _runs(self.flat, self.cuts, kept)
+        self.uses = self.uses[kept] >> 1
+
+    def encode_runs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one text after the other, and the cuts between texts; null is empty."""
+        place = {t: i for i, t in enumerate(self.special)}
+        first: dict[str, int] = {}  # where each chunk stands first
+        stands, size, specials, n = [], [], [], 0
         for text in texts:
-            parts = self.split.split(text or "") if self.split else [text or ""]
-            split.append([p if i % 2 else self.chunks(self._normal(p)) for i, p in enumerate(parts)])
-        self._learn({c for parts in split for p in parts if isinstance(p, list) for c in p})
-        out: list[tuple[bytes, str]] = []
-        words = self.words
-        for parts in split:
-            got = []
-            for p in parts:
-                got += [words[c] for c in p] if isinstance(p, list) else [(np.array([self.special[p]], dtype="<u4").tobytes(), p)]
-            out.append((b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[0]])))
-        return out
+            was = n
+            for i, part in enumerate(self.split.split(text or "") if self.split else [text or ""]):
+                if i % 2:
+                    stands.append(np.array([n]))
+                    specials.append((n, place[part]))
+                    n += 1
+                else:
+                    own = self.chunks(self._normal(part))
+                    stands.append(np.fromiter(map(first.setdefault, own, range(n, n + len(own))), np.int64, len(own)))
+                    n += len(own)
+            size.append(n - was)
+        self._learn(first)
+        rows = np.fromiter(map(self.words.__getitem__, first), np.int64, len(first))
+        self.uses[rows] += 1
+        number = np.zeros(n, dtype=np.int64)
+        number[np.fromiter(first.values(), np.int64, len(first))] = rows
+        for at, r in specials:
+            number[at] = r
+        ids, cuts = _runs(self.flat, self.cuts, number[np.concatenate(stands)] if stands else number)
+        for c in [c for c in first if len(c) > LONG]:
+            del self.words[c]
+        self._trim()
+        return ids, cuts[np.concatenate([[0], np.cumsum(size, dtype=np.int64)])]
+
+    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+        """The texts that runs of ids decode to."""
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), self.texts.take(pa.array(ids))), " ")
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
+        """For each text its ids as little-endian 32-bit integers, and the decoded text."""
+        ids, cuts = self.encode_runs(texts)
+        return [(ids[a:b].tobytes(), t) for a, b, t in zip(cuts[:-1].tolist(), cuts[1:].tolist(), self.decode(ids, cuts).to_pylist(), strict=True)]
 
     #: White space as the vocabulary's patterns mean it; str.split also splits at four control characters.
     _plain = re.compile("[\x1c-\x1f]")
@@ -355,22 +413,18 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, batch_b
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path or vocabulary())
         for batch in batches:
-            for part, got in encoded_parts(batch, text, model, batch_bytes):
-                ids = [g[0] for g in got]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([g[1] for g in got], pa.string())],
-                    names=[*names, "n_tokens", "ids", "decoded"],
-                )
+            for part, ids, cuts in encoded_parts(batch, text, model, batch_bytes):
+                packed = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.diff(cuts)), packed, model.decode(ids, cuts)], names=[*names, "n_tokens", "ids", "decoded"])
         model.forget()
 
     return docs.select(*[f"`{n}`" for n in names]).mapInArrow(lean(run), schema)
 
 
-def encoded_parts(batch: pa.RecordBatch, text: str, model: WordBpe, limit: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes, str]]]]:
+def encoded_parts(batch: pa.RecordBatch, text: str, model: WordBpe, limit: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     column = batch.column(batch.schema.get_field_index(text))
     for a, b, _, _ in pieces(column, limit):
-        part = batch.slice(a, b - a)
-        yield part, model.encode(column.slice(a, b - a).to_pylist())
+        yield batch.slice(a, b - a), *model.encode_runs(column.slice(a, b - a).to_pylist())
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -379,13 +433,13 @@ def query(spark, sf_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(vocabulary())
         for batch in batches:
-            for part, got in encoded_parts(batch, "text", model, 1 << 21):
+            for part, ids, cuts in encoded_parts(batch, "text", model, 1 << 21):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array([len(i) // 4 for i, _ in got], pa.int64()),
-                        pa.array([hashlib.sha256(i).hexdigest() for i, _ in got]),
-                        pa.array([hashlib.sha256(t.encode()).hexdigest() for _, t in got]),
+                        pa.array(np.diff(cuts)),
+                        pa.array([hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.string()),
+                        pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in model.decode(ids, cuts)], pa.string()),
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -419,6 +420,23 @@ def test_bpe_workers_forget_their_words(spark):
     assert found and not any(found)
 
 
+def test_bpe_remembers_words_in_little_memory():
+    """Beyond REMEMBERED words go, seldom used ones first, and long ones at once; what is left takes little memory."""
+    model = bpe.WordBpe(bpe.vocabulary())
+    piece = lambda k: [" ".join([*(f"often{i}" for i in range(50)), *(f"w{k}x{i}" for i in range(n, n + 2500)), "long" * 40]) for n in range(0, 25_000, 2500)]
+    first = model.encode(piece(0))
+    tracemalloc.start()
+    try:
+        for k in range(1, 12):
+            model.encode(piece(k))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 50e6 and len(model.words) <= bpe.REMEMBERED
+    assert all(f"often{i}" in model.words for i in range(50)) and "long" * 40 not in model.words
+    assert "w0x0" not in model.words and model.encode(piece(0)) == first
+
+
 def test_bpe_knows_the_library_s_letters():
     from tokenizers import Tokenizer
 
