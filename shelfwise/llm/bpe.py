@@ -16,12 +16,14 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from shelfwise.llm.common import table
+from shelfwise.llm.common import small_batches, table
 from shelfwise.llm.kernels import lean, pieces
 
 #: Words a task remembers: beyond that it keeps the half that most pieces of text used. Longer ones than LONG characters go
 #: with their piece. What it has forgotten is worked out again, which costs time only.
 REMEMBERED, LONG = 200_000, 64
+#: Bytes of text that are cut into words at a time; a longer text is taken alone.
+PIECE = 1 << 19
 #: Bytes up to which words are merged side by side.
 SHORT = 64
 NEVER = np.int64(1) << 40
@@ -69,14 +71,14 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
+        vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.mark = model["end_of_word_suffix"]
-        n = max(max(self.vocab.values()), *self.special.values(), 0) + 1
-        self.text = [""] * n
-        for t, i in [*self.vocab.items(), *self.special.items()]:
-            self.text[i] = t
-        self.texts = pa.array(self.text, pa.string())
+        n = max(max(vocab.values()), *self.special.values(), 0) + 1
+        text = [""] * n
+        for t, i in [*vocab.items(), *self.special.items()]:
+            text[i] = t
+        self.texts = pa.array(text, pa.string())
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         #: The same for words with characters of LATER, which are rare.
@@ -84,43 +86,40 @@ class WordBpe:
         letter, number = rf"(?:(?!{_LATER})\p{{L}})", rf"(?:(?!{_LATER})\p{{N}})"
         self.later_piece = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|(?:{_LATER}|[^\s\p{{L}}\p{{N}}])+")
         letters = _byte_letters()
-        self.letter = letters
         #: Symbols 0 to 255: bytes; 256 more: bytes that end a word.
-        self.base = np.array([self.vocab[c] for c in letters] + [self.vocab[c + self.mark] for c in letters], dtype=np.int64)
+        self.base = np.array([vocab[c] for c in letters] + [vocab[c + self.mark] for c in letters], dtype=np.int64)
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.rank = {(self.vocab[a], self.vocab[b]): r for r, (a, b) in enumerate(merges)}
-        self.made = {k: self.vocab[a + b] for k, (a, b) in zip(self.rank, merges, strict=True)}
-        self._tables(n)
+        #: The rank of a merge by its pair, as one number, and the token that the merge of each rank makes.
+        self.rank = {vocab[a] << 20 | vocab[b]: r for r, (a, b) in enumerate(merges)}
+        self.made = np.array([vocab[a + b] for _, (a, b) in zip(self.rank, merges, strict=True)], dtype=np.int64)
+        self._tables(n, vocab, letters)
         self.forget()
 
     # What the checks look up, as arrays.
 
-    def _tables(self, n: int) -> None:
-        left, right = np.array([k[0] for k in self.rank]), np.array([k[1] for k in self.rank])
-        made = np.array(list(self.made.values()))
+    def _tables(self, n: int, vocab: dict[str, int], letters: list[str]) -> None:
+        pairs, made = np.fromiter(self.rank, np.int64, len(self.rank)), self.made
+        left, right = pairs >> 20, pairs & 0xFFFFF
         self.born = np.full(n, -1, dtype=np.int64)
         self.born[made] = np.arange(len(made))
         parts = {int(t): (int(a), int(b)) for t, a, b in zip(made, left, right, strict=True)}
         # A merge comes after those that make its parts, and each token is made by one merge: else pairs prove nothing.
         self.provable = len(set(made)) == len(made) and bool((self.born[made] > np.maximum(self.born[left], self.born[right])).all())
-        self.key = np.sort(left << 20 | right)
-        self.key_rank = np.argsort(left << 20 | right)
+        self.key = np.sort(pairs)
+        self.key_rank = np.argsort(pairs)
 
-        def spine(side: int) -> tuple[np.ndarray, np.ndarray]:
-            """Row by token: the pieces at its edge from the whole down to a symbol (-1 beyond), and when each is merged away."""
+        def spine(side: int) -> np.ndarray:
+            """Column by token: the pieces at its edge from the whole down to a symbol (-1 beyond); each is merged away when the one above is born."""
             rows = []
             for t in range(n):
                 row = [t]
                 while row[-1] in parts:
                     row.append(parts[row[-1]][side])
                 rows.append(row)
-            depth = max(map(len, rows))
-            out = np.full((depth, n), -1, dtype=np.int64)
+            out = np.full((max(map(len, rows)), n), -1, dtype=np.int32)
             for t, row in enumerate(rows):
                 out[: len(row), t] = row
-            gone = np.full((depth, n), NEVER)
-            gone[1:] = self.born[out[:-1]]
-            return out, gone
+            return out
 
         self.right_edge, self.left_edge = spine(1), spine(0)
         stable = np.zeros(n, dtype=bool)
@@ -130,10 +129,10 @@ class WordBpe:
             stable[t] = ok and stable[a] and stable[b]
         self.stable = stable
         # Vocabulary by the hash of its symbols.
-        back = {c: b for b, c in enumerate(self.letter)}
+        back = {c: b for b, c in enumerate(letters)}
         known: dict[int, int] = {}
         self.longest = 1
-        for t, i in self.vocab.items():
+        for t, i in vocab.items():
             ends = t.endswith(self.mark)
             symbols = [back[c] for c in (t[: -len(self.mark)] if ends else t)]
             if symbols:
@@ -151,7 +150,7 @@ class WordBpe:
         return h
 
     def _rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        want = a << 20 | b
+        want = a.astype(np.int64) << 20 | b
         at = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
         return np.where((a >= 0) & (b >= 0) & (self.key[at] == want), self.key_rank[at], NEVER)
 
@@ -162,7 +161,8 @@ class WordBpe:
         pairs merges first, so a tie goes to a's own merge and against b's.
         """
         ok = np.ones(len(a), dtype=bool)
-        (redge, rgone), (ledge, lgone) = self.right_edge, self.left_edge
+        redge, ledge = self.right_edge, self.left_edge
+        gone = lambda edge, i, t: self.born[edge[i - 1][t]] if i else NEVER
         for i in range(len(redge)):
             some = np.flatnonzero(redge[i][a] >= 0)
             for j in range(len(ledge)):
@@ -171,7 +171,7 @@ class WordBpe:
                 at = some[(ledge[j][b[some]] >= 0) & ok[some]]
                 if len(at):
                     r = self._rank_of(redge[i][a[at]], ledge[j][b[at]])
-                    ok[at[(r < NEVER) & (r < rgone[i][a[at]]) & (r <= lgone[j][b[at]])]] = False
+                    ok[at[(r < NEVER) & (r < gone(redge, i, a[at])) & (r <= gone(ledge, j, b[at]))]] = False
         return ok
 
     # Words.
@@ -212,19 +212,19 @@ class WordBpe:
         ids[-1] = int(self.base[256 + word[-1]])
         n = len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.rank.get((ids[i], ids[i + 1]))) is not None]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.rank.get(ids[i] << 20 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             r, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = self.made[a, b], -1
+            ids[i], ids[j] = int(self.made[r]), -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0 and (r := self.rank.get((ids[x], ids[y]))) is not None:
+                if x >= 0 and y >= 0 and (r := self.rank.get(ids[x] << 20 | ids[y])) is not None:
                     heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
@@ -243,7 +243,6 @@ class WordBpe:
         before = np.tile(np.where(np.arange(deep + 1) > 0, np.arange(deep + 1) - 1, deep), (len(words), 1))
         rank = np.full(ids.shape, NEVER)
         rank[:, :-1] = self._rank_of(ids[:, :-1], ids[:, 1:])
-        made = np.array(list(self.made.values()))
         live = row
         while len(live):
             i = rank[live].argmin(axis=1)
@@ -252,7 +251,7 @@ class WordBpe:
             live, i, r = live[go], i[go], r[go]
             j = after[live, i]
             k = after[live, j]
-            ids[live, i], ids[live, j] = made[r], -1
+            ids[live, i], ids[live, j] = self.made[r], -1
             after[live, i], rank[live, j] = k, NEVER
             before[live, k] = i
             h = before[live, i]
@@ -400,7 +399,7 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, batch_bytes: int = 1 << 21) -> DataFrame:
+def encode(docs: DataFrame, text: str = "text", path: str | None = None, batch_bytes: int = PIECE) -> DataFrame:
     """`docs` with n_tokens, ids (32-bit integers) and decoded. Each task reads the vocabulary file where it runs.
 
     Null and empty texts have no ids and decode to the empty text. Repeated rows and extra columns stay; columns named
@@ -418,6 +417,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, batch_b
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.diff(cuts)), packed, model.decode(ids, cuts)], names=[*names, "n_tokens", "ids", "decoded"])
         model.forget()
 
+    small_batches(docs.sparkSession)
     return docs.select(*[f"`{n}`" for n in names]).mapInArrow(lean(run), schema)
 
 
@@ -433,7 +433,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(vocabulary())
         for batch in batches:
-            for part, ids, cuts in encoded_parts(batch, "text", model, 1 << 21):
+            for part, ids, cuts in encoded_parts(batch, "text", model, PIECE):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -445,5 +445,6 @@ def query(spark, sf_dir: str) -> DataFrame:
                 )
         model.forget()
 
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.mapInArrow(lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

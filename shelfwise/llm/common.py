@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of text that a task hands to its Python worker at a time.
+BATCH_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,6 +28,16 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of about BATCH_BYTES, if the session has no bound of its own; a longer row is one batch.
+
+    Spark's default (64 MB or 10,000 rows) costs each task a buffer of that size outside the JVM's heap, twice while it
+    grows, and its worker another.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -28,15 +28,38 @@ def give_back() -> None:
 
 
 def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task of a `mapInArrow`, which gives back its memory when it ends."""
+    """The task of a `mapInArrow`, which gives back what the stage before has left, and its own memory when it ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         yield from task(batches)
         give_back()
 
     return run
 
 
+def lean_group(task: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The function of an `applyInArrow`, which gives back what each group took: a worker may stand idle after the last one."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out = task(group)
+        give_back()
+        return out
+
+    return run
+
+
+def lean_cogroup(task: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for two tables."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = task(left, right)
+        give_back()
+        return out
+
+    return run
+
+
 def members(pattern_bytes: list[int]) -> np.ndarray:
     """Lookup table of the bytes that belong to words."""
     out = np.zeros(256, dtype=bool)

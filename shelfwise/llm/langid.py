@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import table
+from shelfwise.llm.common import small_batches, table
 from shelfwise.llm.kernels import FOLD, lean, pieces
 
 #: Dimensions that grams of 1 to 3 bytes hash into.
@@ -100,6 +100,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     tasks; the driver gets one vector a sampled row and clusters each language's by spherical k-means. How many texts
     hold a gram is counted over all rows with text and language, and reaches the driver as one number a dimension.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_ROWS).collect()}
     if not sizes:
@@ -145,6 +146,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     new = ("lang_pred", "score", "rejected")
     kept = [f for f in docs.schema.fields if f.name not in new]
     names = [f.name for f in kept]
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import repeats
 from shelfwise.llm.common import Scratch, components, few, table
-from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, give_back, mix, pieces, prefix, span_hash, word_spans
+from shelfwise.llm.kernels import FOLD, NOT_SPACE, chained, lean_cogroup, lean_group, mix, pieces, prefix, span_hash, word_spans
 
 #: Words of an n-gram; similarity in hundredths.
 WORDS, PERCENT = 5, 80
@@ -72,7 +72,6 @@ def incidence(docs: DataFrame, doc_id: str, text: str, scratch: Scratch, percent
     bits = repeats.shared(of_blocks, n_blocks, lambda texts: (g for *_, g in ngram_sets(texts)))
 
     def mark(group: pa.Table, found: pa.Table) -> pa.Table:
-        give_back()
         levels = repeats.read_levels(found)
         u, _ = repeats.distinct(g for *_, g in ngram_sets(group.column("text")))
         out = []
@@ -102,7 +101,7 @@ def incidence(docs: DataFrame, doc_id: str, text: str, scratch: Scratch, percent
 
     schema = "doc long, n long, s1 long, s2 long, centre double, probe array<long>, grams array<long>"
     joined = of_blocks.groupBy("block").cogroup(bits.groupBy("block"))
-    return scratch.put(joined.applyInArrow(mark, schema))
+    return scratch.put(joined.applyInArrow(lean_cogroup(mark), schema))
 
 
 def _overlaps(lists: pa.Table, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,7 +156,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch,
         link = 100 * over >= percent * (n + m - over)
         return pa.table({"a": a[link], "b": b[link]})
 
-    return dealt.groupBy("block").cogroup(lists.groupBy("lot")).applyInArrow(multiply, "a long, b long")
+    return dealt.groupBy("block").cogroup(lists.groupBy("lot")).applyInArrow(lean_cogroup(multiply), "a long, b long")
 
 
 def _mixed(cells: DataFrame, found: DataFrame) -> DataFrame:
@@ -219,7 +218,7 @@ def _products(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": ids[ids > to], "b": to[ids > to]})
 
     blocks = left.unionByName(right).join(sets.select("rep", "n", "grams"), "rep")
-    return blocks.groupBy("gram", "i", "j").applyInArrow(multiply, "a long, b long").distinct()
+    return blocks.groupBy("gram", "i", "j").applyInArrow(lean_group(multiply), "a long, b long").distinct()
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

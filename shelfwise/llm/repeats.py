@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.kernels import give_back
+from shelfwise.llm.kernels import lean_group
 
 #: Bytes of text of a block, on average; one longer text is a block's part whole.
 BLOCK_BYTES = 4 << 20
@@ -49,7 +49,6 @@ def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes) -> DataFrame:
     b = _bits(n_blocks)
 
     def send(group: pa.Table) -> pa.Table:
-        give_back()  # what groups and stages before have left
         u, count = distinct(hashes(group.column("text")))
         cuts = np.searchsorted(u >> np.uint64(64 - b), np.arange((1 << b) + 1).astype(np.uint64))
         value = ((u << np.uint64(b)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
@@ -78,8 +77,8 @@ def shared(of_blocks: DataFrame, n_blocks: int, hashes: Hashes) -> DataFrame:
         data = [zstandard.compress(level[a:z].tobytes(), 1) for a, z in zip(cuts, cuts[1:], strict=False)]
         return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "n": pa.array(sizes, pa.int32()), "data": pa.array(data, pa.binary())})
 
-    sent = of_blocks.groupBy("block").applyInArrow(send, "bucket int, block long, data binary")
-    return sent.groupBy("bucket").applyInArrow(find, "block long, bucket int, n int, data binary")
+    sent = of_blocks.groupBy("block").applyInArrow(lean_group(send), "bucket int, block long, data binary")
+    return sent.groupBy("bucket").applyInArrow(lean_group(find), "block long, bucket int, n int, data binary")
 
 
 def read_levels(rows: pa.Table) -> np.ndarray:

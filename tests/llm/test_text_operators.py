@@ -14,7 +14,7 @@ from compare import connect, differences
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, decontaminate, langid, licences, line_dedup, near_vectors, ngram_join, sharding, suffix_dedup, toxicity
+from shelfwise.llm import bpe, decontaminate, kernels, langid, licences, line_dedup, near_vectors, ngram_join, sharding, suffix_dedup, toxicity
 from shelfwise.llm.common import Scratch, components, table
 from shelfwise.llm.queries import QUERIES, SQL
 
@@ -437,6 +437,50 @@ def test_bpe_remembers_words_in_little_memory():
     assert "w0x0" not in model.words and model.encode(piece(0)) == first
 
 
+def test_bpe_s_tables_take_little_memory():
+    """Each worker has them."""
+    tracemalloc.start()
+    try:
+        model = bpe.WordBpe(bpe.vocabulary())
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 42e6
+    assert model.encode(["The cat's 12 hats"]) == bpe.load(bpe.vocabulary()).encode(["The cat's 12 hats"])
+
+
+@pytest.mark.parametrize("operator", ["bpe", "langid"])
+def test_workers_get_texts_in_small_batches(spark, operator):
+    """A batch of 10,000 texts would be held by the JVM, in buffers of twice its size, and by the worker."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(4000, numPartitions=1).selectExpr("id AS doc_id", "repeat('many words ', 500) AS text", "'en' AS lang")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    spark.conf.unset(setting)
+    try:
+        bpe.encode(texts) if operator == "bpe" else langid.fit(texts.limit(8))
+        got = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+        assert sum(got) > 20e6 and max(got) < 5e6
+        spark.conf.set(setting, "1m")
+        bpe.encode(texts) if operator == "bpe" else langid.fit(texts.limit(8))
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_workers_give_back_what_a_group_took(monkeypatch):
+    calls = []
+    monkeypatch.setattr(kernels, "give_back", lambda: calls.append(1))
+    table = pa.table({"a": [1]})
+    assert kernels.lean_group(lambda x: x)(table) is table and kernels.lean_cogroup(lambda x, y: y)(None, table) is table and len(calls) == 2
+    run = kernels.lean(lambda batches: batches)(iter([1, 2]))
+    assert next(run) == 1 and len(calls) == 3
+    assert list(run) == [2] and len(calls) == 4
+
+
 def test_bpe_knows_the_library_s_letters():
     from tokenizers import Tokenizer
 
